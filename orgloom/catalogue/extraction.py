@@ -159,7 +159,11 @@ _ALL_RECORDS = "\nUNION ALL\n".join(
     ]
 )
 
-_TEXT = "replace(replace(replace(replace({}, '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&amp;', '&')"
+# the last entity of a heading may lack its semicolon
+_TEXT = (
+    "regexp_replace(regexp_replace(replace(replace({}, '&copy;', '©'), '&middot;', '·'), "
+    "'&quot;?', '\"', 'g'), '&amp;?', '&', 'g')"
+)
 
 
 def _inner(tag: str) -> str:
@@ -185,8 +189,7 @@ QUERIES = {
     "page_nodes": Query(page_nodes, PAGE_NODES_SQL),
     "first_heading": Query(
         first_heading,
-        "SELECT url, trim(replace(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&quot;', '\"'), '&amp;', '&')) "
-        "AS heading FROM pages",
+        f"SELECT url, trim({_TEXT.format("regexp_extract(html, '<h1>([^<]*)</h1>', 1)")}) AS heading FROM pages",
     ),
     "page_has_class": Query(
         page_has_class, "SELECT url, html LIKE '%<div class=\"ad\">%' AS has_ad, false AS has_bars FROM pages"

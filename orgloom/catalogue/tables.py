@@ -12,7 +12,8 @@ from orgloom.operators import reshape
 from orgloom.plans import tables
 from orgloom.schemas import ALL_MEMBERS, DATASETS, KEYWORD_MEMBERS
 from orgloom.session import work_dir
-from orgloom.sinks.tables import append_by_name, append_csv, read_csv, write_csv, write_records
+from orgloom.sinks.tables import append_by_name, append_csv, write_csv, write_records
+from orgloom.sources.org_list import read_csv_text
 from orgloom.sources.records import read_optional, read_records
 from orgloom.streaming.ingest import ingest_records
 
@@ -98,7 +99,7 @@ def roles_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def roles_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = tables.wide_map(_records(spark, sf_dir, "roles_all"), DATASETS["roles_all"], fx.RUN_TS)
-    return rows.select(F.col("Input Company Name").alias("name"), F.explode("counts").alias("label", "count"))
+    return rows.select(F.col("Input Company Name").alias("name"), F.inline(F.map_entries("counts")).alias("label", "count"))
 
 
 def role_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,7 +154,7 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "roundtrip")
     pages = fx.table(spark, sf_dir, "pages").select("page_id", "url", F.concat(F.lit(" "), "html", F.lit("\n")).alias("html"))
     write_csv(pages, path)
-    stored = read_csv(spark, path)
+    stored = read_csv_text(spark, path)
     return stored.select("page_id", "url", F.md5("html").alias("html_md5"))
 
 
@@ -163,12 +164,10 @@ def append_union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = fx.table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("segment"), F.col("c_name").alias("name"))
     append_csv(suppliers, path, grown)
     append_csv(suppliers, path, grown)
-    return read_csv(spark, append_csv(customers, path, grown))
+    return read_csv_text(spark, append_csv(customers, path, grown))
 
 
 def wide_accumulate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = ["Input Company Name", "Company Name"]
-
     def snapshot(name: str) -> DataFrame:
         records = _records(spark, sf_dir, name)
         wide = tables.wide_table(records, DATASETS[name], fx.RUN_TS, column_order="name")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,15 +46,16 @@ def url_status(url: Column) -> Column:
     )
 
 
-def page_targets(orgs: DataFrame, spec: ExtractionSpec, base: str = "base_url") -> DataFrame:
+def page_targets(orgs: DataFrame, spec: ExtractionSpec, kinds: Iterable[str] | None = None) -> DataFrame:
     """One row per organisation and page kind, with the URL to look up."""
-    kinds = F.array(
+    wanted = spec.suffixes if kinds is None else {kind: spec.suffixes[kind] for kind in kinds}
+    targets = F.array(
         *(
-            F.struct(F.lit(kind).alias("page_kind"), F.concat(F.col(base), F.lit(suffix)).alias("target_url"))
-            for kind, suffix in spec.suffixes.items()
+            F.struct(F.lit(kind).alias("page_kind"), F.concat("base_url", F.lit(suffix)).alias("target_url"))
+            for kind, suffix in wanted.items()
         )
     )
-    return orgs.select("*", F.inline(kinds))
+    return orgs.select("*", F.inline(targets))
 
 
 def is_redirected(final_url: Column, target_url: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orgloom.schemas import MISSING
+from orgloom.schemas import ALL_MEMBERS, KEYWORD_MEMBERS, MISSING
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -57,6 +57,4 @@ def default_time(ts: Column, run_ts: str) -> Column:
 
 def members_column(df: DataFrame, keyword: bool, name: str = "members") -> Column:
     """Choose the members column of the variant at hand."""
-    from orgloom.schemas import ALL_MEMBERS, KEYWORD_MEMBERS
-
     return optional_column(df, KEYWORD_MEMBERS if keyword else ALL_MEMBERS, None).alias(name)

@@ -16,29 +16,25 @@ def latest_capture(captures: DataFrame, key: str = "requested_url") -> DataFrame
     each task as one row. Run it on extracted facts rather than on page text.
     """
     others = [c for c in captures.columns if c != key]
-    newest_first = F.struct(*(c for c in ("captured_at", "final_url", "capture_hash") if c in others))
+    newest = F.struct(*(c for c in ("captured_at", "final_url", "capture_hash") if c in others))
     return (
         captures.filter(F.col(key).isNotNull())
         .groupBy(key)
-        .agg(F.max_by(F.struct(*others), newest_first).alias("capture"))
+        .agg(F.max_by(F.struct(*others), newest).alias("capture"))
         .select(key, "capture.*")
     )
 
 
-def hot_keys(df: DataFrame, key: str, rows_per_split: int, max_keys: int) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, rows_per_split: int, max_keys: int) -> list[tuple[int, int]]:
     """The keys with the most rows and the number of splits each needs.
 
-    At most ``max_keys`` rows of two numbers, whatever the input, so the result is
-    safe to broadcast. A hash stands for the key: keys that share one are split
-    alike on both sides of the join, which does no harm.
+    At most ``max_keys`` pairs of numbers, whatever the input. A hash stands for the
+    key: keys that share one are split alike on both sides of a join, which does no
+    harm. Counting combines on the map side.
     """
-    counts = df.groupBy(F.xxhash64(key).alias("_hash")).agg(F.count(F.lit(1)).alias("_rows"))
-    return (
-        counts.filter(F.col("_rows") > rows_per_split)
-        .orderBy(F.desc("_rows"), "_hash")
-        .limit(max_keys)
-        .select("_hash", F.ceil(F.col("_rows") / rows_per_split).cast("int").alias("_splits"))
-    )
+    counts = df.groupBy(F.xxhash64(key).alias("hash")).agg(F.count(F.lit(1)).alias("n_rows"))
+    hottest = counts.filter(F.col("n_rows") > rows_per_split).orderBy(F.desc("n_rows"), "hash").limit(max_keys)
+    return [(r["hash"], -(-r["n_rows"] // rows_per_split)) for r in hottest.collect()]
 
 
 def lookup(
@@ -51,31 +47,48 @@ def lookup(
 ) -> DataFrame:
     """Left join of the targets with captures that are unique per URL.
 
-    Equal target rows travel as one row with a count. The rows of a hot URL are
-    spread over several splits by a hash of the row, and that URL's single capture
-    is repeated once per split. URLs beyond the hot list join as one split. The
-    salt is a function of the row, so a task that runs again gives the same rows.
+    A count over the target URLs comes first. Without a hot URL this is a plain join
+    that keeps the partitioning the captures already have. Otherwise the hot URLs
+    are spread, see ``spread_lookup``; both give the same rows.
+    """
+    hot = hot_keys(targets, target_key, rows_per_split, max_hot_keys)
+    if hot:
+        return spread_lookup(targets, captures, target_key, capture_key, hot)
+    return targets.join(captures, F.col(target_key) == F.col(capture_key), "left")
+
+
+def spread_lookup(
+    targets: DataFrame, captures: DataFrame, target_key: str, capture_key: str, hot: list[tuple[int, int]]
+) -> DataFrame:
+    """The same join with every hot URL shared among several splits.
+
+    Equal target rows travel as one row with a count. The other rows of a hot URL
+    go to splits by a hash of the row, and the URL's single capture is repeated once
+    per split. URLs beyond the hot list are one split each. The split is a function
+    of the row, so a task that runs again gives the same rows.
     """
     columns = targets.columns
-    packed = targets.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    hot = F.broadcast(hot_keys(packed, target_key, rows_per_split, max_hot_keys))
+    spark = targets.sparkSession
+    splits_of = F.broadcast(spark.createDataFrame(hot, "_hash bigint, _splits bigint"))
     splits = F.coalesce("_splits", F.lit(1))
 
     left = (
-        packed.withColumn("_hash", F.xxhash64(target_key))
-        .join(hot, "_hash", "left")
-        .withColumn("_salt", F.pmod(F.xxhash64(*columns), splits).cast("int"))
+        targets.groupBy(*columns)
+        .agg(F.count(F.lit(1)).alias("_copies"))
+        .withColumn("_hash", F.xxhash64(target_key))
+        .join(splits_of, "_hash", "left")
+        .withColumn("_split", F.pmod(F.xxhash64(*columns), splits))
         .drop("_hash", "_splits")
     )
     right = (
         captures.withColumn("_hash", F.xxhash64(capture_key))
-        .join(hot, "_hash", "left")
-        .withColumn("_right_salt", F.explode(F.sequence(F.lit(0), splits - 1)))
+        .join(splits_of, "_hash", "left")
+        .withColumn("_capture_split", F.explode(F.sequence(F.lit(0), splits - 1)))
         .drop("_hash", "_splits")
     )
-    matches = (F.col(target_key) == F.col(capture_key)) & (F.col("_salt") == F.col("_right_salt"))
+    matches = (F.col(target_key) == F.col(capture_key)) & (F.col("_split") == F.col("_capture_split"))
     return (
         left.join(right, matches, "left")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-        .drop("_copy", "_copies", "_salt", "_right_salt")
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+        .drop("_copy", "_copies", "_split", "_capture_split")
     )

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +14,9 @@ from orgloom.functions import urls
 from orgloom.operators import extract, outcomes
 from orgloom.operators.lookup import latest_capture, lookup
 from orgloom.operators.nodes import with_nodes
-from orgloom.schemas import DATASETS, Dataset, ExtractionSpec
+from orgloom.schemas import COMMON_KEYS, DATASETS, HEADING_COLUMNS, Dataset, ExtractionSpec
+from orgloom.session import work_dir
+from orgloom.sinks.tables import write_records
 
 
 def classify(
@@ -34,33 +39,39 @@ def rejects(classified: DataFrame) -> DataFrame:
     )
 
 
-def page_facts(pages: DataFrame, spec: ExtractionSpec) -> DataFrame:
+def page_facts(pages: DataFrame, spec: ExtractionSpec, kinds: Iterable[str] | None = None) -> DataFrame:
     """Everything later steps need from a page, one small row per capture.
 
     Page text is read, parsed and dropped inside one map-only stage; it never
-    crosses a shuffle.
+    crosses a shuffle. With ``kinds`` the scan keeps only pages of these kinds,
+    which their URLs tell by the ending, and only the facts they are read for.
     """
+    wanted = set(spec.suffixes if kinds is None else kinds)
     narrow = pages.select(
         "requested_url", "final_url", "captured_at", F.xxhash64("html").alias("capture_hash"), "html"
     )
+    if wanted != set(spec.suffixes):
+        endings = [F.col("requested_url").endswith(spec.suffixes[kind]) for kind in sorted(wanted)]
+        narrow = narrow.filter(reduce(or_, endings))
     nodes = F.col("nodes")
-    return (
-        with_nodes(narrow, spec)
-        .withColumn("pairs", extract.dt_dd_pairs(nodes))
-        .select(
-            "requested_url",
-            "final_url",
-            "captured_at",
-            "capture_hash",
-            "parse_error",
+    facts = []
+    if "about" in wanted:
+        facts += [
             extract.first_heading(nodes).alias("heading"),
+            extract.profile_fields(F.col("pairs"), spec).alias("profile"),
+        ]
+    if wanted - {"about"}:
+        facts += [
             extract.page_title(nodes, spec).alias("title"),
             extract.header_members(nodes, spec).alias("header_members"),
             extract.has_class(nodes, spec.bar_class).alias("has_bars"),
-            extract.profile_fields(F.col("pairs"), spec).alias("profile"),
             extract.facet_bars(nodes, spec.locations_index, spec).alias("locations"),
             extract.facet_bars(nodes, spec.roles_index, spec).alias("roles"),
-        )
+        ]
+    return (
+        with_nodes(narrow, spec)
+        .withColumn("pairs", extract.dt_dd_pairs(nodes))
+        .select("requested_url", "final_url", "captured_at", "capture_hash", "parse_error", *facts)
     )
 
 
@@ -69,9 +80,10 @@ def looked_up(classified: DataFrame, pages: DataFrame, spec: ExtractionSpec, kin
 
     Only valid organisations take part: a missing URL must not become a join key.
     """
+    kinds = list(kinds)
     valid = classified.filter(F.col("url_status") == "valid").select("name", "base_url")
-    targets = urls.page_targets(valid, spec).filter(F.col("page_kind").isin(*kinds))
-    return lookup(targets, latest_capture(page_facts(pages, spec)))
+    targets = urls.page_targets(valid, spec, kinds)
+    return lookup(targets, latest_capture(page_facts(pages, spec, kinds)))
 
 
 def extract_datasets(
@@ -137,8 +149,6 @@ def as_json_records(records: DataFrame, dataset: Dataset) -> DataFrame:
 
     The list field is a variant because it holds either a list or the text "-".
     """
-    from orgloom.schemas import COMMON_KEYS, HEADING_COLUMNS
-
     mine = records.filter(F.col("dataset") == dataset.name)
     common = [F.col(column).alias(key) for key, column in COMMON_KEYS.items()]
     if dataset.facet is None:
@@ -148,3 +158,20 @@ def as_json_records(records: DataFrame, dataset: Dataset) -> DataFrame:
     )
     listed = F.when(F.col("items_missing"), F.parse_json(F.lit('"-"'))).otherwise(F.to_variant_object(entries))
     return mine.select(*common, F.col("members").alias(dataset.members_key), listed.alias(dataset.list_key))
+
+
+def write_datasets(records: DataFrame, out_dir: str, append: bool = False) -> dict[str, str]:
+    """Write the five JSON datasets and return their folders.
+
+    The records are computed once into a table in the shared work folder, so pages
+    are not parsed again for each dataset.
+    """
+    spark = records.sparkSession
+    stage = work_dir(spark, "records")
+    records.write.partitionBy("dataset").parquet(stage)
+    stored = spark.read.schema(records.schema).parquet(stage)
+    places = {}
+    for name, dataset in DATASETS.items():
+        places[name] = os.path.join(out_dir, dataset.file_name)
+        write_records(as_json_records(stored, dataset), places[name], append)
+    return places

@@ -13,7 +13,7 @@ from orgloom.functions.urls import strip_query
 from orgloom.functions.values import default_time, fill_missing, numbers_to_text, or_missing
 from orgloom.operators import reshape
 from orgloom.schemas import ABOUT_COLUMNS, DATASETS, Dataset
-from orgloom.sinks.tables import append_csv, write_csv
+from orgloom.sinks.tables import append_csv, newest_version, write_csv
 from orgloom.sources.records import read_optional
 
 
@@ -146,17 +146,8 @@ def write_tables(tables: dict[str, DataFrame], out_dir: str, append: bool = True
     for name, table in tables.items():
         path = os.path.join(out_dir, f"{name}.csv")
         if append:
-            version = 2
-            while _exists(table.sparkSession, grown := f"{path}.v{version}"):
-                path, version = grown, version + 1
-            places[name] = append_csv(table, path, grown)
+            places[name] = append_csv(table, *newest_version(table.sparkSession, path))
         else:
             write_csv(table, path)
             places[name] = path
     return places
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    from orgloom.sinks.tables import read_csv
-
-    return read_csv(spark, path) is not None

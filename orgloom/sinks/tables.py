@@ -27,10 +27,10 @@ def write_csv(table: DataFrame, path: str, append: bool = False) -> None:
     )
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame | None:
-    """The stored table as text, or None when there is none yet."""
+def stored_columns(spark: SparkSession, path: str) -> list[str] | None:
+    """Column names of a stored CSV table from its header, None when there is none yet."""
     try:
-        return read_csv_text(spark, path)
+        return spark.read.option("header", True).option("escape", '"').csv(path).columns
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -55,9 +55,18 @@ def append_csv(new: DataFrame, path: str, grown_path: str, fill_all: bool = Fals
     With the same columns only new files are added. If the columns differ, the
     union goes to ``grown_path``: a table is never written over while it is read.
     """
-    existing = read_csv(new.sparkSession, path)
-    if existing is None or existing.columns == new.columns:
+    spark = new.sparkSession
+    columns = stored_columns(spark, path)
+    if columns is None or columns == new.columns:
         write_csv(fill_missing(numbers_to_text(new)), path, append=True)
         return path
-    write_csv(append_by_name(existing, new, fill_all), grown_path)
+    write_csv(append_by_name(read_csv_text(spark, path), new, fill_all), grown_path)
     return grown_path
+
+
+def newest_version(spark: SparkSession, path: str) -> tuple[str, str]:
+    """Where a table that may have grown lives now, and the folder for its next version."""
+    current, version = path, 2
+    while stored_columns(spark, f"{path}.v{version}") is not None:
+        current, version = f"{path}.v{version}", version + 1
+    return current, f"{path}.v{version}"

@@ -14,6 +14,8 @@ from orgloom.schemas import Dataset
 # nothing else in such a file looks like this.
 INDENTED_RECORD_END = "\n    },\n"
 
+ORDER_TYPE = "struct<file:string,block:bigint,row:bigint>"
+
 # The reader takes a bare NaN for text in these columns.
 NAN_COLUMNS = ("input_company_name", "Company Name")
 
@@ -72,11 +74,14 @@ def _parse_indented(chunks: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def read_optional(spark: SparkSession, path: str, dataset: Dataset, **options) -> DataFrame:
+def read_optional(
+    spark: SparkSession, path: str, dataset: Dataset, layout: str = "lines", with_order: bool = False
+) -> DataFrame:
     """Like ``read_records``, but empty when the dataset is not there."""
     try:
-        return read_records(spark, path, dataset, **options)
+        return read_records(spark, path, dataset, layout, with_order)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], dataset.record_schema())
+        empty = spark.createDataFrame([], dataset.record_schema())
+        return empty.withColumn("record_order", F.lit(None).cast(ORDER_TYPE)) if with_order else empty
