@@ -290,8 +290,8 @@ FROM shown LEFT JOIN sizes ON sizes.k = shown.k AND dataset = 'roles' || ending
             select=f"""
 SELECT target_url AS requested_url, page_kind <> 'about' AND variant <> 7 AS has_bars, false AS bad_locations,
   page_kind <> 'about' AND variant = 9 AS bad_roles,
-  CASE WHEN page_kind <> 'about' AND variant = 1 THEN 1 ELSE 0 END AS without_label,
-  CASE WHEN page_kind <> 'about' AND variant = 1 THEN 1 ELSE 0 END AS without_count {VISITED}""",
+  CASE WHEN page_kind <> 'about' AND variant = 1 THEN 1 ELSE 0 END::BIGINT AS without_label,
+  CASE WHEN page_kind <> 'about' AND variant = 1 THEN 1 ELSE 0 END::BIGINT AS without_count {VISITED}""",
         ),
     ),
     "about_extract": Query(about_extract, with_ctes(ORGS, BARS, PAGES, select=ABOUT_SQL)),

@@ -16,8 +16,10 @@ INDENTED_RECORD_END = "\n    },\n"
 
 ORDER_TYPE = "struct<file:string,block:bigint,row:bigint>"
 
-# The reader takes a bare NaN for text in these columns.
+# A missing name may be written as a bare NaN, which reads as text: the file reader
+# gives it plain, the text parser in quotes.
 NAN_COLUMNS = ("input_company_name", "Company Name")
+NAN_TEXTS = ("NaN", '"NaN"')
 
 
 def read_records(
@@ -56,7 +58,9 @@ def read_records(
         rows = rows.select("*", *order)
     return rows.select(
         *(
-            F.nullif(F.col(f"`{c}`"), F.lit("NaN")).alias(c) if c in NAN_COLUMNS else F.col(f"`{c}`")
+            F.when(~F.col(f"`{c}`").isin(*NAN_TEXTS), F.col(f"`{c}`")).alias(c)
+            if c in NAN_COLUMNS
+            else F.col(f"`{c}`")
             for c in rows.columns
         )
     )

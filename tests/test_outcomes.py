@@ -1,0 +1,153 @@
+"""Which keys a record has in each outcome, and what they hold."""
+
+import datetime
+import json
+
+import pytest
+
+from orgloom.plans.extraction import as_json_records, extract_about, extract_datasets, extract_facet
+from orgloom.schemas import DATASETS, PAGE_SCHEMA, ExtractionSpec
+
+SPEC = ExtractionSpec()
+RUN_TS = "2024-06-01T12:00:00"
+AT = datetime.datetime(2024, 5, 1, 10)
+BASE = "https://h.example.com/company/1"
+BAR = f'<button class="{SPEC.bar_class}"><strong>4</strong><span class="{SPEC.category_class}">Lab</span></button>'
+HEAD = f'<h1 class="{SPEC.title_class}"> Acme </h1><div class="{SPEC.header_class}"><h2>1,200 associated members</h2></div>'
+
+
+def item(index, content=BAR):
+    return f'<li {SPEC.item_attr}="{index}">{content}</li>'
+
+
+def keys(spark, dataset, html=None, final=None, url=BASE + "/", name="Acme", captured=True):
+    """The JSON record of one organisation whose page is ``html``."""
+    orgs = spark.createDataFrame([(name, url)], "name string, profile_url string")
+    target = BASE + SPEC.suffixes[DATASETS[dataset].page_kind]
+    rows = [(target, final or target, html, AT)] if captured else []
+    pages = spark.createDataFrame(rows, PAGE_SCHEMA)
+    records = extract_datasets(orgs, pages, RUN_TS, datasets=[dataset])
+    lines = as_json_records(records, DATASETS[dataset]).toJSON().collect()
+    assert len(lines) == 1
+    return json.loads(lines[0])
+
+
+def test_placeholder_has_no_input_name(spark):
+    for dataset in ("about", "roles_kw"):
+        for url in ("-", "  ", "ftp://x"):
+            assert keys(spark, dataset, url=url) == {"Company Name": "Acme", "LinkedIn URL": url, "Time Stamp": RUN_TS}
+
+
+def test_unavailable(spark):
+    for dataset in ("about", "locations_all"):
+        target = BASE + SPEC.suffixes[DATASETS[dataset].page_kind]
+        final = "https://h.example.com/unavailable/"
+        assert keys(spark, dataset, HEAD, final) == {
+            "Company Name": "-",
+            "LinkedIn URL": BASE,
+            "Targeted URL": target,
+            "Redirected to URL": final,
+            "Time Stamp": "2024-05-01T10:00:00",
+            "input_company_name": "Acme",
+        }
+
+
+def test_about_ok(spark):
+    html = "<h1> Acme &amp; <b>Co</b></h1><dl><dt>Founded</dt><dd>1999</dd></dl>"
+    assert keys(spark, "about", html, BASE + "/about/?moved") == {
+        "Company Name": "Acme & Co",
+        "Website": "-",
+        "Industry": "-",
+        "Company size": "-",
+        "No. of associated members": "-",
+        "Headquarters": "-",
+        "Founded": "1999",
+        "Specialties": "-",
+        "LinkedIn URL": BASE,
+        "Time Stamp": "2024-05-01T10:00:00",
+        "Redirected to URL": BASE + "/about/?moved",
+        "input_company_name": "Acme",
+    }
+
+
+@pytest.mark.parametrize("html", [None, "<p>x</p>"])
+def test_about_not_loaded(spark, html):
+    record = keys(spark, "about", html)
+    assert set(record) == {"Company Name", "LinkedIn URL", "Error", "Time Stamp", "input_company_name"}
+    assert (record["Company Name"], record["LinkedIn URL"]) == ("-", BASE)
+
+
+def test_about_not_captured(spark):
+    assert keys(spark, "about", captured=False) == {
+        "Company Name": "-",
+        "LinkedIn URL": BASE,
+        "Error": "page not captured",
+        "Time Stamp": RUN_TS,
+        "input_company_name": "Acme",
+    }
+
+
+def test_people_ok(spark):
+    html = HEAD + item(0) + item(2, BAR + BAR.replace("Lab", "Ops"))
+    record = keys(spark, "roles_kw", html)
+    assert record == {
+        "Company Name": "Acme",
+        "Quantum Associated Members": "1,200",
+        "Roles": [{"Count": "4", "Role": "Lab"}, {"Count": "4", "Role": "Ops"}],
+        "Time Stamp": "2024-05-01T10:00:00",
+        "Redirected to URL": BASE + "/people/?keywords=quantum",
+        "input_company_name": "Acme",
+    }
+    assert keys(spark, "locations_all", html)["Locations"] == [{"Count": "4", "Location": "Lab"}]
+    assert keys(spark, "locations_all", html)["Associated Members"] == "1,200"
+
+
+def test_people_with_bars_elsewhere_have_an_empty_list(spark):
+    record = keys(spark, "roles_all", HEAD + item(1))
+    assert (record["Roles"], record["Company Name"]) == ([], "Acme")
+
+
+def test_people_without_bars_title_or_header(spark):
+    record = keys(spark, "roles_all", "<h1>untitled</h1>")
+    assert record == {
+        "Company Name": "-",
+        "Associated Members": "-",
+        "Roles": "-",
+        "Time Stamp": "2024-05-01T10:00:00",
+        "Redirected to URL": BASE + "/people/",
+        "input_company_name": "Acme",
+    }
+
+
+def test_people_page_without_source(spark):
+    record = keys(spark, "roles_all", None)
+    assert (record["Company Name"], record["Associated Members"], record["Roles"]) == ("-", "-", "-")
+    assert "Error" not in record and record["Redirected to URL"] == BASE + "/people/"
+
+
+def test_people_exceptions(spark):
+    bad = item(2, f'<button class="{SPEC.bar_class}"><span>x</span></button>') + item(0)
+    expected = {"Company Name", "Associated Members", "Roles", "Time Stamp", "Error", "input_company_name"}
+    for record in (keys(spark, "roles_all", HEAD + bad), keys(spark, "roles_all", captured=False)):
+        assert set(record) == expected
+        assert (record["Company Name"], record["Associated Members"], record["Roles"]) == ("-", "-", "-")
+    # the other facet of the same page is not affected
+    assert keys(spark, "locations_all", HEAD + bad)["Locations"] == [{"Count": "4", "Location": "Lab"}]
+
+
+def test_a_null_name_stays_null(spark):
+    assert "input_company_name" not in keys(spark, "about", "<h1>x</h1>", name=None)
+
+
+def test_five_records_per_organisation_with_a_url(spark):
+    orgs = spark.createDataFrame(
+        [("a", BASE), ("b", BASE), ("b", BASE), ("c", "-"), ("d", None)], "name string, profile_url string"
+    )
+    pages = spark.createDataFrame([(BASE + "/about/", BASE + "/about/", "<h1>x</h1>", AT)], PAGE_SCHEMA)
+    records = extract_datasets(orgs, pages, RUN_TS)
+    assert records.count() == 4 * 5
+    assert records.groupBy("dataset").count().filter("count = 4").count() == 5
+    with_null = extract_datasets(orgs, pages, RUN_TS, null_as_placeholder=True)
+    assert with_null.count() == 5 * 5
+    assert extract_about(orgs, pages, RUN_TS).filter("outcome = 'ok'").count() == 3
+    assert extract_facet(orgs, pages, RUN_TS, "roles", keyword=True).count() == 4
