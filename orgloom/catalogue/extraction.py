@@ -70,7 +70,8 @@ def profile_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         _rendered(spark, sf_dir)
         .withColumn("pairs", extract.dt_dd_pairs(F.col("nodes")))
-        .select("requested_url", extract.profile_fields(F.col("pairs"), SPEC).alias("profile"))
+        .withColumn("profile_values", extract.profile_values(F.col("pairs")))
+        .select("requested_url", extract.profile_fields(F.col("profile_values"), SPEC).alias("profile"))
         .select("requested_url", "profile.*")
     )
 

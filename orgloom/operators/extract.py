@@ -90,26 +90,32 @@ def dt_dd_pairs(nodes: Column) -> Column:
     return let(items, pair)
 
 
-def profile_fields(pairs: Column, spec: ExtractionSpec) -> Column:
-    """A struct with one column per wanted heading; the last heading with a value wins."""
-
-    def candidates(field: str) -> list[Column]:
-        def found(heading: str, value) -> Column:
-            return F.transform(
-                F.filter(pairs, lambda p: p["heading"] == heading),
-                lambda p: F.struct(p["dt_id"].alias("dt_id"), value(p).alias("value")),
-            )
-
-        if field == SIZE_HEADING:
-            return [found(SIZE_HEADING, lambda p: size_extract(p["dd"]))]
-        plain = found(field, lambda p: p["dd"])
-        if field == MEMBERS_HEADING:
-            return [plain, found(SIZE_HEADING, lambda p: F.when(p["dd"].isNotNull(), members_extract(p["next_dd"])))]
-        return [plain]
-
-    def last(field: str) -> Column:
-        with_value = F.filter(F.concat(*candidates(field)), lambda c: c["value"].isNotNull())
-        return or_missing(F.array_max(with_value)["value"])
+def profile_values(pairs: Column) -> Column:
+    """Every value a heading gives: ``array<struct<dt_id, field, value>>``.
+
+    A company size yields its number, and the ``dd`` after it the member count.
+    """
+
+    def found(source: Column, field, value) -> Column:
+        return F.transform(
+            source,
+            lambda p: F.struct(p["dt_id"].alias("dt_id"), field(p).alias("field"), value(p).alias("value")),
+        )
+
+    def own(pair: Column) -> Column:
+        return F.when(pair["heading"] == SIZE_HEADING, size_extract(pair["dd"])).otherwise(pair["dd"])
+
+    sizes = F.filter(pairs, lambda p: (p["heading"] == SIZE_HEADING) & p["dd"].isNotNull())
+    members = found(sizes, lambda p: F.lit(MEMBERS_HEADING), lambda p: members_extract(p["next_dd"]))
+    values = F.concat(found(pairs, lambda p: p["heading"], own), members)
+    return F.filter(values, lambda v: v["value"].isNotNull())
+
+
+def profile_fields(values: Column, spec: ExtractionSpec) -> Column:
+    """A struct with one column per wanted heading; the last value in the page wins."""
+
+    def last(heading: str) -> Column:
+        return or_missing(F.array_max(F.filter(values, lambda v: v["field"] == heading))["value"])
 
     return F.struct(*(last(heading).alias(column) for heading, column in spec.headings.items()))
 

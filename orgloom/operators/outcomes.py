@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orgloom.functions.text import iso_text
@@ -17,6 +19,7 @@ NO_HEADING = "no h1 on page"
 NO_CATEGORY = "a bar has spans but no category"
 
 PROFILE_COLUMNS = [c for c in HEADING_COLUMNS.values() if c != "members"]
+ITEMS_TYPE = "array<struct<label:string,count:string>>"
 
 RECORD_COLUMNS = {
     "dataset": "string",
@@ -30,96 +33,118 @@ RECORD_COLUMNS = {
     "time_stamp": "string",
     "members": "string",
     **{c: "string" for c in PROFILE_COLUMNS},
-    "items": "array<struct<label:string,count:string>>",
+    "items": ITEMS_TYPE,
     "items_missing": "boolean",
 }
 
 
-def record(**values: Column) -> Column:
-    """A record struct; columns not given are absent, that is NULL."""
-    return F.struct(
-        *(values.get(c, F.lit(None)).cast(t).alias(c) for c, t in RECORD_COLUMNS.items())
+def _record(df: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """Select the record columns; those not given are absent, that is NULL."""
+    return df.select(
+        *(
+            (values[c].cast(t) if c in values else F.expr(f"cast(null as {t})")).alias(c)
+            for c, t in RECORD_COLUMNS.items()
+        )
     )
 
 
-def about_outcome(spec: ExtractionSpec) -> Column:
-    return (
-        F.when(F.col("requested_url").isNull(), "exception")
-        .when(is_unavailable(F.col("final_url"), F.col("target_url"), spec), "unavailable")
-        .when(F.col("parse_error") != NO_SOURCE, "exception")
-        .when(F.col("heading").isNull(), "not_loaded")
-        .otherwise("ok")
+def _outcome(dataset: Dataset, spec: ExtractionSpec) -> Column:
+    reached = F.when(F.col("requested_url").isNull(), "exception").when(
+        is_unavailable(F.col("final_url"), F.col("target_url"), spec), "unavailable"
     )
-
-
-def facet_outcome(facet: str, spec: ExtractionSpec) -> Column:
+    if dataset.facet is None:
+        return (
+            reached.when(F.col("parse_error") != NO_SOURCE, "exception")
+            .when(F.col("heading").isNull(), "not_loaded")
+            .otherwise("ok")
+        )
     return (
-        F.when(F.col("requested_url").isNull(), "exception")
-        .when(is_unavailable(F.col("final_url"), F.col("target_url"), spec), "unavailable")
-        .when(F.col("parse_error").isNotNull(), "not_loaded")
+        reached.when(F.col("parse_error").isNotNull(), "not_loaded")
         .when(~F.col("has_bars"), "no_bars")
-        .when(has_unlabelled_bar(F.col(facet)), "exception")
+        .when(has_unlabelled_bar(F.col(dataset.facet)), "exception")
         .otherwise("ok")
     )
 
 
-def _shared(outcome: Column, run_ts: str) -> dict[str, Column]:
-    unavailable = outcome == "unavailable"
-    return {
-        "outcome": outcome,
-        "input_company_name": F.col("name"),
-        "targeted_url": F.when(unavailable, F.col("target_url")),
-        "time_stamp": default_time(iso_text(F.col("captured_at")), run_ts),
-    }
+def route(found: DataFrame, datasets: Iterable[Dataset], spec: ExtractionSpec) -> DataFrame:
+    """One row per looked-up page and dataset made from it, with its ``outcome``."""
+    by_kind: dict[str, list[Column]] = {}
+    for dataset in datasets:
+        items = F.expr(f"cast(null as {ITEMS_TYPE})") if dataset.facet is None else F.col(dataset.facet)
+        routed = F.struct(
+            F.lit(dataset.name).alias("dataset"), _outcome(dataset, spec).alias("outcome"), items.alias("items")
+        )
+        by_kind.setdefault(dataset.page_kind, []).append(routed)
+    made = F.coalesce(*(F.when(F.col("page_kind") == kind, F.array(*r)) for kind, r in by_kind.items()))
+    others = [c for c in found.columns if c not in ("locations", "roles")]
+    return found.select(*others, F.inline(made))
 
 
-def about_record(dataset: Dataset, spec: ExtractionSpec, run_ts: str) -> Column:
-    outcome = about_outcome(spec)
+def _about_values() -> dict[str, Column]:
+    outcome = F.col("outcome")
     ok = outcome == "ok"
     error = F.coalesce(
-        F.when(F.col("requested_url").isNull(), F.lit(NOT_CAPTURED)),
-        F.col("parse_error"),
-        F.lit(NO_HEADING),
-    )
-    return record(
-        **_shared(outcome, run_ts),
-        dataset=F.lit(dataset.name),
-        company_name=F.when(ok, F.col("heading")).otherwise(MISSING),
-        profile_url=F.col("base_url"),
-        redirected_url=F.when(outcome.isin("ok", "unavailable"), F.col("final_url")),
-        error=F.when(outcome.isin("not_loaded", "exception"), error),
-        members=F.when(ok, F.col("profile.members")),
-        **{c: F.when(ok, F.col(f"profile.{c}")) for c in PROFILE_COLUMNS},
+        F.when(F.col("requested_url").isNull(), NOT_CAPTURED), F.col("parse_error"), F.lit(NO_HEADING)
     )
+    return {
+        "company_name": F.when(ok, F.col("heading")).otherwise(MISSING),
+        "profile_url": F.col("base_url"),
+        "redirected_url": F.when(outcome.isin("ok", "unavailable"), F.col("final_url")),
+        "error": F.when(outcome.isin("not_loaded", "exception"), error),
+        **{c: F.when(ok, F.col(f"profile.{c}")) for c in ["members", *PROFILE_COLUMNS]},
+    }
 
 
-def facet_record(dataset: Dataset, spec: ExtractionSpec, run_ts: str) -> Column:
-    outcome = facet_outcome(dataset.facet, spec)
+def _people_values() -> dict[str, Column]:
+    outcome = F.col("outcome")
     read = outcome.isin("ok", "no_bars")
     unavailable = outcome == "unavailable"
-    return record(
-        **_shared(outcome, run_ts),
-        dataset=F.lit(dataset.name),
-        company_name=F.when(read, or_missing(F.col("title"))).otherwise(MISSING),
-        profile_url=F.when(unavailable, F.col("base_url")),
-        redirected_url=F.when(outcome != "exception", F.col("final_url")),
-        error=F.when(
-            outcome == "exception",
-            F.when(F.col("requested_url").isNull(), NOT_CAPTURED).otherwise(NO_CATEGORY),
-        ),
-        members=F.when(read, or_missing(F.col("header_members"))).when(~unavailable, MISSING),
-        items=F.when(outcome == "ok", F.col(dataset.facet)),
-        items_missing=outcome.isin("not_loaded", "no_bars", "exception"),
-    )
+    error = F.when(F.col("requested_url").isNull(), NOT_CAPTURED).otherwise(NO_CATEGORY)
+    return {
+        "company_name": F.when(read, or_missing(F.col("title"))).otherwise(MISSING),
+        "profile_url": F.when(unavailable, F.col("base_url")),
+        "redirected_url": F.when(outcome != "exception", F.col("final_url")),
+        "error": F.when(outcome == "exception", error),
+        "members": F.when(read, or_missing(F.col("header_members"))).when(~unavailable, MISSING),
+        "items": F.when(outcome == "ok", F.col("items")),
+        "items_missing": outcome.isin("not_loaded", "no_bars", "exception"),
+    }
 
 
-def placeholder_record(dataset: str, run_ts: str) -> Column:
-    """Stands for an organisation whose URL is blank or invalid."""
-    return record(
-        dataset=F.lit(dataset),
-        outcome=F.lit("placeholder"),
-        company_name=F.col("name"),
-        profile_url=F.col("profile_url"),
-        time_stamp=F.lit(run_ts),
-        items_missing=F.lit(False),
+def page_records(routed: DataFrame, kinds: Iterable[str], run_ts: str) -> DataFrame:
+    """Records of routed pages; each outcome has its own set of keys, the others are NULL."""
+    kinds = set(kinds)
+    about = _about_values() if "about" in kinds else {}
+    people = _people_values() if kinds - {"about"} else {}
+    if about and people:
+        is_about, absent = F.col("page_kind") == "about", F.lit(None)
+        values = {
+            c: F.when(is_about, about.get(c, absent)).otherwise(people.get(c, absent))
+            for c in {**about, **people}
+        }
+    else:
+        values = about or people
+    shared = {
+        "dataset": F.col("dataset"),
+        "outcome": F.col("outcome"),
+        "input_company_name": F.col("name"),
+        "targeted_url": F.when(F.col("outcome") == "unavailable", F.col("target_url")),
+        "time_stamp": default_time(iso_text(F.col("captured_at")), run_ts),
+    }
+    return _record(routed, {**values, **shared})
+
+
+def placeholder_records(orgs: DataFrame, datasets: Iterable[Dataset], run_ts: str) -> DataFrame:
+    """One record per dataset for each organisation whose URL is blank or invalid."""
+    names = F.array(*(F.lit(d.name) for d in datasets))
+    return _record(
+        orgs.select("name", "profile_url", F.explode(names).alias("dataset")),
+        {
+            "dataset": F.col("dataset"),
+            "outcome": F.lit("placeholder"),
+            "company_name": F.col("name"),
+            "profile_url": F.col("profile_url"),
+            "time_stamp": F.lit(run_ts),
+            "items_missing": F.lit(False),
+        },
     )

@@ -58,7 +58,7 @@ def page_facts(pages: DataFrame, spec: ExtractionSpec, kinds: Iterable[str] | No
     if "about" in wanted:
         facts += [
             extract.first_heading(nodes).alias("heading"),
-            extract.profile_fields(F.col("pairs"), spec).alias("profile"),
+            extract.profile_fields(F.col("profile_values"), spec).alias("profile"),
         ]
     if wanted - {"about"}:
         facts += [
@@ -68,11 +68,12 @@ def page_facts(pages: DataFrame, spec: ExtractionSpec, kinds: Iterable[str] | No
             extract.facet_bars(nodes, spec.locations_index, spec).alias("locations"),
             extract.facet_bars(nodes, spec.roles_index, spec).alias("roles"),
         ]
-    return (
-        with_nodes(narrow, spec)
-        .withColumn("pairs", extract.dt_dd_pairs(nodes))
-        .select("requested_url", "final_url", "captured_at", "capture_hash", "parse_error", *facts)
-    )
+    parsed = with_nodes(narrow, spec)
+    if "about" in wanted:
+        parsed = parsed.withColumn("pairs", extract.dt_dd_pairs(nodes)).withColumn(
+            "profile_values", extract.profile_values(F.col("pairs"))
+        )
+    return parsed.select("requested_url", "final_url", "captured_at", "capture_hash", "parse_error", *facts)
 
 
 def looked_up(classified: DataFrame, pages: DataFrame, spec: ExtractionSpec, kinds: Iterable[str]) -> DataFrame:
@@ -104,32 +105,12 @@ def extract_datasets(
     wanted = [DATASETS[name] for name in datasets]
     classified = classify(orgs, null_as_placeholder, strip_query_first)
 
-    by_kind: dict[str, list[Dataset]] = {}
-    for dataset in wanted:
-        by_kind.setdefault(dataset.page_kind, []).append(dataset)
-    found = looked_up(classified, pages, spec, by_kind)
-
-    def made_from(kind: str):
-        return F.array(
-            *(
-                outcomes.about_record(d, spec, run_ts)
-                if d.facet is None
-                else outcomes.facet_record(d, spec, run_ts)
-                for d in by_kind[kind]
-            )
-        )
-
-    kinds = iter(by_kind)
-    first = next(kinds)
-    chosen = F.when(F.col("page_kind") == first, made_from(first))
-    for kind in kinds:
-        chosen = chosen.when(F.col("page_kind") == kind, made_from(kind))
-    scraped = found.select(F.inline(chosen))
-
-    placeholders = classified.filter(F.col("url_status").isin("blank", "invalid")).select(
-        F.inline(F.array(*(outcomes.placeholder_record(d.name, run_ts) for d in wanted)))
+    kinds = list(dict.fromkeys(d.page_kind for d in wanted))
+    routed = outcomes.route(looked_up(classified, pages, spec, kinds), wanted, spec)
+    without_page = classified.filter(F.col("url_status").isin("blank", "invalid"))
+    return outcomes.page_records(routed, kinds, run_ts).unionByName(
+        outcomes.placeholder_records(without_page, wanted, run_ts)
     )
-    return scraped.unionByName(placeholders)
 
 
 def extract_about(orgs: DataFrame, pages: DataFrame, run_ts: str, **options) -> DataFrame:

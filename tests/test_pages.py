@@ -116,7 +116,7 @@ def test_unclosed_items_nest(spark):
 
 def profile(spark, html):
     def fields(nodes):
-        return extract.profile_fields(extract.dt_dd_pairs(nodes), SPEC)
+        return extract.profile_fields(extract.profile_values(extract.dt_dd_pairs(nodes)), SPEC)
 
     return {k: v for k, v in value(spark, html, fields).asDict().items() if v != "-"}
 
