@@ -62,33 +62,26 @@ def spread_lookup(
 ) -> DataFrame:
     """The same join with every hot URL shared among several splits.
 
-    Equal target rows travel as one row with a count. The other rows of a hot URL
-    go to splits by a hash of the row, and the URL's single capture is repeated once
-    per split. URLs beyond the hot list are one split each. The split is a function
-    of the row, so a task that runs again gives the same rows.
+    A target row goes to a split by its content and by the input partition it is in,
+    so equal rows spread as well, and a task that runs again gives the same rows. The
+    URL's single capture is repeated once per split. URLs beyond the hot list are one
+    split each.
     """
-    columns = targets.columns
-    spark = targets.sparkSession
-    splits_of = F.broadcast(spark.createDataFrame(hot, "_hash bigint, _splits bigint"))
-    splits = F.coalesce("_splits", F.lit(1))
+    splits_of = F.broadcast(targets.sparkSession.createDataFrame(hot, "_hash bigint, _splits bigint"))
+    splits = F.coalesce("_splits", F.lit(1).cast("bigint"))
+    place = F.pmod(F.xxhash64(*targets.columns), splits) + F.spark_partition_id()
 
     left = (
-        targets.groupBy(*columns)
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .withColumn("_hash", F.xxhash64(target_key))
+        targets.withColumn("_hash", F.xxhash64(target_key))
         .join(splits_of, "_hash", "left")
-        .withColumn("_split", F.pmod(F.xxhash64(*columns), splits))
+        .withColumn("_split", F.pmod(place, splits))
         .drop("_hash", "_splits")
     )
     right = (
         captures.withColumn("_hash", F.xxhash64(capture_key))
         .join(splits_of, "_hash", "left")
-        .withColumn("_capture_split", F.explode(F.sequence(F.lit(0), splits - 1)))
+        .withColumn("_capture_split", F.explode(F.sequence(F.lit(0).cast("bigint"), splits - 1)))
         .drop("_hash", "_splits")
     )
     matches = (F.col(target_key) == F.col(capture_key)) & (F.col("_split") == F.col("_capture_split"))
-    return (
-        left.join(right, matches, "left")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .drop("_copy", "_copies", "_split", "_capture_split")
-    )
+    return left.join(right, matches, "left").drop("_split", "_capture_split")

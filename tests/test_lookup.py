@@ -48,17 +48,32 @@ def test_spread_join_equals_the_plain_join(spark):
     assert expected == sorted(lookup(targets, pages).collect(), key=str)
 
 
+def rows_per_split(targets, hot):
+    """How many rows of the hot URL each split of the join gets."""
+    pages = targets.sparkSession.createDataFrame([("https://hot", 0)], "requested_url string, n int")
+    spread = spread_lookup(targets, pages, "target_url", "requested_url", hot)
+    parts = spread.filter("n = 0").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    return [r["count"] for r in parts]
+
+
 def test_a_hot_url_is_shared_among_splits(spark):
-    targets = skewed(spark, 3000)
-    pages = captures(spark, [("https://hot", "f", at(1), 0)])
-    hot = hot_keys(targets, "target_url", 100, 5)
-    plan = spread_lookup(targets, pages, "target_url", "requested_url", hot)._jdf.queryExecution().analyzed().toString()
-    assert "_capture_split" in plan
-    # equal rows travel as one, the others spread over all splits
-    packed = targets.filter("target_url = 'https://hot'").groupBy("name", "target_url").count()
-    assert packed.count() == 501
-    per_split = packed.groupBy(F.pmod(F.xxhash64("name", "target_url"), F.lit(hot[0][1]))).count().collect()
-    assert len(per_split) == hot[0][1] and max(r["count"] for r in per_split) < 100
+    targets = skewed(spark, 30_000).filter("target_url = 'https://hot'")
+    hot = hot_keys(targets, "target_url", 1000, 5)
+    assert hot[0][1] == 10
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        counts = rows_per_split(targets, hot)
+        same = targets.filter("name = 'same'")
+        counts_of_equal_rows = rows_per_split(same, hot)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sum(counts) == 10_000 and len(counts) > 4
+    # equal rows leave their input partitions for different splits
+    assert sum(counts_of_equal_rows) == 5000 and len(counts_of_equal_rows) > 3
 
 
 def test_without_a_hot_url_there_is_no_extra_work(spark):
