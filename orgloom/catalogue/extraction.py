@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orgloom import fixtures as fx
+from orgloom.catalogue import inputs as fx
 from orgloom.catalogue.shared import ABOUT_SQL, BARS, ORGS, PAGES, SPEC, Query, people_sql, with_ctes
 from orgloom.functions.values import or_missing
 from orgloom.operators import extract

@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orgloom import fixtures as fx
+from orgloom.catalogue import inputs as fx
 from orgloom.catalogue.shared import BARS, ORGS, PAGES, SPEC, Query, with_ctes
 from orgloom.functions import text, urls, values
 from orgloom.operators.lookup import latest_capture, lookup
 from orgloom.plans.extraction import classify, rejects
-from orgloom.session import work_dir
 from orgloom.sources.org_list import org_list, read_org_list
 
 
@@ -181,8 +180,8 @@ def null_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def numeric_to_string(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = fx.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    left = fx.table(spark, sf_dir, "nation").filter("n_regionkey <> 1")
-    joined = customers.join(left, F.col("c_nationkey") == F.col("n_nationkey"), "left").drop("c_nationkey")
+    ordered = fx.table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"))
+    joined = customers.join(ordered, F.col("c_custkey") == F.col("o_custkey"), "left").drop("o_custkey")
     return values.fill_missing(values.numbers_to_text(joined))
 
 
@@ -299,8 +298,9 @@ FROM orders""",
     "numeric_to_string": Query(
         numeric_to_string,
         """
-SELECT c_custkey::VARCHAR AS c_custkey, c_name, coalesce(n_nationkey::VARCHAR, '-') AS n_nationkey,
-       coalesce(n_name, '-') AS n_name, coalesce(n_regionkey::VARCHAR, '-') AS n_regionkey
-FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 1) ON c_nationkey = n_nationkey""",
+SELECT c_custkey::VARCHAR AS c_custkey, c_name, c_nationkey::VARCHAR AS c_nationkey,
+       coalesce(n_orders::VARCHAR, '-') AS n_orders
+FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY o_custkey)
+  ON c_custkey = o_custkey""",
     ),
 }

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orgloom.fixtures import HOST, KEYWORD_FLAG, RUN_TS
+from orgloom.catalogue.inputs import HOST, KEYWORD_FLAG, RUN_TS
 from orgloom.schemas import DATASETS, ExtractionSpec
 
 SPEC = ExtractionSpec()

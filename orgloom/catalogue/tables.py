@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orgloom import fixtures as fx
+from orgloom.catalogue import inputs as fx
 from orgloom.catalogue.shared import BARS, Query, items_sql, with_ctes
 from orgloom.functions.values import fill_missing, members_column, or_missing
 from orgloom.operators import reshape
@@ -114,9 +114,10 @@ def role_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def convert_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _converted(spark: SparkSession, sf_dir: str, roles_form: str) -> DataFrame:
     result = None
-    for name, made in tables.convert_all(spark, fx.records_dir(spark, sf_dir), fx.RUN_TS).items():
+    made_tables = tables.convert_all(spark, fx.records_dir(spark, sf_dir), fx.RUN_TS, roles_form)
+    for name, made in made_tables.items():
         counted = made.agg(F.count(F.lit(1)).alias("n_rows")).select(
             F.lit(name).alias("table_name"), "n_rows", F.lit(len(made.columns)).cast("bigint").alias("n_columns")
         )
@@ -124,6 +125,14 @@ def convert_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
+def convert_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _converted(spark, sf_dir, "wide")
+
+
+def convert_all_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _converted(spark, sf_dir, "long")
+
+
 def _people_columns(records: DataFrame) -> DataFrame:
     return records.select("input_company_name", F.col(ALL_MEMBERS).alias("members"))
 
@@ -205,13 +214,13 @@ SELECT '{DATASETS["about"].table_name}' AS table_name, (SELECT count(*) FROM tot
 """
 
 
-def _convert_sql() -> str:
+def _convert_sql(roles_form: str) -> str:
     ctes, selects = [BARS], [_TABLE_ROWS]
     for name, dataset in DATASETS.items():
         if dataset.facet is None:
             continue
         ctes.append(_last_sql(name, f"_{name}"))
-        if dataset.facet == "roles":
+        if dataset.facet == "roles" and roles_form == "wide":
             rows, columns = "SELECT count(*) FROM totals", f"SELECT 5 + count(DISTINCT label) FROM items_{name}"
         else:
             rows, columns = f"SELECT count(*) FROM items_{name}", "SELECT 7"
@@ -320,7 +329,8 @@ GROUP BY k, input_company_name, company_name, time_stamp, redirected_url, member
 SELECT label, input_company_name AS first_record, pos AS first_pos FROM ranked WHERE place = 1""",
         ),
     ),
-    "convert_all": Query(convert_all, _convert_sql()),
+    "convert_all": Query(convert_all, _convert_sql("wide")),
+    "convert_all_long": Query(convert_all_long, _convert_sql("long")),
     "records_append": Query(
         records_append,
         with_ctes(

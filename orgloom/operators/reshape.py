@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from orgloom.functions.values import let, or_missing
 from orgloom.schemas import MISSING
 
+log = logging.getLogger(__name__)
+
 ITEMS_TYPE = "array<struct<label:string,count:string,is_entry:boolean>>"
 MAX_ROLE_COLUMNS = 20_000
 
@@ -161,6 +164,9 @@ def to_wide(records: DataFrame, names: Sequence[str], counts: str = "counts") ->
     """One column per label, read off the record's map: no shuffle, one row per record."""
     base = [c for c in records.columns if c != counts]
     columns = free_names(names, base)
+    renamed = [name for name, column in columns.items() if name != column]
+    if renamed:
+        log.warning("%d role columns renamed, they are named like base columns: %s", len(renamed), renamed)
     return records.select(
         *(F.col(f"`{c}`") for c in base),
         *(or_missing(F.try_element_at(F.col(counts), F.lit(n))).alias(c) for n, c in columns.items()),

@@ -66,6 +66,9 @@ class PageTokenizer(HTMLParser):
             self._pop()
         return self.nodes
 
+    def updatepos(self, i, j):
+        return j  # line numbers are not needed
+
     def _end_text(self):
         if not self.data:
             return
@@ -76,12 +79,9 @@ class PageTokenizer(HTMLParser):
         self.pieces.append(text)
 
     def _wanted(self, tag, classes, attrs):
-        return (
-            self.keep_tags is None
-            or tag in self.keep_tags
-            or not self.keep_classes.isdisjoint(classes)
-            or not self.keep_attrs.isdisjoint(attrs)
-        )
+        if self.keep_tags is None or tag in self.keep_tags:
+            return True
+        return bool(attrs) and not (self.keep_classes.isdisjoint(classes) and self.keep_attrs.isdisjoint(attrs))
 
     def handle_starttag(self, tag, attrs):
         self._start(tag, attrs)
@@ -96,7 +96,7 @@ class PageTokenizer(HTMLParser):
         self._end_text()
         self.last_id += 1
         attrs = {k: v or "" for k, v in attrs}
-        classes = re.findall(r"\S+", attrs.get("class", ""))
+        classes = re.findall(r"\S+", attrs["class"]) if "class" in attrs else []
         row = None
         if self._wanted(tag, classes, attrs):
             row = {

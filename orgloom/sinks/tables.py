@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from orgloom.functions.text import digits_only
 from orgloom.functions.values import fill_missing, numbers_to_text
+from orgloom.schemas import ALL_MEMBERS, KEYWORD_MEMBERS
 from orgloom.sources.org_list import read_csv_text
 
 
@@ -27,6 +30,15 @@ def write_csv(table: DataFrame, path: str, append: bool = False) -> None:
     )
 
 
+def write_native(table: DataFrame, path: str, append: bool = False) -> None:
+    """Parquet, with the member count also as a number in ``members_n``."""
+    counts = [c for c in (ALL_MEMBERS, KEYWORD_MEMBERS) if c in table.columns]
+    if counts:
+        first_count = F.coalesce(*(digits_only(F.col(f"`{c}`")) for c in counts))
+        table = table.withColumn("members_n", first_count.cast("bigint"))
+    table.write.mode("append" if append else "overwrite").parquet(path)
+
+
 def stored_columns(spark: SparkSession, path: str) -> list[str] | None:
     """Column names of a stored CSV table from its header, None when there is none yet."""
     try:

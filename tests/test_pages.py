@@ -161,7 +161,7 @@ def bar(content):
 def test_bars_in_document_order_of_the_first_list_item(spark):
     label = '<span class="y">no</span><div><span class="{c}"> {l} </span></div>'
     html = (
-        f'<li {SPEC.item_attr}="2">other</li><li {SPEC.item_attr}="0"><ul><li {SPEC.item_attr}="0">'
+        f'<li>plain</li><li class="x">plain</li><li {SPEC.item_attr}="2">other</li><li {SPEC.item_attr}="0"><ul><li {SPEC.item_attr}="0">'
         + bar(f"<b><strong> 1,5 </strong></b><strong>9</strong>{label.format(c=CATEGORY, l='Berlin')}")
         + "<button><strong>7</strong></button>"
         + bar(f"{label.format(c=CATEGORY, l='A &amp; B')}")

@@ -5,7 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from orgloom import fixtures as fx
+from orgloom.catalogue import inputs as fx
 from orgloom.plans.extraction import extract_about, extract_datasets, page_facts
 from orgloom.schemas import ExtractionSpec
 
