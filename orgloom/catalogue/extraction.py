@@ -32,7 +32,7 @@ def page_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def first_heading(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_nodes(_real(spark, sf_dir), SPEC).select(
-        F.col("requested_url").alias("url"), extract.first_heading(F.col("nodes")).alias("heading")
+        F.col("requested_url").alias("url"), extract.first_heading(F.col("page")).alias("heading")
     )
 
 
@@ -40,8 +40,8 @@ def page_has_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = with_nodes(_real(spark, sf_dir), SPEC, all_tags=True, text_tags=frozenset())
     return nodes.select(
         F.col("requested_url").alias("url"),
-        extract.has_class(F.col("nodes"), "ad").alias("has_ad"),
-        extract.has_class(F.col("nodes"), SPEC.bar_class).alias("has_bars"),
+        extract.has_class(F.col("page"), "ad").alias("has_ad"),
+        extract.has_class(F.col("page"), SPEC.bar_class).alias("has_bars"),
     )
 
 
@@ -52,24 +52,24 @@ def _rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def first_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rendered(spark, sf_dir).select("requested_url", extract.page_title(F.col("nodes"), SPEC).alias("title"))
+    return _rendered(spark, sf_dir).select("requested_url", extract.page_title(F.col("page"), SPEC).alias("title"))
 
 
 def header_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rendered(spark, sf_dir).select(
-        "requested_url", or_missing(extract.header_members(F.col("nodes"), SPEC)).alias("members")
+        "requested_url", or_missing(extract.header_members(F.col("page"), SPEC)).alias("members")
     )
 
 
 def dt_dd_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = _rendered(spark, sf_dir).select("requested_url", F.inline(extract.dt_dd_pairs(F.col("nodes"))))
+    pairs = _rendered(spark, sf_dir).select("requested_url", F.inline(extract.dt_dd_pairs(F.col("page"))))
     return pairs.select("requested_url", "heading", "dd", "next_dd")
 
 
 def profile_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         _rendered(spark, sf_dir)
-        .withColumn("pairs", extract.dt_dd_pairs(F.col("nodes")))
+        .withColumn("pairs", extract.dt_dd_pairs(F.col("page"), SPEC.headings))
         .withColumn("profile_values", extract.profile_values(F.col("pairs")))
         .select("requested_url", extract.profile_fields(F.col("profile_values"), SPEC).alias("profile"))
         .select("requested_url", "profile.*")
@@ -79,7 +79,7 @@ def profile_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 def facet_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     facets = F.array(
         *(
-            F.struct(F.lit(facet).alias("facet"), extract.facet_bars(F.col("nodes"), index, SPEC).alias("bars"))
+            F.struct(F.lit(facet).alias("facet"), extract.facet_bars(F.col("page"), index, SPEC).alias("bars"))
             for facet, index in (("locations", SPEC.locations_index), ("roles", SPEC.roles_index))
         )
     )

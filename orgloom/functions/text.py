@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 from orgloom.schemas import MISSING
 
+# The patterns below can only start where a run of their characters starts, so a long
+# run without a match takes linear time.
+
 # Python's str.isspace and \s also accept the four separators \x1c-\x1f.
 SPACE = r"[\s\x1c-\x1f]"
 
 
 def strip(text: Column) -> Column:
     """Cut white space at both ends (Spark's trim cuts blanks only)."""
-    return F.regexp_replace(text, rf"(?U)\A{SPACE}+|{SPACE}+\z", "")
+    return F.regexp_replace(text, rf"(?U)\A{SPACE}+|(?<!{SPACE}){SPACE}+\z", "")
 
 
 def is_space(text: Column) -> Column:
@@ -33,14 +36,14 @@ def size_clean(text: Column) -> Column:
 
 def size_extract(text: Column) -> Column:
     """The text before "employees", quoted; NULL when the word does not occur."""
-    pattern = rf"(?iUd).*(?={SPACE}*employees)"
+    pattern = rf"(?iUdm)^.*(?={SPACE}*employees)"
     before = strip(F.regexp_extract(text, pattern, 0))
     return F.when(text.rlike(pattern), F.concat(F.lit("'"), before))
 
 
 def members_extract(text: Column) -> Column:
     """The number before "associated member(s)", commas kept; NULL without one."""
-    pattern = rf"(?iUd)[\d,]+(?={SPACE}*associated member[s]?)"
+    pattern = rf"(?iUd)(?<![\d,])[\d,]++(?={SPACE}*associated member[s]?)"
     return F.nullif(F.regexp_extract(text, pattern, 0), F.lit(""))
 
 

@@ -1,17 +1,20 @@
-"""Expressions over a page's node array.
+"""Expressions over one parsed page.
 
-Each helper reads the array of one page, so nothing here shuffles. Arrays are in
-document order: the first match is the first element, and the inside of an
-element is a slice, which keeps the work linear in the size of the page.
+Each helper reads the arrays of one row, so nothing here shuffles. Arrays are in
+document order: the first match is the first element, and the inside of an element
+is a slice, which keeps the work linear in the size of the page.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from orgloom.functions.text import members_extract, size_extract, strip
 from orgloom.functions.values import let, or_missing
+from orgloom.operators.nodes import text_raw, text_stripped
 from orgloom.schemas import MEMBERS_HEADING, SIZE_HEADING, ExtractionSpec
 
 
@@ -27,67 +30,77 @@ def first_by_class(nodes: Column, tag: str, token: str) -> Column:
     return _first(nodes, lambda n: (n["tag"] == tag) & F.array_contains(n["classes"], token))
 
 
-def has_class(nodes: Column, token: str) -> Column:
-    return F.coalesce(F.exists(nodes, lambda n: F.array_contains(n["classes"], token)), F.lit(False))
+def has_class(page: Column, token: str) -> Column:
+    return F.coalesce(F.exists(page["nodes"], lambda n: F.array_contains(n["classes"], token)), F.lit(False))
 
 
-def inside(nodes: Column, node: Column) -> Column:
+def inside(page: Column, node: Column) -> Column:
     """The kept elements inside ``node``; NULL without a node."""
-    return F.slice(nodes, node["pos"] + 2, node["n_inner"])
+    return F.slice(page["nodes"], node["pos"] + 2, node["n_inner"])
 
 
-def first_heading(nodes: Column) -> Column:
+def first_heading(page: Column) -> Column:
     """Text of the first ``h1``, cut at the ends; NULL without one."""
-    return strip(first_by_tag(nodes, "h1")["text_raw"])
+    return let(first_by_tag(page["nodes"], "h1"), lambda h1: strip(text_raw(page, h1)))
 
 
-def page_title(nodes: Column, spec: ExtractionSpec) -> Column:
-    return first_by_class(nodes, "h1", spec.title_class)["text_stripped"]
+def page_title(page: Column, spec: ExtractionSpec) -> Column:
+    return let(first_by_class(page["nodes"], "h1", spec.title_class), lambda h1: text_stripped(page, h1))
 
 
-def header_members(nodes: Column, spec: ExtractionSpec) -> Column:
+def header_members(page: Column, spec: ExtractionSpec) -> Column:
     """The member count in the first ``h2`` of the people header; NULL without one."""
-    return let(
-        first_by_class(nodes, "div", spec.header_class),
-        lambda div: members_extract(first_by_tag(inside(nodes, div), "h2")["text_stripped"]),
+    header = let(
+        first_by_class(page["nodes"], "div", spec.header_class),
+        lambda div: first_by_tag(inside(page, div), "h2"),
     )
+    return let(header, lambda h2: members_extract(text_stripped(page, h2)))
 
 
-def dt_dd_pairs(nodes: Column) -> Column:
+def dt_dd_pairs(page: Column, headings: Iterable[str] | None = None) -> Column:
     """Each ``dt`` with the next ``dd`` sibling and the ``dd`` sibling after that.
 
     Siblings become neighbours by sorting on the parent. In that order, a ``dt`` at
     position p that has m other ``dt`` before it has p - m ``dd`` before it, so its
-    next ``dd`` is number p - m of all ``dd``: one sort, then lookups by index.
+    next ``dd`` is number p - m of all ``dd``: one sort, then lookups by index. With
+    ``headings`` only the ``dt`` with one of these texts are paired.
     """
+    wanted = ("parent_id", "node_id", "tag", "text_from", "text_count")
     items = F.array_sort(
         F.transform(
-            F.filter(nodes, lambda n: n["tag"].isin("dt", "dd")),
-            lambda n: F.struct(n["parent_id"], n["node_id"], n["tag"], n["text_stripped"].alias("text")),
+            F.filter(page["nodes"], lambda n: n["tag"].isin("dt", "dd")),
+            lambda n: F.struct(*(n[c].alias(c) for c in wanted)),
         )
     )
 
-    def pair(siblings: Column) -> Column:
+    def pairs(siblings: Column) -> Column:
         placed = F.transform(siblings, lambda n, p: F.struct(n.alias("n"), p.alias("p")))
-        dts = F.filter(placed, lambda x: x["n"]["tag"] == "dt")
-        dds = F.filter(siblings, lambda n: n["tag"] == "dd")
-        return let(
-            F.struct(dts.alias("dts"), dds.alias("dds")),
-            lambda both: F.transform(both["dts"], lambda x, m: _pair(both["dds"], x, m)),
+        dts = F.transform(
+            F.filter(placed, lambda x: x["n"]["tag"] == "dt"),
+            lambda x, m: F.struct(
+                x["n"].alias("n"), (x["p"] - m).alias("next"), text_stripped(page, x["n"]).alias("heading")
+            ),
         )
+        if headings is not None:
+            dts = F.filter(dts, lambda dt: dt["heading"].isin(*headings))
+        dds = F.filter(siblings, lambda n: n["tag"] == "dd")
+        return let(dds, lambda bound: F.transform(dts, lambda dt: pair(bound, dt)))
 
-    def _pair(dds: Column, dt: Column, m: Column) -> Column:
-        def text_of(dd: Column) -> Column:
-            return F.when(dd["parent_id"] == dt["n"]["parent_id"], dd["text"])
+    def pair(dds: Column, dt: Column) -> Column:
+        def text_at(index: Column) -> Column:
+            return let(
+                F.get(dds, index),
+                lambda dd: F.when(dd["parent_id"] == dt["n"]["parent_id"], text_stripped(page, dd)),
+            )
 
         return F.struct(
             dt["n"]["node_id"].alias("dt_id"),
-            dt["n"]["text"].alias("heading"),
-            text_of(F.get(dds, dt["p"] - m)).alias("dd"),
-            text_of(F.get(dds, dt["p"] - m + 1)).alias("next_dd"),
+            dt["heading"].alias("heading"),
+            text_at(dt["next"]).alias("dd"),
+            text_at(dt["next"] + 1).alias("next_dd"),
         )
 
-    return let(items, pair)
+    return let(items, pairs)
 
 
 def profile_values(pairs: Column) -> Column:
@@ -120,7 +133,7 @@ def profile_fields(values: Column, spec: ExtractionSpec) -> Column:
     return F.struct(*(last(heading).alias(column) for heading, column in spec.headings.items()))
 
 
-def facet_bars(nodes: Column, index: str, spec: ExtractionSpec) -> Column:
+def facet_bars(page: Column, index: str, spec: ExtractionSpec) -> Column:
     """The bars of one facet: ``array<struct<label, count>>`` in document order.
 
     Empty without the facet. A bar without any ``span`` has the missing mark as
@@ -128,22 +141,23 @@ def facet_bars(nodes: Column, index: str, spec: ExtractionSpec) -> Column:
     """
 
     def bar(button: Column) -> Column:
-        return let(
-            inside(nodes, button),
-            lambda inner: F.struct(
-                F.when(~F.exists(inner, lambda n: n["tag"] == "span"), "-")
-                .otherwise(strip(first_by_class(inner, "span", spec.category_class)["text_raw"]))
-                .alias("label"),
-                or_missing(strip(first_by_tag(inner, "strong")["text_raw"])).alias("count"),
-            ),
+        return let(inside(page, button), label_and_count)
+
+    def label_and_count(inner: Column) -> Column:
+        category = first_by_class(inner, "span", spec.category_class)
+        return F.struct(
+            F.when(~F.exists(inner, lambda n: n["tag"] == "span"), "-")
+            .otherwise(let(category, lambda span: strip(text_raw(page, span))))
+            .alias("label"),
+            or_missing(let(first_by_tag(inner, "strong"), lambda n: strip(text_raw(page, n)))).alias("count"),
         )
 
-    item = _first(nodes, lambda n: (n["tag"] == "li") & (n["attrs"][spec.item_attr] == index))
+    item = _first(page["nodes"], lambda n: (n["tag"] == "li") & (n["attrs"][spec.item_attr] == index))
     bars = let(
         item,
         lambda li: F.transform(
             F.filter(
-                inside(nodes, li),
+                inside(page, li),
                 lambda n: (n["tag"] == "button") & F.array_contains(n["classes"], spec.bar_class),
             ),
             bar,

@@ -1,33 +1,32 @@
-"""Page corpus -> element nodes (the node table and its per-page array form)."""
+"""Page corpus -> element nodes: one array per page, or the node table."""
 
 from __future__ import annotations
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orgloom.functions.text import strip
 from orgloom.operators import tokenizer
 from orgloom.schemas import ExtractionSpec
 
 # Workers get the tokenizer with the task, so a cluster need not install the package.
 cloudpickle.register_pickle_by_value(tokenizer)
 
-NODE_SCHEMA = T.ArrayType(
-    T.StructType(
-        [
-            T.StructField("node_id", T.IntegerType()),
-            T.StructField("parent_id", T.IntegerType()),
-            T.StructField("last_desc_id", T.IntegerType()),
-            T.StructField("pos", T.IntegerType()),
-            T.StructField("n_inner", T.IntegerType()),
-            T.StructField("tag", T.StringType()),
-            T.StructField("classes", T.ArrayType(T.StringType())),
-            T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
-            T.StructField("text_raw", T.StringType()),
-            T.StructField("text_stripped", T.StringType()),
-        ]
-    )
+NODE_SCHEMA = T.StructType(
+    [
+        T.StructField("node_id", T.IntegerType()),
+        T.StructField("parent_id", T.IntegerType()),
+        T.StructField("last_desc_id", T.IntegerType()),
+        T.StructField("pos", T.IntegerType()),
+        T.StructField("n_inner", T.IntegerType()),
+        T.StructField("tag", T.StringType()),
+        T.StructField("classes", T.ArrayType(T.StringType())),
+        T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("text_from", T.IntegerType()),
+        T.StructField("text_count", T.IntegerType()),
+    ]
 )
 
 # Output batches are cut at about this much page text.
@@ -40,12 +39,13 @@ def with_nodes(
     all_tags: bool = False,
     text_tags: frozenset[str] | None = None,
 ) -> DataFrame:
-    """Replace ``html`` by the page's ``nodes``; a map-only step without shuffle.
+    """Replace ``html`` by ``page``; a map-only step without shuffle.
 
-    The array keeps a page's elements together in document order, so everything
-    extracted from a page later is an expression over one row. ``pos`` is the
-    index in the array and ``n_inner`` the number of kept elements inside, so the
-    inside of an element is a slice.
+    ``page.nodes`` holds the kept elements in document order, so everything extracted
+    from a page later is an expression over one row. ``pos`` is an element's index in
+    the array and ``n_inner`` the number of kept elements inside, so the inside of an
+    element is a slice. ``page.texts`` holds each text node once and ``page.stripped``
+    the same cut at both ends; an element's text is a slice of these.
     """
     run = tokenizer.batch_tokenizer(
         keep_tags=None if all_tags else spec.text_tags | {"li", "button"},
@@ -56,12 +56,44 @@ def with_nodes(
     )
     kept = [f for f in pages.schema.fields if f.name != "html"]
     schema = T.StructType(
-        [*kept, T.StructField("nodes", NODE_SCHEMA), T.StructField("parse_error", T.StringType())]
+        [
+            *kept,
+            T.StructField("nodes", T.ArrayType(NODE_SCHEMA)),
+            T.StructField("texts", T.ArrayType(T.StringType())),
+            T.StructField("parse_error", T.StringType()),
+        ]
+    )
+    parsed = pages.mapInArrow(run, schema).withColumn("stripped", F.transform("texts", strip))
+    return parsed.select(
+        *(F.col(f.name) for f in kept), F.struct("nodes", "texts", "stripped").alias("page"), "parse_error"
     )
-    return pages.mapInArrow(run, schema)
 
 
-def node_table(nodes: DataFrame) -> DataFrame:
-    """One row per element."""
-    others = [c for c in nodes.columns if c not in ("nodes", "parse_error")]
-    return nodes.select(*others, F.inline("nodes"))
+def _text(texts: Column, node: Column) -> Column:
+    return F.array_join(F.slice(texts, node["text_from"] + 1, node["text_count"]), "")
+
+
+def text_raw(page: Column, node: Column) -> Column:
+    """The element's text nodes as they are, joined; NULL if its text was not kept."""
+    return _text(page["texts"], node)
+
+
+def text_stripped(page: Column, node: Column) -> Column:
+    """The element's text nodes, each cut at both ends, joined without a separator."""
+    return _text(page["stripped"], node)
+
+
+def node_table(parsed: DataFrame) -> DataFrame:
+    """One row per element, with both forms of its text."""
+    page = F.col("page")
+    others = [c for c in parsed.columns if c not in ("page", "parse_error")]
+    columns = [f.name for f in NODE_SCHEMA if not f.name.startswith("text")]
+    rows = F.transform(
+        page["nodes"],
+        lambda n: F.struct(
+            *(n[c].alias(c) for c in columns),
+            text_raw(page, n).alias("text_raw"),
+            text_stripped(page, n).alias("text_stripped"),
+        ),
+    )
+    return parsed.select(*others, F.inline(rows))

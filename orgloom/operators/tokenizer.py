@@ -34,18 +34,20 @@ NODE_TYPE = pa.struct(
         ("tag", pa.string()),
         ("classes", pa.list_(pa.string())),
         ("attrs", pa.map_(pa.string(), pa.string())),
-        ("text_raw", pa.string()),
-        ("text_stripped", pa.string()),
+        ("text_from", pa.int32()),
+        ("text_count", pa.int32()),
     ]
 )
 
 
 class PageTokenizer(HTMLParser):
-    """Collects the wanted elements of one page in document order.
+    """Collects the wanted elements and text nodes of one page in document order.
 
     ``keep_tags=None`` keeps every element. Otherwise an element is kept for its
-    tag, for one of its classes or for one of its attributes. Text is collected
-    for ``text_tags`` only.
+    tag, for one of its classes or for one of its attributes. A text node is kept
+    once, if some element of ``text_tags`` is around it, and these elements tell
+    where their text nodes start and how many there are. So the result is never
+    larger than the page, however deep its elements are nested.
     """
 
     def __init__(self, keep_tags, keep_classes, keep_attrs, text_tags):
@@ -53,18 +55,19 @@ class PageTokenizer(HTMLParser):
         self.keep_tags, self.keep_classes = keep_tags, keep_classes
         self.keep_attrs, self.text_tags = keep_attrs, text_tags
 
-    def rows(self, html):
+    def tokenise(self, html):
+        """The page as ``(elements, text nodes)``."""
         self.reset()
-        self.nodes, self.last_id = [], -1
-        self.open, self.open_names = [], {}  # open: (name, id, row, first text piece)
-        self.data, self.pieces = [], []
+        self.nodes, self.texts, self.data = [], [], []
+        self.last_id = -1
+        self.open, self.open_names = [], {}  # open: (name, id, row)
         self.listeners = self.hidden = self.preformatted = 0
         self.feed(html)
         self.close()
         self._end_text()
         while self.open:
             self._pop()
-        return self.nodes
+        return self.nodes, self.texts
 
     def updatepos(self, i, j):
         return j  # line numbers are not needed
@@ -76,7 +79,7 @@ class PageTokenizer(HTMLParser):
         self.data.clear()
         if not self.preformatted and not text.strip(ASCII_SPACE):
             text = "\n" if "\n" in text else " "
-        self.pieces.append(text)
+        self.texts.append(text)
 
     def _wanted(self, tag, classes, attrs):
         if self.keep_tags is None or tag in self.keep_tags:
@@ -108,8 +111,10 @@ class PageTokenizer(HTMLParser):
                 "attrs": [(k, v) for k, v in attrs.items() if self.keep_tags is None or k in self.keep_attrs],
             }
             self.nodes.append(row)
-            self.listeners += tag in self.text_tags
-        self.open.append((tag, self.last_id, row, len(self.pieces)))
+            if tag in self.text_tags:
+                row["text_from"] = len(self.texts)
+                self.listeners += 1
+        self.open.append((tag, self.last_id, row))
         self.open_names[tag] = self.open_names.get(tag, 0) + 1
         self.hidden += tag in HIDDEN
         self.preformatted += tag in PREFORMATTED
@@ -122,7 +127,7 @@ class PageTokenizer(HTMLParser):
             pass
 
     def _pop(self):
-        tag, _, row, first = self.open.pop()
+        tag, _, row = self.open.pop()
         self.open_names[tag] -= 1
         self.hidden -= tag in HIDDEN
         self.preformatted -= tag in PREFORMATTED
@@ -130,12 +135,8 @@ class PageTokenizer(HTMLParser):
             row["last_desc_id"] = self.last_id
             row["n_inner"] = len(self.nodes) - row["pos"] - 1
             if tag in self.text_tags:
-                texts = self.pieces[first:]
-                row["text_raw"] = "".join(texts)
-                row["text_stripped"] = "".join(t.strip() for t in texts)
+                row["text_count"] = len(self.texts) - row["text_from"]
                 self.listeners -= 1
-                if not self.listeners:
-                    self.pieces.clear()
         return tag
 
     def handle_data(self, data):
@@ -169,32 +170,36 @@ class PageTokenizer(HTMLParser):
 
 
 def batch_tokenizer(keep_tags, keep_classes, keep_attrs, text_tags, max_chars):
-    """An Arrow-batch function that replaces ``html`` by ``nodes`` and ``parse_error``."""
-
-    def emit(batch, first, rows, errors):
-        part = batch.slice(first, len(rows)).drop_columns(["html"])
-        return pa.RecordBatch.from_arrays(
-            [*part.columns, pa.array(rows, pa.list_(NODE_TYPE)), pa.array(errors, pa.string())],
-            names=[*part.schema.names, "nodes", "parse_error"],
-        )
+    """An Arrow-batch function that replaces ``html`` by ``nodes``, ``texts`` and ``parse_error``."""
+
+    def emit(batch, first, pages):
+        nodes, texts, errors = zip(*pages)
+        part = batch.slice(first, len(pages)).drop_columns(["html"])
+        made = {
+            "nodes": pa.array(nodes, pa.list_(NODE_TYPE)),
+            "texts": pa.array(texts, pa.list_(pa.string())),
+            "parse_error": pa.array(errors, pa.string()),
+        }
+        return pa.RecordBatch.from_arrays([*part.columns, *made.values()], names=[*part.schema.names, *made])
 
     def run(batches):
         tokenizer = PageTokenizer(keep_tags, keep_classes, keep_attrs, text_tags)
         for batch in batches:
-            rows, errors, first, chars = [], [], 0, 0
+            pages, first, chars = [], 0, 0
             for html in batch.column("html"):
                 html = html.as_py()
+                if html is None:
+                    pages.append((None, None, "no page source"))
+                    continue
                 try:
-                    rows.append(None if html is None else tokenizer.rows(html))
-                    errors.append("no page source" if html is None else None)
+                    pages.append((*tokenizer.tokenise(html), None))
                 except Exception as error:  # one bad page must not end the job
-                    rows.append(None)
-                    errors.append(f"{type(error).__name__}: {error}")
-                chars += len(html or "")
+                    pages.append((None, None, f"{type(error).__name__}: {error}"))
+                chars += len(html)
                 if chars > max_chars:
-                    yield emit(batch, first, rows, errors)
-                    first, rows, errors, chars = first + len(rows), [], [], 0
-            if rows:
-                yield emit(batch, first, rows, errors)
+                    yield emit(batch, first, pages)
+                    first, pages, chars = first + len(pages), [], 0
+            if pages:
+                yield emit(batch, first, pages)
 
     return run

@@ -53,24 +53,24 @@ def page_facts(pages: DataFrame, spec: ExtractionSpec, kinds: Iterable[str] | No
     if wanted != set(spec.suffixes):
         endings = [F.col("requested_url").endswith(spec.suffixes[kind]) for kind in sorted(wanted)]
         narrow = narrow.filter(reduce(or_, endings))
-    nodes = F.col("nodes")
+    page = F.col("page")
     facts = []
     if "about" in wanted:
         facts += [
-            extract.first_heading(nodes).alias("heading"),
+            extract.first_heading(page).alias("heading"),
             extract.profile_fields(F.col("profile_values"), spec).alias("profile"),
         ]
     if wanted - {"about"}:
         facts += [
-            extract.page_title(nodes, spec).alias("title"),
-            extract.header_members(nodes, spec).alias("header_members"),
-            extract.has_class(nodes, spec.bar_class).alias("has_bars"),
-            extract.facet_bars(nodes, spec.locations_index, spec).alias("locations"),
-            extract.facet_bars(nodes, spec.roles_index, spec).alias("roles"),
+            extract.page_title(page, spec).alias("title"),
+            extract.header_members(page, spec).alias("header_members"),
+            extract.has_class(page, spec.bar_class).alias("has_bars"),
+            extract.facet_bars(page, spec.locations_index, spec).alias("locations"),
+            extract.facet_bars(page, spec.roles_index, spec).alias("roles"),
         ]
     parsed = with_nodes(narrow, spec)
     if "about" in wanted:
-        parsed = parsed.withColumn("pairs", extract.dt_dd_pairs(nodes)).withColumn(
+        parsed = parsed.withColumn("pairs", extract.dt_dd_pairs(page, spec.headings)).withColumn(
             "profile_values", extract.profile_values(F.col("pairs"))
         )
     return parsed.select("requested_url", "final_url", "captured_at", "capture_hash", "parse_error", *facts)

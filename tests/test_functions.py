@@ -112,6 +112,13 @@ def test_members_extract(spark, raw, expected):
     assert one(spark, raw, text.members_extract) == expected
 
 
+def test_long_texts_take_linear_time(spark):
+    long_line, long_number, long_gap = "a" * 300_000, "1" * 300_000, " " * 300_000
+    assert one(spark, long_line, text.size_extract) is None
+    assert one(spark, long_number, text.members_extract) is None
+    assert one(spark, f"a{long_gap}b", text.strip) == f"a{long_gap}b"
+
+
 def test_digits_and_strip(spark):
     assert one(spark, "1,234 x", text.digits_only) == "1234"
     assert one(spark, "-", text.digits_only) is None

@@ -7,7 +7,6 @@ from orgloom.schemas import ExtractionSpec
 
 SPEC = ExtractionSpec()
 TITLE, HEADER, BAR, CATEGORY = SPEC.title_class, SPEC.header_class, SPEC.bar_class, SPEC.category_class
-NODES = "nodes"
 
 
 def parsed(spark, html, **options):
@@ -16,7 +15,7 @@ def parsed(spark, html, **options):
 
 
 def value(spark, html, fn):
-    return parsed(spark, html).select(fn(F.col(NODES)).alias("v")).collect()[0].v
+    return parsed(spark, html).select(fn(F.col("page")).alias("v")).collect()[0].v
 
 
 def elements(spark, html, *columns):
@@ -59,14 +58,14 @@ def test_names_classes_and_attributes(spark):
     ],
 )
 def test_text_modes(spark, html, raw, stripped):
-    node = parsed(spark, html).select(F.inline(NODES)).filter("tag = 'h1'").collect()[0]
+    node = node_table(parsed(spark, html)).filter("tag = 'h1'").collect()[0]
     # an unknown entity loses its semicolon
     assert (node.text_raw, node.text_stripped) == (raw.replace("&nosuch;", "&nosuch"), stripped.replace("&nosuch;", "&nosuch"))
 
 
 def test_missing_source_and_bad_pages_are_rows(spark):
     rows = parsed(spark, None).collect()
-    assert (rows[0].nodes, rows[0].parse_error) == (None, "no page source")
+    assert (rows[0].page.nodes, rows[0].page.texts, rows[0].parse_error) == (None, None, "no page source")
 
 
 def test_batches_are_cut_without_losing_rows(spark):
@@ -83,7 +82,7 @@ def test_batches_are_cut_without_losing_rows(spark):
 
 def test_only_kept_elements_leave_the_parser(spark):
     html = f'<div><p>x</p><div class="{HEADER}"><h2>1</h2></div><li {SPEC.item_attr}="0"><a>y</a></li></div>'
-    tags = [n["tag"] for n in parsed(spark, html).collect()[0].nodes]
+    tags = [n["tag"] for n in parsed(spark, html).collect()[0].page.nodes]
     assert tags == ["div", "h2", "li"]
 
 
@@ -121,6 +120,12 @@ def profile(spark, html):
     return {k: v for k, v in value(spark, html, fields).asDict().items() if v != "-"}
 
 
+def test_pairs_of_wanted_headings_only(spark):
+    html = "<dl><dt>A</dt><dd>1</dd><dt>B</dt><dt>C</dt><dd>2</dd></dl><dl><dt>B</dt><dd>3</dd></dl>"
+    found = value(spark, html, lambda page: extract.dt_dd_pairs(page, ["B"]))
+    assert [(p.heading, p.dd, p.next_dd) for p in found] == [("B", "2", None), ("B", "3", None)]
+
+
 def test_profile_takes_the_last_value_and_known_headings_only(spark):
     html = "<dl><dt>Industry</dt><dd>a</dd><dt> Industry </dt><dd> b <i> c</i></dd><dt>Phone</dt><dd>1</dd><dt>Industry</dt></dl>"
     assert profile(spark, html) == {"industry": "bc"}
@@ -185,6 +190,13 @@ def test_a_bar_with_spans_but_no_category(spark):
     assert value(spark, "<p></p>", lambda n: extract.has_class(n, BAR)) is False
 
 
+def test_deep_nesting_does_not_multiply_the_text(spark):
+    n = 5000
+    page = parsed(spark, "<span>some text" * n).collect()[0].page
+    assert len(page.nodes) == n and page.texts == ["some text"] * n
+    assert page.nodes[0].text_count == n and page.nodes[-1].text_count == 1
+
+
 def test_a_page_with_very_many_elements(spark):
     n = 20_000
     items = "".join(f"<dt>Industry</dt><dd>v{i}</dd>" for i in range(n))
