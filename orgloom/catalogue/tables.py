@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orgloom.catalogue import inputs as fx
 from orgloom.catalogue.shared import BARS, Query, items_sql, with_ctes
-from orgloom.functions.values import fill_missing, members_column, or_missing
+from orgloom.functions.values import members_column, or_missing
 from orgloom.operators import reshape
 from orgloom.plans import tables
 from orgloom.schemas import ALL_MEMBERS, DATASETS, KEYWORD_MEMBERS

@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # plans with many expressions are built faster without a call site for each
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

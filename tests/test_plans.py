@@ -33,6 +33,19 @@ def test_page_text_stays_below_the_parser(spark, sf_dir):
     assert not any(re.search(r"\bhtml#", line) for line in lines[:parser])
 
 
+def test_one_shuffle_per_side_of_the_page_join(spark, sf_dir):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        orgs, pages = fx.organisations(spark, sf_dir), fx.captured_pages(spark, sf_dir)
+        plan = plan_of(extract_datasets(orgs, pages, fx.RUN_TS))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # the captures, combined before their shuffle, and the targets
+    assert plan.count("Exchange hashpartitioning") == 2 and "SortMergeJoin" in plan
+    assert "partial_max_by" in plan
+
+
 def test_only_pages_of_the_wanted_kind_are_read(spark, sf_dir):
     about = extract_about(fx.organisations(spark, sf_dir), fx.captured_pages(spark, sf_dir), fx.RUN_TS)
     assert "StringEndsWith(requested_url,/about/)" in plan_of(about)

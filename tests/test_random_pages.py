@@ -4,8 +4,6 @@ import html as html_text
 import random
 import re
 
-from pyspark.sql import functions as F
-
 from orgloom.plans.extraction import page_facts
 from orgloom.schemas import HEADING_COLUMNS, PAGE_SCHEMA, ExtractionSpec
 

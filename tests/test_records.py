@@ -98,10 +98,11 @@ def test_a_missing_dataset_is_empty(spark, tmp_path):
 
 
 def records(spark, lists, dataset=ROLES, **more):
-    rows = [
-        json.dumps({"Company Name": f"O{i}", "input_company_name": f"o{i}", "Time Stamp": "t", **more, **({} if value is ... else {dataset.list_key: value})})
-        for i, value in enumerate(lists)
-    ]
+    rows = []
+    for i, value in enumerate(lists):
+        listed = {} if value is ... else {dataset.list_key: value}
+        names = {"Company Name": f"O{i}", "input_company_name": f"o{i}"}
+        rows.append(json.dumps({**names, "Time Stamp": "t", **more, **listed}))
     return spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "record_order int, j string").select(
         "record_order", F.from_json("j", dataset.record_schema()).alias("r")
     ).select("record_order", "r.*")
@@ -222,7 +223,13 @@ def test_last_wins_with_very_many_items(spark):
 def test_about_table(spark):
     schema = DATASETS["about"].record_schema()
     rows = [
-        {"Company Name": "A", "Company size": "'1K-5K", "No. of associated members": "1,234", "LinkedIn URL": "https://h/c?x=1?y", "Industry": None},
+        {
+            "Company Name": "A",
+            "Company size": "'1K-5K",
+            "No. of associated members": "1,234",
+            "LinkedIn URL": "https://h/c?x=1?y",
+            "Industry": None,
+        },
         {"LinkedIn URL": "-", "Company size": "-", "No. of associated members": "-", "Time Stamp": "t", "Website": ""},
         {},
     ]
