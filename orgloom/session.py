@@ -32,16 +32,21 @@ def local_session(app: str, cores: int = 8, **extra: str) -> SparkSession:
     return spark
 
 
+_local_roots: dict[str, str] = {}
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder that the cluster names.
 
-    Only where the session names none (a local test run) a temporary folder is
-    chosen and recorded, so that every later call agrees on it.
+    Only where the session names none, which a local test run may do, a temporary
+    folder is made and kept for the whole application.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="orgloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        if app not in _local_roots:
+            _local_roots[app] = tempfile.mkdtemp(prefix="orgloom-")
+        root = _local_roots[app]
     return os.path.join(root, "orgloom", f"{name}-{uuid.uuid4().hex[:12]}")
