@@ -13,7 +13,7 @@ from orgloom.schemas import MISSING
 
 log = logging.getLogger(__name__)
 
-ITEMS_TYPE = "array<struct<label:string,count:string,is_entry:boolean>>"
+ITEMS_TYPE = "array<struct<label:string,count:string>>"
 MAX_ROLE_COLUMNS = 20_000
 
 
@@ -26,6 +26,11 @@ def _python_text(value: Column) -> Column:
     )
 
 
+def _is_plain(value: Column) -> Column:
+    """Whether a cast key is there and no JSON boolean, which Python prints differently."""
+    return value.isNotNull() & ~value.isin("true", "false")
+
+
 def _key(entry: Column, key: str, default: str) -> Column:
     """A key of an entry: the default if absent, NULL if it is an explicit null."""
     value = F.try_variant_get(entry, f"$.{key}", "variant")
@@ -37,44 +42,61 @@ def _characters(text: Column) -> Column:
     return F.transform(places, lambda place: F.substr(text, place, F.lit(1)))
 
 
-def _items(values: Column, label, count, is_entry) -> Column:
-    return F.transform(
-        values,
-        lambda v: F.struct(label(v).alias("label"), count(v).alias("count"), is_entry(v).alias("is_entry")),
-    )
-
-
 def normalise_items(listed: Column, label_key: str, default_label: str = MISSING) -> Column:
-    """The list field as ``array<struct<label, count, is_entry>>``.
+    """The list field as ``array<struct<label, count>>``.
 
     A list gives one item per element, a text one item per character, an object one
     per key, and an absent, null or numeric field none. An element that is not an
-    object becomes a label without a count.
+    object becomes a label whose count is NULL; the count of an entry never is.
+
+    Most lists hold complete entries only. One cast reads such a list as a whole, and
+    the others take the general way, element by element.
     """
-    dash, no = (lambda v: F.lit(MISSING)), (lambda v: F.lit(False))
+    entry_type = f"struct<{label_key}:string,Count:string>"
+
+    def chosen(entries: Column) -> Column:
+        complete = F.forall(entries, lambda e: _is_plain(e[label_key]) & _is_plain(e["Count"]))
+        return F.when(complete, entries.cast(ITEMS_TYPE)).otherwise(
+            let(
+                F.try_variant_get(listed, "$", "array<variant>"),
+                lambda elements: F.when(elements.isNotNull(), F.transform(elements, item)).otherwise(
+                    _other_items(listed)
+                ),
+            )
+        )
 
-    def is_object(v: Column) -> Column:
-        return F.startswith(F.schema_of_variant(v), F.lit("OBJECT"))
+    def item(element: Column) -> Column:
+        return let(F.try_variant_get(element, "$", entry_type), lambda entry: from_entry(element, entry))
+
+    def from_entry(element: Column, entry: Column) -> Column:
+        label, count = entry[label_key], entry["Count"]
+        text = F.when(element.isNull(), "None").otherwise(_python_text(element))
+        no_count = F.lit(None).cast("string")
+        return F.struct(
+            F.when(entry.isNull(), text)
+            .when(_is_plain(label), label)
+            .otherwise(_key(element, label_key, default_label))
+            .alias("label"),
+            F.when(entry.isNull(), no_count)
+            .when(_is_plain(count), count)
+            .otherwise(or_missing(_key(element, "Count", MISSING)))
+            .alias("count"),
+        )
 
-    elements = _items(
-        F.try_variant_get(listed, "$", "array<variant>"),
-        lambda v: F.when(is_object(v), _key(v, label_key, default_label)).otherwise(
-            F.when(v.isNull(), "None").otherwise(_python_text(v))
-        ),
-        lambda v: F.when(is_object(v), _key(v, "Count", MISSING)).otherwise(MISSING),
-        lambda v: F.coalesce(is_object(v), F.lit(False)),
-    )
-    letters = _items(_characters(F.try_variant_get(listed, "$", "string")), lambda c: c, dash, no)
-    keys = _items(
-        F.map_keys(F.try_variant_get(listed, "$", "map<string,variant>")), lambda k: k, dash, no
-    )
+    entries = F.try_variant_get(listed, "$", f"array<{entry_type}>")
+    return F.when(listed.isNotNull(), let(entries, chosen)).otherwise(F.array().cast(ITEMS_TYPE))
+
+
+def _other_items(listed: Column) -> Column:
+    """Items of a list field that is not a list: the characters of a text, the keys of an object."""
     kind = F.schema_of_variant(listed)
-    return F.coalesce(
-        F.when(F.startswith(kind, F.lit("ARRAY")), elements)
-        .when(kind == "STRING", letters)
-        .when(F.startswith(kind, F.lit("OBJECT")), keys),
-        F.array().cast(ITEMS_TYPE),
+    labels = F.when(kind == "STRING", _characters(F.try_variant_get(listed, "$", "string"))).when(
+        F.startswith(kind, F.lit("OBJECT")), F.map_keys(F.try_variant_get(listed, "$", "map<string,variant>"))
+    )
+    items = F.transform(
+        labels, lambda label: F.struct(label.alias("label"), F.lit(None).cast("string").alias("count"))
     )
+    return F.coalesce(items, F.array().cast(ITEMS_TYPE))
 
 
 def explode_items(records: DataFrame, items: str = "items") -> DataFrame:
@@ -82,7 +104,12 @@ def explode_items(records: DataFrame, items: str = "items") -> DataFrame:
     others = [F.col(f"`{c}`") for c in records.columns if c != items]
     placed = F.transform(
         F.col(items),
-        lambda i, p: F.struct(p.alias("pos"), or_missing(i["label"]).alias("label"), i["count"], i["is_entry"]),
+        lambda i, p: F.struct(
+            p.alias("pos"),
+            or_missing(i["label"]).alias("label"),
+            or_missing(i["count"]).alias("count"),
+            i["count"].isNotNull().alias("is_entry"),
+        ),
     )
     return records.select(*others, F.inline(placed))
 

@@ -119,31 +119,37 @@ LISTS = [
     "ab",
     {"k": 1},
     7,
+    [{"Count": True, "Role": "a"}, {"Count": 2, "Role": False}],
+    [{"Count": 1, "Role": "a", "more": {"x": 1}}, None],
+    "",
 ]
 
 
 def items_of(spark, dataset=ROLES):
     df = tables.with_items(records(spark, LISTS, dataset), dataset).orderBy("record_order")
-    return [[(i.label, i["count"], i.is_entry) for i in r["items"]] for r in df.collect()]
+    return [[(i.label, i["count"]) for i in r["items"]] for r in df.collect()]
 
 
 def test_every_list_shape(spark):
     assert items_of(spark) == [
-        [("a", "1", True), ("a", "2", True)],
+        [("a", "1"), ("a", "2")],
         [],
-        [("-", "-", False)],
+        [("-", None)],
         [],
         [],
-        [("Unknown Role", "3", True), ("b", "-", True), (None, None, True), ("Unknown Role", "-", True)],
-        [("x", "-", False), ("5", "-", False), ("2.5", "-", False), ("True", "-", False), ("None", "-", False)],
-        [("a", "-", False), ("b", "-", False)],
-        [("k", "-", False)],
+        [("Unknown Role", "3"), ("b", "-"), (None, "-"), ("Unknown Role", "-")],
+        [("x", None), ("5", None), ("2.5", None), ("True", None), ("None", None)],
+        [("a", None), ("b", None)],
+        [("k", None)],
+        [],
+        [("a", "True"), ("False", "2")],
+        [("a", "1"), ("None", None)],
         [],
     ]
 
 
 def test_locations_default_to_the_mark(spark):
-    assert items_of(spark, LOCATIONS)[5][0] == ("-", "3", True)
+    assert items_of(spark, LOCATIONS)[5][0] == ("-", "3")
 
 
 def test_long_rows(spark):
@@ -153,7 +159,7 @@ def test_long_rows(spark):
     ]
     rows = df.filter("`Company Name` = 'O5'").collect()
     assert {(r.Role, r.Count) for r in rows} == {("Unknown Role", "3"), ("b", "-"), ("-", "-"), ("Unknown Role", "-")}
-    assert {r["Company Name"] for r in df.collect()} == {"O0", "O2", "O5", "O6", "O7", "O8"}
+    assert {r["Company Name"] for r in df.collect()} == {"O0", "O2", "O5", "O6", "O7", "O8", "O10", "O11"}
     assert {r["Associated Members"] for r in rows} == {"1,000"} and {r["Redirected to URL"] for r in rows} == {"-"}
 
 
