@@ -63,11 +63,53 @@ def test_text_modes(spark, html, raw, stripped):
     assert (node.text_raw, node.text_stripped) == (raw.replace("&nosuch;", "&nosuch"), stripped.replace("&nosuch;", "&nosuch"))
 
 
+def test_the_short_cut_for_usual_tags_changes_nothing():
+    import random
+    from html.parser import HTMLParser
+
+    from orgloom.operators.tokenizer import Pages, PageTokenizer
+
+    class Plain(PageTokenizer):
+        parse_starttag, parse_endtag = HTMLParser.parse_starttag, HTMLParser.parse_endtag
+
+    rng = random.Random(3)
+    pieces = [
+        '<div class="a b">', "<DIV>", "</div>", "</DIV >", "<p", ">", '"', "'", "=", "<b a=1>", "<b a='1'>", "</b", "</>",
+        '<a href="x>y" b="1\n2">', '<a href="x&amp;y">', "<br/>", "<br>", '<i a="1"b="2">', '<i a="1"/>', "< i>", "<1>",
+        "<script>", "</script>", "</p>", "<style>", "</style>", "text ", "&amp;", "&am", "&#65", "<!-- c -->", "<!doctype x>",
+        "<title>", "</title>", "<textarea>", "</textarea>", "<!", "<?pi>", "\n", "<i a>", '<i a = "1">', '<i A-b="1" >',
+        "<a:b>", "<x-y>", "</x-y>", '<span\tid="1">', "<span\n>",
+    ]
+    both = [c(None, frozenset(), frozenset(), frozenset({"div", "a", "b", "i"})) for c in (PageTokenizer, Plain)]
+    for _ in range(20_000):
+        html = "".join(rng.choices(pieces, k=rng.randint(1, 12)))
+        results = []
+        for tokenizer in both:
+            pages = Pages()
+            try:
+                tokenizer.read(html, pages)
+                results.append((pages.nodes, pages.texts))
+            except AssertionError as error:  # raised by the standard library for some broken declarations
+                results.append(str(error))
+        assert results[0] == results[1], html
+
+
 def test_missing_source_and_bad_pages_are_rows(spark):
     rows = parsed(spark, None).collect()
     assert (rows[0].page.nodes, rows[0].page.texts, rows[0].parse_error) == (None, None, "no page source")
 
 
+def test_a_page_that_cannot_be_parsed_does_not_disturb_the_others(spark):
+    good = "<h1>a<b>c</b></h1>"
+    rows = [("1", good), ("2", f"<h1>x<![bad {good}"), ("3", None), ("4", good)]
+    pages = spark.createDataFrame(rows, "requested_url string, html string").coalesce(1)
+    found = {r.requested_url: r for r in with_nodes(pages, SPEC).collect()}
+    assert found["1"].page == found["4"].page and found["1"].page.texts == ["a", "c"]
+    for bad in ("2", "3"):
+        assert found[bad].page.nodes is None and found[bad].page.texts is None
+    assert found["2"].parse_error.startswith("AssertionError") and found["1"].parse_error is None
+
+
 def test_batches_are_cut_without_losing_rows(spark):
     from orgloom.operators import tokenizer
 
