@@ -14,7 +14,7 @@ from orgloom.schemas import Dataset
 # nothing else in such a file looks like this.
 INDENTED_RECORD_END = "\n    },\n"
 
-ORDER_TYPE = "struct<file:string,block:bigint,row:bigint>"
+ORDER_TYPE = "struct<file:string,block:bigint,row:bigint,pos:int>"
 
 # A missing name may be written as a bare NaN, which reads as text: the file reader
 # gives it plain, the text parser in quotes.
@@ -23,39 +23,43 @@ NAN_TEXTS = ("NaN", '"NaN"')
 
 
 def read_records(
-    spark: SparkSession, path: str, dataset: Dataset, layout: str = "lines", with_order: bool = False
+    spark: SparkSession,
+    path: str,
+    dataset: Dataset,
+    layout: str = "lines",
+    with_order: bool = False,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
     """Records of one dataset under their JSON keys, the list field as variant.
 
     ``layout`` is ``lines`` (one record per line), ``indented`` (one array, indent
     four; split at record ends, so a large file is shared among tasks) or ``array``
-    (one array in any other shape; a file is one task, so convert it first).
+    (one array in any other shape; a file is one task, so convert large ones first).
     ``with_order`` adds ``record_order``, which sorts like the records in the files.
+    Broken JSON stops the job, as it would any JSON reader; ``mode="PERMISSIVE"``
+    lets such records through as empty ones.
     """
     schema = dataset.record_schema()
+    reader = spark.read.option("mode", mode)
     if layout == "lines":
-        rows = spark.read.schema(schema).json(path)
+        rows = reader.schema(schema).json(path)
     elif layout == "array":
-        rows = spark.read.schema(schema).option("multiLine", True).json(path)
+        rows = reader.schema(schema).option("multiLine", True).json(path)
     elif layout == "indented":
         rows = spark.read.option("lineSep", INDENTED_RECORD_END).text(path)
     else:
         raise ValueError(f"unknown layout {layout!r}")
 
-    order = []
-    if with_order:
-        # Within one block rows are numbered in reading order, across blocks by place.
-        order = [
-            F.struct(
-                F.col("_metadata.file_path").alias("file"),
-                F.col("_metadata.file_block_start").alias("block"),
-                F.monotonically_increasing_id().alias("row"),
-            ).alias("record_order")
-        ]
+    # Within one block rows are numbered in reading order, across blocks by place.
+    place = [
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    ]
+    order = [F.struct(*place, F.lit(0).alias("pos")).alias("record_order")] if with_order else []
+    rows = rows.select("*", *order)
     if layout == "indented":
-        rows = _parse_indented(rows.select("value", *order), schema)
-    else:
-        rows = rows.select("*", *order)
+        rows = _parse_indented(rows, schema, mode)
     return rows.select(
         *(
             F.when(~F.col(f"`{c}`").isin(*NAN_TEXTS), F.col(f"`{c}`")).alias(c)
@@ -66,16 +70,25 @@ def read_records(
     )
 
 
-def _parse_indented(chunks: DataFrame, schema: T.StructType) -> DataFrame:
+def _parse_indented(chunks: DataFrame, schema: T.StructType, mode: str) -> DataFrame:
+    """Records of the chunks between record ends.
+
+    The last chunk of a file has the end of the array instead. A file whose records
+    end otherwise, say with other line ends, is a single chunk with all its records.
+    """
     text = F.regexp_replace("value", r"\A\s*\[", "")
-    last = text.rlike(r"\n    \}\s*\]\s*\z")
-    record = F.when(last, F.regexp_replace(text, r"\]\s*\z", "")).otherwise(F.concat(text, F.lit("}")))
-    rest = [c for c in chunks.columns if c != "value"]
-    return (
-        chunks.filter(F.col("value").contains("{"))
-        .select(F.from_json(record, schema).alias("record"), *rest)
-        .select("record.*", *rest)
+    is_last = text.rlike(r"[\n}]\]\s*\z")
+    body = F.when(is_last, F.regexp_replace(text, r"\]\s*\z", "")).otherwise(F.concat(text, F.lit("}")))
+    parsed = F.from_json(F.concat(F.lit("["), body, F.lit("]")), T.ArrayType(schema), {"mode": mode})
+    # inlining the expression itself, not a column with it, makes sure it is parsed once
+    numbered = F.transform(
+        parsed, lambda r, pos: F.struct(*(r[f.name].alias(f.name) for f in schema.fields), pos.alias("pos"))
     )
+    order = [c for c in chunks.columns if c == "record_order"]
+    records = chunks.filter(F.col("value").contains("{")).select(*order, F.inline(numbered))
+    if order:
+        records = records.withColumn("record_order", F.col("record_order").withField("pos", F.col("pos")))
+    return records.select(*(f"`{name}`" for name in schema.names), *order)
 
 
 def read_optional(

@@ -18,6 +18,7 @@ def ingest_records(
     query = (
         spark.readStream.schema(dataset.record_schema())
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("mode", "FAILFAST")
         .json(landing)
         .writeStream.format("json")
         .outputMode("append")

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from orgloom.catalogue import inputs as fx
 from orgloom.plans.extraction import extract_about, extract_datasets, page_facts
-from orgloom.schemas import ExtractionSpec
+from orgloom.schemas import DATASETS, ExtractionSpec
+from orgloom.sources.records import read_records
 
 
 def plan_of(df):
@@ -51,6 +52,12 @@ def test_only_pages_of_the_wanted_kind_are_read(spark, sf_dir):
     assert "StringEndsWith(requested_url,/about/)" in plan_of(about)
 
 
+def test_an_indented_array_is_parsed_once(spark, tmp_path):
+    (tmp_path / "r.json").write_text("[]")
+    plan = plan_of(read_records(spark, str(tmp_path / "r.json"), DATASETS["roles_all"], "indented"))
+    assert plan.count("from_json") == 1
+
+
 def test_role_columns_combine_before_the_shuffle(spark, sf_dir):
     plan = plan_of(entry.queries()["role_columns"](spark, sf_dir))
     assert plan.count("Exchange") == 1 and "partial_min" in plan

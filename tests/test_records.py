@@ -69,6 +69,23 @@ def test_layouts_read_alike(spark, tmp_path, layout):
     assert rows[51].input_company_name == "x" and len(rows) == 52
 
 
+def test_other_line_ends_and_shapes_lose_nothing(spark, tmp_path):
+    path = tmp_path / "records.json"
+    for text in (json.dumps(sample(), indent=4).replace("\n", "\r\n"), json.dumps(sample()), json.dumps(sample(), indent=1)):
+        path.write_bytes(text.encode())
+        df = read_records(spark, str(path), ROLES, "indented", with_order=True).orderBy("record_order")
+        assert [r[0] for r in df.select("Company Name").collect()][:50] == [r["Company Name"] for r in sample()[:50]]
+        assert df.count() == 52
+
+
+@pytest.mark.parametrize("layout", ["array", "indented", "lines"])
+def test_broken_json_stops_the_job(spark, tmp_path, layout):
+    path = tmp_path / "records.json"
+    path.write_text('[\n    {\n        "Company Name": "a"\n    },\n    {\n        "Company Name": \n    }\n]')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_records(spark, str(path), ROLES, layout).collect()
+
+
 @pytest.mark.parametrize("n", [0, 1])
 def test_short_indented_arrays(spark, tmp_path, n):
     path = tmp_path / "records.json"
