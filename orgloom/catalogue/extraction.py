@@ -11,12 +11,12 @@ from orgloom.functions.values import or_missing
 from orgloom.operators import extract
 from orgloom.operators.nodes import node_table, with_nodes
 from orgloom.plans.extraction import extract_about, extract_datasets, extract_facet, page_facts
-from orgloom.sources.pages import as_pages
+from orgloom.sources.pages import as_pages, spread
 
 
 
 def _real(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_pages(fx.table(spark, sf_dir, "pages")).select("requested_url", "html")
+    return spread(as_pages(fx.table(spark, sf_dir, "pages")).select("requested_url", "html"))
 
 
 def page_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -210,7 +210,7 @@ last{suffix} AS (SELECT k, label, arg_max(count, pos) AS count FROM items{suffix
 
 
 _TABLE_ROWS = f"""
-SELECT '{DATASETS["about"].table_name}' AS table_name, (SELECT count(*) FROM totals) AS n_rows, 12 AS n_columns
+SELECT '{DATASETS["about"].table_name}' AS table_name, (SELECT count(*) FROM totals) AS n_rows, 12::BIGINT AS n_columns
 """
 
 
@@ -223,7 +223,7 @@ def _convert_sql(roles_form: str) -> str:
         if dataset.facet == "roles" and roles_form == "wide":
             rows, columns = "SELECT count(*) FROM totals", f"SELECT 5 + count(DISTINCT label) FROM items_{name}"
         else:
-            rows, columns = f"SELECT count(*) FROM items_{name}", "SELECT 7"
+            rows, columns = f"SELECT count(*) FROM items_{name}", "SELECT 7::BIGINT"
         selects.append(f"SELECT '{dataset.table_name}', ({rows}), ({columns})")
     return with_ctes(*ctes, select="\nUNION ALL\n".join(selects))
 

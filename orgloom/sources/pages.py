@@ -9,7 +9,19 @@ from orgloom.schemas import PAGE_SCHEMA
 
 
 def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.schema(PAGE_SCHEMA).format(fmt).load(path)
+    return spread(spark.read.schema(PAGE_SCHEMA).format(fmt).load(path))
+
+
+def spread(pages: DataFrame) -> DataFrame:
+    """Share a scan that has fewer splits than there are cores among all cores.
+
+    Parsing takes far longer than moving the text, so a small corpus, or one in a few
+    files that cannot be split, is worth a shuffle. A corpus with enough splits, as any
+    large one has, is left as it is. Meant for a plain scan: finding the number of
+    splits of anything else may run part of it.
+    """
+    cores = pages.sparkSession.sparkContext.defaultParallelism
+    return pages.repartition(cores) if pages.rdd.getNumPartitions() < cores else pages
 
 
 def as_pages(df: DataFrame, url: str = "url", html: str = "html", captured_at: str | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ import __spark_entry__ as entry
 from orgloom.catalogue import inputs as fx
 from orgloom.plans.extraction import extract_about, extract_datasets, page_facts
 from orgloom.schemas import DATASETS, ExtractionSpec
+from orgloom.sources.pages import spread
 from orgloom.sources.records import read_records
 
 
@@ -26,6 +27,15 @@ def test_extraction_from_a_page_needs_no_shuffle(spark, sf_dir):
     assert "Exchange" not in plan and plan.count("MapInArrow") == 1
 
 
+def test_only_a_corpus_with_few_splits_is_spread(spark, sf_dir, tmp_path):
+    one_file = fx.table(spark, sf_dir, "pages").select("url", "html")
+    assert "RoundRobinPartitioning" in plan_of(spread(one_file))
+    one_file.repartition(16).write.parquet(str(tmp_path / "pages"))
+    many = spark.read.parquet(str(tmp_path / "pages"))
+    assert many.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert "Exchange" not in plan_of(spread(many))
+
+
 def test_page_text_stays_below_the_parser(spark, sf_dir):
     records = extract_datasets(fx.organisations(spark, sf_dir), fx.captured_pages(spark, sf_dir), fx.RUN_TS)
     lines = plan_of(records).splitlines()
