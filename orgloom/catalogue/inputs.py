@@ -142,14 +142,13 @@ def number(n: Column) -> Column:
     return F.format_number(n, 0)
 
 
-def captured_pages(spark: SparkSession, sf_dir: str, spec: ExtractionSpec | None = None) -> DataFrame:
+def captured_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Captured pages of all valid organisations, with every outcome among them."""
-    spec = spec or ExtractionSpec()
 
     def write(path: str) -> None:
         # several files, so that small inputs are parsed on all cores as well
         files = spark.sparkContext.defaultParallelism
-        _render_pages(spark, sf_dir, spec).repartition(files, "requested_url").write.parquet(path)
+        _render_pages(spark, sf_dir, ExtractionSpec()).repartition(files, "requested_url").write.parquet(path)
 
     path = written(spark, sf_dir, "pages", write)
     return spark.read.parquet(path)
