@@ -33,7 +33,8 @@ def read_csv_text(
     split a file among tasks only without them.
     """
     if multiline is None:
-        multiline = has_multiline_cells(spark, path)
+        wide_characters = encoding.upper().startswith(("UTF-16", "UTF-32"))
+        multiline = wide_characters or has_multiline_cells(spark, path)
     return (
         spark.read.option("header", True)
         .option("encoding", encoding)

@@ -1,11 +1,13 @@
 import json
+import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from orgloom.operators import reshape
 from orgloom.plans import tables
-from orgloom.schemas import DATASETS
+from orgloom.schemas import DATASETS, NA_TOKENS
 from orgloom.sources.org_list import has_multiline_cells, read_org_list
 from orgloom.sources.records import read_optional, read_records
 
@@ -30,6 +32,21 @@ def test_org_list(spark, tmp_path):
     ]
 
 
+@pytest.mark.parametrize("line_breaks", [False, True])
+def test_org_list_reads_what_pandas_reads(spark, tmp_path, line_breaks):
+    rng = random.Random(5)
+    cells = [*NA_TOKENS, "a", " ", "  b ", 'say "x"', "c,d", "'", '"', '""', "Caf\xe9", "-", "01", "\\", "a\\", "#x", "\t"]
+    cells += ["two\nlines", "\n"] if line_breaks else []
+    rows = [(rng.choice(cells), str(i), rng.choice(cells)) for i in range(500)]
+    path = str(tmp_path / "orgs.csv")
+    pd.DataFrame(rows, columns=["Name", "n", "LinkedIn"]).to_csv(path, index=False, encoding="ISO-8859-1")
+    assert has_multiline_cells(spark, path) == line_breaks
+    expected = pd.read_csv(path, encoding="ISO-8859-1", dtype=str).astype(object)
+    expected = expected.where(expected.notna(), None)[["Name", "LinkedIn"]]
+    found = read_org_list(spark, path).collect()
+    assert [tuple(r) for r in found] == [tuple(r) for r in expected.itertuples(index=False)]
+
+
 def test_org_list_without_a_url_column(spark, tmp_path):
     path = tmp_path / "orgs.csv"
     path.write_text("Name\nA\n")
