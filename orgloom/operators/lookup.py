@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 ROWS_PER_SPLIT = 200_000
 MAX_HOT_KEYS = 1024
+TRACKED_KEYS = 10_000
 
 
 def latest_capture(captures: DataFrame, key: str = "requested_url") -> DataFrame:
@@ -28,13 +29,15 @@ def latest_capture(captures: DataFrame, key: str = "requested_url") -> DataFrame
 def hot_keys(df: DataFrame, key: str, rows_per_split: int, max_keys: int) -> list[tuple[int, int]]:
     """The keys with the most rows and the number of splits each needs.
 
-    At most ``max_keys`` pairs of numbers, whatever the input. A hash stands for the
-    key: keys that share one are split alike on both sides of a join, which does no
-    harm. Counting combines on the map side.
+    A frequent-items sketch per task, so no key is shuffled: it finds every key with
+    more than about 0.05 % of the rows, and which keys it finds changes how the join is
+    spread, never its result. At most ``max_keys`` pairs of numbers come back, whatever
+    the input. A hash stands for the key: keys that share one are split alike on both
+    sides of a join, which does no harm.
     """
-    counts = df.groupBy(F.xxhash64(key).alias("hash")).agg(F.count(F.lit(1)).alias("n_rows"))
-    hottest = counts.filter(F.col("n_rows") > rows_per_split).orderBy(F.desc("n_rows"), "hash").limit(max_keys)
-    return [(r["hash"], -(-r["n_rows"] // rows_per_split)) for r in hottest.collect()]
+    sketch = F.expr(f"approx_top_k(hash, {max_keys}, {TRACKED_KEYS})")
+    found = df.select(F.xxhash64(key).alias("hash")).agg(sketch.alias("top")).collect()[0]["top"]
+    return [(r["item"], -(-r["count"] // rows_per_split)) for r in found if r["count"] > rows_per_split]
 
 
 def lookup(
@@ -47,7 +50,7 @@ def lookup(
 ) -> DataFrame:
     """Left join of the targets with captures that are unique per URL.
 
-    A count over the target URLs comes first. Without a hot URL this is a plain join
+    A look for hot target URLs comes first. Without one this is a plain join
     that keeps the partitioning the captures already have. Otherwise the hot URLs
     are spread, see ``spread_lookup``; both give the same rows.
     """
