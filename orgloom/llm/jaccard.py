@@ -16,8 +16,10 @@ other sets but ask nothing themselves.
 Equal sets form one class and are joined once. Under one key only links to the first
 member are tried at first (a star, not all pairs); members of a key that are not in one
 component after that are compared across components in a second turn. So no link that
-joins two components is lost, and a group of a million near copies costs a million
-comparisons, not their square. All candidates are verified on their whole texts.
+joins two components is lost, and a group of near copies that are linked costs as many
+comparisons as it has members, not their square. Before a comparison, parity sketches of
+both sets give a lower bound of their difference that rules out most unlinked pairs
+safely; what remains is verified on the whole texts.
 
 Hot keys: a task sends a class's keys once, however many copies it reads; rows under one
 key are streamed in sorted order and never held together; comparisons against a class
@@ -39,7 +41,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -53,6 +55,8 @@ BAND = 1.5
 BROADCAST_PAIRS = 1_000_000
 #: Comparisons with one class in a task, and rows of a task's output held before it is sent.
 SALT = 500
+#: Words of 64 bits in a set's parity sketch.
+SKETCH = 8
 HELD = 200_000
 
 _U = np.uint64
@@ -77,6 +81,27 @@ def set_id(elements: np.ndarray) -> int:
     return int(signed(mix(np.array([total ^ (len(elements) << 1)], np.uint64)))[0])
 
 
+def sketch_of(elements: np.ndarray) -> list[int]:
+    """Parities of the numbers of elements that hash to each of ``64 * SKETCH`` places.
+
+    The places in which two sketches differ are at most as many as the sets' differing elements.
+    """
+    places = (mix(elements ^ _U(0x5CE7)) % _U(64 * SKETCH)).astype(np.int64)
+    odd = (np.bincount(places, minlength=64 * SKETCH) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).tolist()
+
+
+def may_link(a: str, b: str, percent: int) -> Column:
+    """Whether sizes and sketches allow a link of two rows with n and sketch; false only if there is none."""
+    na, nb = F.col(f"{a}.n").cast("long"), F.col(f"{b}.n").cast("long")
+    differ = sum(
+        (F.bit_count(F.col(f"{a}.sketch")[i].bitwiseXOR(F.col(f"{b}.sketch")[i])) for i in range(SKETCH)), F.lit(0)
+    )
+    return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (
+        (100 + percent) * differ.cast("long") <= (100 - percent) * (na + nb)
+    )
+
+
 class Plan:
     """Bands, and the segments and weights in each, for a threshold in hundredths."""
 
@@ -110,7 +135,7 @@ class Plan:
             return 1, 0
         smallest = self.bottom(band) * self.percent / 100
         empty = needed * math.exp(-smallest / needed)
-        budget = math.ceil(empty + 3 * math.sqrt(empty))
+        budget = math.ceil(empty + 6 * math.sqrt(empty)) + 1  # next to no set has more empty segments
         spare = max(0, budget - 1)  # the double segment pays for one
         return needed + spare, spare
 
@@ -152,14 +177,14 @@ def keys_of(elements: np.ndarray, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
 
 
 def index_rows(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Membership rows (key of their own, doc_id, sid, n, weak null) and index rows (doc_id null)."""
-    schema = StructType.fromDDL("key long, doc_id long, sid long, n int, weak boolean")
+    """Membership rows (key of their own, doc_id, sid, n, sketch; weak null) and index rows (doc_id null)."""
+    schema = StructType.fromDDL("key long, doc_id long, sid long, n int, weak boolean, sketch array<long>")
     arrow = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, plan, sent = Shingles(words), Plan(percent), set()
         for batch in batches:
-            ids, members, key, sid, size, weak = [], [], [], [], [], []
+            ids, members, sketches, key, sid, size, weak = [], [], [], [], [], [], []
             rows = 0
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
                 elements = shingles(text)
@@ -167,6 +192,7 @@ def index_rows(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
                 of = set_id(elements) if n else None
                 ids.append(doc_id)
                 members.append((of, n))
+                sketches.append(sketch_of(elements) if n and of not in sent else None)
                 if not n or of in sent:
                     continue
                 sent.add(of)
@@ -188,6 +214,7 @@ def index_rows(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
                     "sid": [a for a, _ in members],
                     "n": [b for _, b in members],
                     "weak": pa.nulls(len(ids), pa.bool_()),
+                    "sketch": sketches,
                 },
                 arrow,
             )
@@ -201,6 +228,7 @@ def index_rows(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
                 "sid": pa.array(np.concatenate(sid)),
                 "n": pa.array(np.concatenate(size)),
                 "weak": pa.array(np.concatenate(weak)),
+                "sketch": pa.nulls(len(keys), pa.list_(pa.int64())),
             },
             arrow,
         )
@@ -213,13 +241,13 @@ MEMBER, EDGE, BUCKET = 0, 1, 2
 
 
 def candidates(index: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """kind, a, b, n, weak: members (doc_id, sid, n), star edges (hub, sid) and buckets (bucket, sid, n, weak)."""
-    schema = StructType.fromDDL("kind int, a long, b long, n int, weak boolean")
+    """kind, a, b, n, weak, sketch: members (doc_id, sid, n, sketch), star edges (hub, sid) and buckets (bucket, sid, n, weak)."""
+    schema = StructType.fromDDL("kind int, a long, b long, n int, weak boolean, sketch array<long>")
     arrow = arrow_schema(schema)
 
-    def rows(kind, a, b, n, weak) -> Iterator[pa.RecordBatch]:
+    def rows(kind, a, b, n, weak, sketch=None) -> Iterator[pa.RecordBatch]:
         columns = {"kind": pa.array(np.full(len(a), kind, np.int32)), "a": a, "b": b, "n": n, "weak": weak}
-        yield from as_batches(columns, arrow)
+        yield from as_batches(columns | {"sketch": pa.nulls(len(a), pa.list_(pa.int64())) if sketch is None else sketch}, arrow)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -228,7 +256,7 @@ def candidates(index: DataFrame, percent: int = PERCENT) -> DataFrame:
             is_member = batch["weak"].is_null()
             members = batch.filter(is_member)
             if members.num_rows:
-                yield from rows(MEMBER, members["doc_id"], members["sid"], members["n"], members["weak"])
+                yield from rows(MEMBER, members["doc_id"], members["sid"], members["n"], members["weak"], members["sketch"])
             index = batch.filter(pa.compute.invert(is_member))
             now = [
                 index["key"].to_numpy(),
@@ -356,22 +384,35 @@ def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, words: int =
 def classes_and_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(doc_id, sid, n) of each document, and (sid, root) of each class with links."""
     found = staged(candidates(index_rows(docs, words, percent), percent), "candidates")
-    members = found.filter(F.col("kind") == MEMBER).select(F.col("a").alias("doc_id"), F.col("b").alias("sid"), "n")
-    classes = members.filter("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
+    made = found.filter(F.col("kind") == MEMBER).select(F.col("a").alias("doc_id"), F.col("b").alias("sid"), "n", "sketch")
+    members = made.select("doc_id", "sid", "n")
+    classes = made.filter("sid is not null").groupBy("sid")
+    classes = classes.agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min("sketch").alias("sketch"))
     stars = found.filter(F.col("kind") == EDGE).select("a", "b").distinct()
-    links = verified(docs, stars, classes, words, percent)
+    outlines = classes.select("sid", "n", "sketch")
+    likely = (
+        stars.join(outlines.alias("x"), F.col("a") == F.col("x.sid"))
+        .join(outlines.alias("y"), F.col("b") == F.col("y.sid"))
+        .filter(may_link("x", "y", percent))
+        .select("a", "b")
+    )
+    links = verified(docs, staged(likely, "likely"), classes, words, percent)
     roots = components(links)
     # Keys whose members are not all in one component: the pairs across components remain.
-    rows = found.filter(F.col("kind") == BUCKET).select(F.col("a").alias("bucket"), F.col("b").alias("sid"), "n", "weak")
+    rows = found.filter(F.col("kind") == BUCKET).select(F.col("a").alias("bucket"), F.col("b").alias("sid"), "weak")
     rows = rows.dropDuplicates(["bucket", "sid"])
     placed = rows.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high")
-    open_rows = staged(placed.join(mixed.select("bucket"), "bucket"), "open")
+    open_rows = staged(placed.join(mixed.select("bucket"), "bucket").join(outlines, "sid"), "open")
     x, y = open_rows.alias("x"), open_rows.alias("y")
     across = (
-        x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.root") < F.col("y.root")))
-        .filter(~F.col("x.weak") | ~F.col("y.weak"))
-        .filter(100 * F.least("x.n", "y.n").cast("long") >= percent * F.greatest("x.n", "y.n").cast("long"))
+        x.join(
+            y,
+            (F.col("x.bucket") == F.col("y.bucket"))
+            & (F.col("x.root") < F.col("y.root"))
+            & (~F.col("x.weak") | ~F.col("y.weak"))
+            & may_link("x", "y", percent),
+        )
         .select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b"))
         .distinct()
     )
