@@ -6,7 +6,11 @@ pass through every stage.
 
 * ``quality`` drops documents that the classifier, learned outside the held-out fold,
   predicts to be bad.
-* ``near_duplicates`` keeps one document of each component of the Jaccard join.
+* ``near_duplicates`` keeps one document of each component of the Jaccard join (five
+  words, four fifths alike).
+* ``decontamination`` drops documents of which a twentieth or more is benchmark text.
+* ``personal_data`` puts a mark in place of every span found; no document goes.
+* ``mix`` emits each document as often as its source's target asks for.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orgloom.llm import mixing, pii, quality
+from orgloom.llm import decontam, jaccard, mixing, pii, quality
 from orgloom.llm.common import staged, table
 
 
@@ -23,6 +27,14 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.score(docs, model).filter(F.col("predicted") == 1).select(*docs.columns)
 
 
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.one_of_each(docs, words=5, percent=80)
+
+
+def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pii.redacted(docs, pii.fit(docs))
 
@@ -33,6 +45,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality", good_quality),
+    ("near_duplicates", without_near_duplicates),
+    ("decontamination", without_benchmarks),
     ("personal_data", without_personal_data),
     ("mix", mixed),
 ]

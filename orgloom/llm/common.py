@@ -29,6 +29,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+#: Narrow rows up to which a table may be broadcast.
+BROADCAST_ROWS = 500_000
+
+
+def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``df``, of narrow rows, to be broadcast if it has few of them; as it is otherwise."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
 def n_partitions(df: DataFrame) -> int:
     """The number of shuffle partitions that the cluster's owner has set."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -12,7 +12,7 @@ as a window are exact occurrences. Frequent terms thus are only ever read at pla
 rare terms have named.
 
 All steps are DataFrame operations. What is broadcast (benchmark terms, anchors) is
-checked against ``BROADCAST_ROWS``; beyond, the same joins are shuffled, and AQE splits
+checked by ``small``; beyond, the same joins are shuffled, and AQE splits
 a frequent term's share.
 
 Defined results: words are runs of letters, digits and non-ASCII characters with A-Z
@@ -27,12 +27,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orgloom.llm.common import staged, table
+from orgloom.llm.common import small, staged, table
 
 WINDOW = 13
 #: Contaminated: a hit, and at least one word in so many hit.
 PART = 20
-BROADCAST_ROWS = 500_000
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -52,11 +51,6 @@ def word_count(text: Column) -> Column:
     return F.when(text.isNull(), F.lit(0)).otherwise(n - ends).cast("long")
 
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` to be broadcast if it has few rows; as it is otherwise."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
-
-
 def postings(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
     """doc_id, th (hash of the text), term and pos: of all terms, or of those in ``terms``."""
     rows = docs.select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(words(F.col("text"))).alias("pos", "term"))
@@ -191,6 +185,14 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """docs without the contaminated ones."""
+    bad = decontaminated(docs, benchmark).filter("contaminated").select(F.col("doc_id").alias("bad"), F.col("th").alias("bad_th"))
+    bad = staged(bad.distinct(), "contaminated")
+    same = F.col("doc_id").eqNullSafe(F.col("bad")) & (F.xxhash64("text") == F.col("bad_th"))
+    return docs.join(small(bad), same, "left_anti")
+
+
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminated(docs, table(spark, sf_dir, "benchmark"))

@@ -41,11 +41,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from orgloom.llm.common import arrow_schema, as_batches, lower_words, map_batches, n_partitions, staged, table
+from orgloom.llm.common import arrow_schema, as_batches, lower_words, map_batches, n_partitions, small, staged, table
 from orgloom.llm.components import components
 from orgloom.llm.hashing import WordHashes, mix, mix_int, sequence_hashes, signed
 
@@ -425,6 +425,47 @@ def classes_and_components(docs: DataFrame, words: int = WORDS, percent: int = P
     return members, roots.select(F.col("node").alias("sid"), "root")
 
 
+def with_set_id(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """docs with ``sid``, the number of the row's set, null if that is empty."""
+    names = docs.columns
+
+    def make():
+        shingles = Shingles(words)
+
+        def run(batch: pa.RecordBatch) -> dict:
+            sets = map(shingles, batch["text"].to_pylist())
+            return {c: batch[c] for c in names} | {"sid": [set_id(x) if len(x) else None for x in sets]}
+
+        return run
+
+    return map_batches(docs, make, docs.withColumn("sid", F.lit(None).cast("long")).schema)
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """docs without all but one row of each component, that of the smallest doc_id.
+
+    Rows without words stay. Only ids that several rows have need a look at the rows' sets.
+    """
+    members, roots = classes_and_components(docs, words, percent)
+    rooted = members.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid")).filter("sid is not null")
+    least = rooted.groupBy("root").agg(F.min("doc_id").alias("least"))
+    named = staged(rooted.join(least, "root"), "rooted")
+    several = staged(docs.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("many")), "several")
+    gone = named.filter(~F.col("doc_id").eqNullSafe(F.col("least"))).select(F.col("doc_id").alias("gone"))
+    if several.isEmpty():
+        return docs.join(small(gone), F.col("doc_id") == F.col("gone"), "left_anti")
+    single = docs.join(small(several), F.col("doc_id").eqNullSafe(F.col("many")), "left_anti")
+    single = single.join(small(gone), F.col("doc_id") == F.col("gone"), "left_anti")
+    multiple = with_set_id(docs.join(small(several), F.col("doc_id").eqNullSafe(F.col("many")), "left_semi"), words)
+    stay = named.filter(F.col("doc_id").eqNullSafe(F.col("least"))).select("sid", "root", "least").distinct()
+    placed = multiple.join(stay.withColumnRenamed("sid", "of"), (F.col("sid") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("least")))
+    first = F.row_number().over(Window.partitionBy("root").orderBy("sid", F.xxhash64("text")))
+    chosen = placed.withColumn("place", first).filter("place = 1")
+    return single.unionByName(chosen.select(*docs.columns)).unionByName(
+        multiple.filter("sid is null").select(*docs.columns)
+    )
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id, one row for each row of ``docs``."""
     members, roots = classes_and_components(docs, words, percent)

@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from orgloom.llm import chat, jaccard, language, mixing, pii, quality, tokens
+from orgloom.llm import chat, decontam, jaccard, language, mixing, neighbours, pii, quality, substrings, tokens
 
 QUERIES = {
+    "op1_decontamination": decontam.op1_decontamination,
     "op2_language_id": language.op2_language_id,
     "op3_chat_format": chat.op3_chat_format,
     "op4_quality_score": quality.op4_quality_score,
     "op5_token_count": tokens.op5_token_count,
     "op6_personal_data": pii.op6_personal_data,
     "op7_jaccard_join": jaccard.op7_jaccard_join,
+    "op8_substring_dedup": substrings.op8_substring_dedup,
+    "op9_nearest": neighbours.op9_nearest,
     "op10_source_mix": mixing.op10_source_mix,
 }
-ORACLES = {"op3_chat_format": chat.ORACLE, "op10_source_mix": mixing.ORACLE}
+ORACLES = {
+    "op1_decontamination": decontam.ORACLE,
+    "op3_chat_format": chat.ORACLE,
+    "op10_source_mix": mixing.ORACLE,
+}
