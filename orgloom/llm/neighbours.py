@@ -38,7 +38,7 @@ EDGES, HIDDEN, EPOCHS = 10, 96, 40
 ROWS_PER_PART, PARTS = 1_500, 64
 #: Rows and queries in one block.
 BLOCK, QUERIES = 8_192, 4_096
-RECALL = 0.95
+RECALL = 0.97
 SEED = 9
 
 
