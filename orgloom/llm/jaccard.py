@@ -55,6 +55,8 @@ BAND = 1.5
 BROADCAST_PAIRS = 1_000_000
 #: Comparisons with one class in a task, and rows of a task's output held before it is sent.
 SALT = 500
+#: Keys of a class by which a pair's repeated meetings are told.
+FIRST = 32
 #: Words of 64 bits in a set's parity sketch.
 SKETCH = 8
 HELD = 200_000
@@ -403,7 +405,13 @@ def classes_and_components(docs: DataFrame, words: int = WORDS, percent: int = P
     rows = rows.dropDuplicates(["bucket", "sid"])
     placed = rows.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high")
-    open_rows = staged(placed.join(mixed.select("bucket"), "bucket").join(outlines, "sid"), "open")
+    still = staged(placed.join(mixed.select("bucket"), "bucket"), "mixed")
+    # A pair counts under the smallest of its common keys, as far as the first few of each tell.
+    asking = still.filter("not weak").groupBy("sid").agg(F.slice(F.array_sort(F.collect_list("bucket")), 1, FIRST).alias("first"))
+    none = F.array().cast("array<long>")
+    open_rows = staged(
+        still.join(outlines, "sid").join(asking, "sid", "left").withColumn("first", F.coalesce("first", none)), "open"
+    )
     x, y = open_rows.alias("x"), open_rows.alias("y")
     across = (
         x.join(
@@ -411,7 +419,8 @@ def classes_and_components(docs: DataFrame, words: int = WORDS, percent: int = P
             (F.col("x.bucket") == F.col("y.bucket"))
             & (F.col("x.root") < F.col("y.root"))
             & (~F.col("x.weak") | ~F.col("y.weak"))
-            & may_link("x", "y", percent),
+            & may_link("x", "y", percent)
+            & (F.coalesce(F.array_min(F.array_intersect("x.first", "y.first")), F.col("x.bucket")) >= F.col("x.bucket")),
         )
         .select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b"))
         .distinct()
