@@ -16,7 +16,8 @@ from orgloom.sources.pages import as_pages, spread
 
 
 def _real(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(as_pages(fx.table(spark, sf_dir, "pages")).select("requested_url", "html"))
+    pages = as_pages(fx.table(spark, sf_dir, "pages")).select("requested_url", "html")
+    return spread(pages, spark.sparkContext.defaultParallelism)  # a single file
 
 
 def page_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,9 +47,8 @@ def page_has_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nodes of the rendered pages, earlier captures left out."""
-    pages = fx.captured_pages(spark, sf_dir).filter(~F.col("html").contains("An earlier capture"))
-    return with_nodes(pages.select("requested_url", "html"), SPEC)
+    """Nodes of all rendered pages, earlier captures too."""
+    return with_nodes(fx.captured_pages(spark, sf_dir).select("requested_url", "html"), SPEC)
 
 
 def first_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,10 +96,7 @@ def facet_bars_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
     def without(facet: str, part: str):
         return F.size(F.filter(facet, lambda b: b[part] == "-")).cast("bigint")
 
-    facts = page_facts(
-        fx.captured_pages(spark, sf_dir).filter(~F.col("html").contains("An earlier capture")), SPEC
-    )
-    return facts.select(
+    return page_facts(fx.captured_pages(spark, sf_dir), SPEC).select(
         "requested_url",
         "has_bars",
         unlabelled("locations").alias("bad_locations"),
@@ -116,11 +113,9 @@ FLAT = (
 
 
 def _flat(records: DataFrame) -> DataFrame:
-    """Records with the list as a number of items."""
-    n_items = F.size("items").cast("bigint")
-    return records.select(
-        *FLAT, F.when(F.col("items").isNotNull(), n_items).alias("n_items"), "items_missing"
-    )
+    """Records with the list as its labels and counts in order."""
+    listed = F.transform("items", lambda i: F.concat(i["label"], F.lit("="), i["count"]))
+    return records.select(*FLAT, F.array_join(listed, "|").alias("listed"), "items_missing")
 
 
 def _facet(facet: str, keyword: bool):
@@ -154,9 +149,9 @@ def record_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
 _PEOPLE = [(f, k) for f in ("locations", "roles") for k in (True, False)]
 _ALL_RECORDS = "\nUNION ALL\n".join(
     [
-        f"SELECT {', '.join(FLAT)}, NULL::BIGINT AS n_items, "
+        f"SELECT {', '.join(FLAT)}, NULL::VARCHAR AS listed, "
         f"CASE WHEN outcome = 'placeholder' THEN false END AS items_missing FROM ({ABOUT_SQL})",
-        *(f"SELECT {', '.join(FLAT)}, n_items, items_missing FROM ({people_sql(f, k)})" for f, k in _PEOPLE),
+        *(f"SELECT {', '.join(FLAT)}, listed, items_missing FROM ({people_sql(f, k)})" for f, k in _PEOPLE),
     ]
 )
 
@@ -185,6 +180,8 @@ SELECT url, tag, n, length(text)::BIGINT AS raw_chars, length(trim(text))::BIGIN
 FROM texts"""
 
 VISITED = "FROM visits JOIN totals USING (k, name) WHERE captured"
+# an earlier capture of each page of these organisations has a heading and nothing else
+EARLIER = "FROM visits WHERE variant = 2"
 
 QUERIES = {
     "page_nodes": Query(page_nodes, PAGE_NODES_SQL),
@@ -203,7 +200,8 @@ QUERIES = {
             PAGES,
             select=f"""
 SELECT target_url AS requested_url,
-       CASE WHEN page_kind <> 'about' AND variant <> 6 THEN name || ' & Co' END AS title {VISITED}""",
+       CASE WHEN page_kind <> 'about' AND variant <> 6 THEN name || ' & Co' END AS title {VISITED}
+UNION ALL SELECT target_url, NULL {EARLIER}""",
         ),
     ),
     "header_members": Query(
@@ -214,7 +212,8 @@ SELECT target_url AS requested_url,
             PAGES,
             select=f"""
 SELECT target_url AS requested_url, CASE WHEN page_kind = 'about' OR variant = 8 THEN '-'
-  ELSE format('{{:,}}', CASE page_kind WHEN 'people' THEN n_all ELSE n_kw END) END AS members {VISITED}""",
+  ELSE format('{{:,}}', CASE page_kind WHEN 'people' THEN n_all ELSE n_kw END) END AS members {VISITED}
+UNION ALL SELECT target_url, '-' {EARLIER}""",
         ),
     ),
     "dt_dd_pairs": Query(
@@ -255,7 +254,8 @@ SELECT target_url AS requested_url,
   CASE page_kind WHEN 'about' THEN format('{{:,}}', n_all) ELSE '-' END AS members,
   CASE page_kind WHEN 'about' THEN nation || 'City' ELSE '-' END AS headquarters,
   CASE page_kind WHEN 'about' THEN (1900 + k % 100)::VARCHAR ELSE '-' END AS founded,
-  CASE WHEN page_kind = 'about' AND variant <> 8 THEN types ELSE '-' END AS specialties {VISITED}""",
+  CASE WHEN page_kind = 'about' AND variant <> 8 THEN types ELSE '-' END AS specialties {VISITED}
+UNION ALL SELECT target_url, '-', '-', '-', '-', '-', '-', '-' {EARLIER}""",
         ),
     ),
     "facet_bars": Query(
@@ -292,7 +292,8 @@ FROM shown LEFT JOIN sizes ON sizes.k = shown.k AND dataset = 'roles' || ending
 SELECT target_url AS requested_url, page_kind <> 'about' AND variant <> 7 AS has_bars, false AS bad_locations,
   page_kind <> 'about' AND variant = 9 AS bad_roles,
   CASE WHEN page_kind <> 'about' AND variant = 1 THEN 1 ELSE 0 END::BIGINT AS without_label,
-  CASE WHEN page_kind <> 'about' AND variant = 1 THEN 1 ELSE 0 END::BIGINT AS without_count {VISITED}""",
+  CASE WHEN page_kind <> 'about' AND variant = 1 THEN 1 ELSE 0 END::BIGINT AS without_count {VISITED}
+UNION ALL SELECT target_url, false, false, false, 0, 0 {EARLIER}""",
         ),
     ),
     "about_extract": Query(about_extract, with_ctes(ORGS, BARS, PAGES, select=ABOUT_SQL)),

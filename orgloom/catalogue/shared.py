@@ -110,7 +110,8 @@ def people_sql(facet: str, keyword: bool) -> str:
     dataset = f"{facet}_{'kw' if keyword else 'all'}"
     kind, total = ("people_kw", "n_kw") if keyword else ("people", "n_all")
     bad = "variant = 9" if facet == "roles" else "false"
-    extra = "+ CASE WHEN variant = 1 THEN 2 ELSE 0 END" if facet == "locations" else ""
+    more = "|| CASE WHEN variant = 1 THEN CASE WHEN n_bars > 0 THEN '|' ELSE '' END || 'No count=-|-=7' ELSE '' END"
+    extra = more if facet == "locations" else ""
     return f"""
 SELECT '{dataset}' AS dataset, outcome, name AS input_company_name,
   CASE WHEN outcome IN ('ok', 'no_bars') AND variant <> 6 THEN name || ' & Co' ELSE '-' END AS company_name,
@@ -123,14 +124,17 @@ SELECT '{dataset}' AS dataset, outcome, name AS input_company_name,
   CASE WHEN outcome = 'unavailable' THEN NULL
        WHEN outcome IN ('ok', 'no_bars') AND variant <> 8 THEN format('{{:,}}', {total})
        ELSE '-' END AS members,
-  CASE WHEN outcome = 'ok' THEN coalesce(n_bars, 0) {extra} END AS n_items,
+  CASE WHEN outcome = 'ok' THEN coalesce(bars_listed, '') {extra} END AS listed,
   outcome IN ('no_bars', 'exception') AS items_missing
 FROM (
-  SELECT visits.*, totals.*, n_bars,
+  SELECT visits.*, totals.*, n_bars, bars_listed,
     CASE WHEN variant = 3 THEN 'exception' WHEN variant = 4 THEN 'unavailable'
          WHEN variant = 7 THEN 'no_bars' WHEN {bad} THEN 'exception' ELSE 'ok' END AS outcome
   FROM visits JOIN totals USING (k, name)
-  LEFT JOIN (SELECT k, count(*) AS n_bars FROM bars WHERE dataset = '{dataset}' GROUP BY k) USING (k)
+  LEFT JOIN (
+    SELECT k, count(*) AS n_bars, string_agg(label || '=' || format('{{:,}}', n), '|' ORDER BY pos) AS bars_listed
+    FROM placed WHERE dataset = '{dataset}' GROUP BY k
+  ) USING (k)
   WHERE page_kind = '{kind}'
 )
 UNION ALL

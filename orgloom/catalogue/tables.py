@@ -134,7 +134,15 @@ def convert_all_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _people_columns(records: DataFrame) -> DataFrame:
-    return records.select("input_company_name", F.col(ALL_MEMBERS).alias("members"))
+    """Name, members and the list that was written, as labels and counts in order."""
+    rows = tables.with_items(records, DATASETS["roles_all"])
+    part = lambda i, name: or_missing(i[name])
+    listed = F.transform("items", lambda i: F.concat(part(i, "label"), F.lit("="), part(i, "count")))
+    return rows.select(
+        "input_company_name",
+        F.col(ALL_MEMBERS).alias("members"),
+        F.coalesce(F.array_join(listed, "|"), F.lit("")).alias("listed"),
+    )
 
 
 def records_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,9 +161,9 @@ def records_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def records_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing, store, seen = (work_dir(spark, f"ingest-{x}") for x in ("landing", "store", "checkpoint"))
-    for _ in range(2):
-        write_records(_records(spark, sf_dir, "roles_all"), landing)
-        ingest_records(spark, landing, store, seen, DATASETS["roles_all"])
+    write_records(_records(spark, sf_dir, "roles_all"), landing)
+    ingest_records(spark, landing, store, seen, DATASETS["roles_all"])
+    write_records(_records(spark, sf_dir, "roles_all"), store)  # both ways into one store
     return _people_columns(read_records(spark, store, DATASETS["roles_all"]))
 
 
@@ -214,6 +222,15 @@ SELECT '{DATASETS["about"].table_name}' AS table_name, (SELECT count(*) FROM tot
 """
 
 
+def _stored_sql(times: int) -> str:
+    """The records of a store that was written so often."""
+    return f"""
+SELECT input_company_name, nullif(members, '-') AS members, coalesce(listed, '') AS listed
+FROM records LEFT JOIN (
+  SELECT k, string_agg(label || '=' || count, '|' ORDER BY pos) AS listed FROM items GROUP BY k
+) USING (k) CROSS JOIN range({times})"""
+
+
 def _convert_sql(roles_form: str) -> str:
     ctes, selects = [BARS], [_TABLE_ROWS]
     for name, dataset in DATASETS.items():
@@ -336,9 +353,7 @@ SELECT label, input_company_name AS first_record, pos AS first_pos FROM ranked W
         with_ctes(
             BARS,
             items_sql("roles_all"),
-            select="""
-SELECT input_company_name, nullif(members, '-') AS members FROM records
-UNION ALL SELECT input_company_name, nullif(members, '-') FROM records""",
+            select=_stored_sql(2),
         ),
     ),
     "records_overwrite": Query(
@@ -346,7 +361,7 @@ UNION ALL SELECT input_company_name, nullif(members, '-') FROM records""",
         with_ctes(
             BARS,
             items_sql("roles_all"),
-            select="SELECT input_company_name, nullif(members, '-') AS members FROM records",
+            select=_stored_sql(1),
         ),
     ),
     "records_ingest": Query(
@@ -354,9 +369,7 @@ UNION ALL SELECT input_company_name, nullif(members, '-') FROM records""",
         with_ctes(
             BARS,
             items_sql("roles_all"),
-            select="""
-SELECT input_company_name, nullif(members, '-') AS members FROM records
-UNION ALL SELECT input_company_name, nullif(members, '-') FROM records""",
+            select=_stored_sql(2),
         ),
     ),
     "csv_roundtrip": Query(

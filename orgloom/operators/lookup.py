@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_SPLIT = 200_000
-MAX_HOT_KEYS = 1024
-TRACKED_KEYS = 10_000
+#: Hot URLs up to which their list is broadcast; a longer one is joined like any table.
+MAX_BROADCAST = 100_000
 
 
 def latest_capture(captures: DataFrame, key: str = "requested_url") -> DataFrame:
@@ -26,18 +26,17 @@ def latest_capture(captures: DataFrame, key: str = "requested_url") -> DataFrame
     )
 
 
-def hot_keys(df: DataFrame, key: str, rows_per_split: int, max_keys: int) -> list[tuple[int, int]]:
-    """The keys with the most rows and the number of splits each needs.
+def hot_keys(df: DataFrame, key: str, rows_per_split: int) -> DataFrame:
+    """hash and splits of every key with more than ``rows_per_split`` rows.
 
-    A frequent-items sketch per task, so no key is shuffled: it finds every key with
-    more than about 0.05 % of the rows, and which keys it finds changes how the join is
-    spread, never its result. At most ``max_keys`` pairs of numbers come back, whatever
-    the input. A hash stands for the key: keys that share one are split alike on both
-    sides of a join, which does no harm.
+    Rows are counted on the map side first, so a hot key leaves each task as one row.
+    There is at most one row for each ``rows_per_split`` rows of the input. A hash stands
+    for the key: keys that share one are split alike on both sides of a join.
     """
-    sketch = F.expr(f"approx_top_k(hash, {max_keys}, {TRACKED_KEYS})")
-    found = df.select(F.xxhash64(key).alias("hash")).agg(sketch.alias("top")).collect()[0]["top"]
-    return [(r["item"], -(-r["count"] // rows_per_split)) for r in found if r["count"] > rows_per_split]
+    counts = df.groupBy(F.xxhash64(key).alias("_hash")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.filter(F.col("n") > rows_per_split).select(
+        "_hash", F.ceil(F.col("n") / rows_per_split).cast("bigint").alias("_splits")
+    )
 
 
 def lookup(
@@ -46,31 +45,29 @@ def lookup(
     target_key: str = "target_url",
     capture_key: str = "requested_url",
     rows_per_split: int = ROWS_PER_SPLIT,
-    max_hot_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame:
     """Left join of the targets with captures that are unique per URL.
 
-    A look for hot target URLs comes first. Without one this is a plain join
-    that keeps the partitioning the captures already have. Otherwise the hot URLs
-    are spread, see ``spread_lookup``; both give the same rows.
+    Every URL with more than ``rows_per_split`` targets is spread, see ``spread_lookup``.
+    Without one this is a plain join that keeps the partitioning the captures already
+    have; both give the same rows.
     """
-    hot = hot_keys(targets, target_key, rows_per_split, max_hot_keys)
-    if hot:
-        return spread_lookup(targets, captures, target_key, capture_key, hot)
-    return targets.join(captures, F.col(target_key) == F.col(capture_key), "left")
+    hot = hot_keys(targets, target_key, rows_per_split)
+    if hot.isEmpty():
+        return targets.join(captures, F.col(target_key) == F.col(capture_key), "left")
+    return spread_lookup(targets, captures, target_key, capture_key, hot)
 
 
 def spread_lookup(
-    targets: DataFrame, captures: DataFrame, target_key: str, capture_key: str, hot: list[tuple[int, int]]
+    targets: DataFrame, captures: DataFrame, target_key: str, capture_key: str, hot: DataFrame
 ) -> DataFrame:
     """The same join with every hot URL shared among several splits.
 
     A target row goes to a split by its content and by the input partition it is in,
     so equal rows spread as well, and a task that runs again gives the same rows. The
-    URL's single capture is repeated once per split. URLs beyond the hot list are one
-    split each.
+    URL's single capture is repeated once per split. Other URLs are one split each.
     """
-    splits_of = F.broadcast(targets.sparkSession.createDataFrame(hot, "_hash bigint, _splits bigint"))
+    splits_of = F.broadcast(hot) if hot.count() <= MAX_BROADCAST else hot
     splits = F.coalesce("_splits", F.lit(1).cast("bigint"))
     place = F.pmod(F.xxhash64(*targets.columns), splits) + F.spark_partition_id()
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orgloom.functions.values import let, or_missing
 from orgloom.schemas import MISSING
@@ -14,7 +15,6 @@ from orgloom.schemas import MISSING
 log = logging.getLogger(__name__)
 
 ITEMS_TYPE = "array<struct<label:string,count:string>>"
-MAX_ROLE_COLUMNS = 20_000
 
 
 def _python_text(value: Column) -> Column:
@@ -153,13 +153,11 @@ def role_names(
     order: str = "record_order",
     items: str = "items",
     column_order: str = "first_seen",
-    max_columns: int = MAX_ROLE_COLUMNS,
 ) -> list[str]:
     """The labels as column names, by first appearance or by name.
 
     Only the distinct labels come to the driver, where a table's column names have
-    to be. Beyond ``max_columns`` this stops: such data belongs in the long table
-    or in the map column, which have no limit.
+    to be. The long table and the map column need none of them.
     """
     if column_order == "name":
         labels = explode_items(records.select(items), items).select("label").distinct()
@@ -168,10 +166,7 @@ def role_names(
         ranked = role_columns(records, order, items).orderBy("first_seen").select("label")
     else:
         raise ValueError(f"unknown column order {column_order!r}")
-    names = [row[0] for row in ranked.limit(max_columns + 1).collect()]
-    if len(names) > max_columns:
-        raise ValueError(f"more than {max_columns} role columns; use the long or the map form")
-    return names
+    return [row[0] for row in ranked.collect()]
 
 
 def free_names(names: Sequence[str], taken: Sequence[str]) -> dict[str, str]:
@@ -188,16 +183,26 @@ def free_names(names: Sequence[str], taken: Sequence[str]) -> dict[str, str]:
 
 
 def to_wide(records: DataFrame, names: Sequence[str], counts: str = "counts") -> DataFrame:
-    """One column per label, read off the record's map: no shuffle, one row per record."""
+    """One column per label, read off the record's map: no shuffle, one row per record.
+
+    The map is written as JSON and read back under the labels once, so the cost is
+    linear in columns plus entries.
+    """
     base = [c for c in records.columns if c != counts]
     columns = free_names(names, base)
     renamed = [name for name, column in columns.items() if name != column]
     if renamed:
         log.warning("%d role columns renamed, they are named like base columns: %s", len(renamed), renamed)
-    return records.select(
-        *(F.col(f"`{c}`") for c in base),
-        *(or_missing(F.try_element_at(F.col(counts), F.lit(n))).alias(c) for n, c in columns.items()),
-    )
+    if not columns:
+        return records.select(*(F.col(f"`{c}`") for c in base))
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
+    cells = F.inline(F.array(F.from_json(F.to_json(counts), schema)))
+    wide = records.select(*(F.col(f"`{c}`") for c in base), cells).toDF(*base, *columns.values())
+    return wide.select(*(F.col(f"`{c}`") for c in base), *(or_missing(F.col(_quoted(c))).alias(c) for c in columns.values()))
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def to_long(wide: DataFrame, base: Sequence[str], label: str = "label", count: str = "count") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orgloom.functions import urls
@@ -39,6 +39,31 @@ def rejects(classified: DataFrame) -> DataFrame:
     )
 
 
+def has_ending(spec: ExtractionSpec, kinds: Iterable[str]) -> Column:
+    """Whether a page's URL is one of these kinds of page."""
+    return reduce(or_, [F.col("requested_url").endswith(spec.suffixes[kind]) for kind in sorted(kinds)])
+
+
+def targeted_captures(pages: DataFrame, targets: DataFrame, spec: ExtractionSpec, kinds: Iterable[str]) -> DataFrame:
+    """The newest capture of every URL that some target asks for, with its text.
+
+    Which captures these are is settled on the narrow columns; the text of foreign pages
+    and of superseded copies is never parsed. Captures that tie stay for later.
+    """
+    asked = targets.select(F.col("target_url").alias("requested_url")).distinct()
+    known = pages.filter(has_ending(spec, kinds)).select("requested_url", "captured_at", "final_url")
+    newest = known.join(asked, "requested_url", "left_semi").groupBy("requested_url").agg(
+        F.max(F.struct("captured_at", "final_url")).alias("newest")
+    )
+    chosen = newest.select(F.col("requested_url").alias("chosen_url"), "newest")
+    same = (
+        (F.col("requested_url") == F.col("chosen_url"))
+        & F.col("captured_at").eqNullSafe(F.col("newest.captured_at"))
+        & F.col("final_url").eqNullSafe(F.col("newest.final_url"))
+    )
+    return pages.filter(has_ending(spec, kinds)).join(chosen, same, "left_semi")
+
+
 def page_facts(pages: DataFrame, spec: ExtractionSpec, kinds: Iterable[str] | None = None) -> DataFrame:
     """Everything later steps need from a page, one small row per capture.
 
@@ -50,9 +75,7 @@ def page_facts(pages: DataFrame, spec: ExtractionSpec, kinds: Iterable[str] | No
     narrow = pages.select(
         "requested_url", "final_url", "captured_at", F.xxhash64("html").alias("capture_hash"), "html"
     )
-    if wanted != set(spec.suffixes):
-        endings = [F.col("requested_url").endswith(spec.suffixes[kind]) for kind in sorted(wanted)]
-        narrow = narrow.filter(reduce(or_, endings))
+    narrow = narrow.filter(has_ending(spec, wanted))
     page = F.col("page")
     facts = []
     if "about" in wanted:
@@ -84,7 +107,8 @@ def looked_up(classified: DataFrame, pages: DataFrame, spec: ExtractionSpec, kin
     kinds = list(kinds)
     valid = classified.filter(F.col("url_status") == "valid").select("name", "base_url")
     targets = urls.page_targets(valid, spec, kinds)
-    return lookup(targets, latest_capture(page_facts(pages, spec, kinds)))
+    wanted = targeted_captures(pages, targets, spec, kinds)
+    return lookup(targets, latest_capture(page_facts(wanted, spec, kinds)))
 
 
 def extract_datasets(

@@ -23,6 +23,7 @@ def run_extraction(
     run_ts: str | None = None,
     spec: ExtractionSpec | None = None,
     pages_format: str = "parquet",
+    pages_partitions: int | None = None,
     name_column: str = NAME_COLUMN,
     url_column: str = URL_COLUMN,
     **options: bool,
@@ -34,7 +35,7 @@ def run_extraction(
     """
     run_ts = run_ts or datetime.now().isoformat()
     orgs = read_org_list(spark, org_csv, name_column, url_column)
-    pages = read_pages(spark, pages_path, pages_format)
+    pages = read_pages(spark, pages_path, pages_format, pages_partitions)
     places = write_datasets(extract_datasets(orgs, pages, run_ts, spec, **options), out_dir)
     places["rejects"] = os.path.join(out_dir, "rejects.csv")
     without = classify(orgs, null_as_placeholder=options.get("null_as_placeholder", False))

@@ -126,6 +126,8 @@ def convert_all(
     layout: str = "lines",
 ) -> dict[str, DataFrame]:
     """All five tables by name; datasets that are not there give empty tables."""
+    if roles_form not in ("wide", "long"):
+        raise ValueError(f"roles_form is wide or long, not {roles_form!r}")
     tables = {}
     for dataset in DATASETS.values():
         path = os.path.join(records_dir, dataset.file_name)

@@ -44,9 +44,9 @@ def stored_columns(spark: SparkSession, path: str) -> list[str] | None:
     try:
         return spark.read.option("header", True).option("escape", '"').csv(path).columns
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        return None
+        return None  # nothing there, or only what a stopped write has left
 
 
 def append_by_name(existing: DataFrame, new: DataFrame, fill_all: bool = False) -> DataFrame:
@@ -64,13 +64,19 @@ def append_by_name(existing: DataFrame, new: DataFrame, fill_all: bool = False)
 def append_csv(new: DataFrame, path: str, grown_path: str, fill_all: bool = False) -> str:
     """Append to a stored CSV table and return the folder that holds the result.
 
-    With the same columns only new files are added. If the columns differ, the
-    union goes to ``grown_path``: a table is never written over while it is read.
+    While the table has all columns of the new rows, these are put in its order and only
+    new files are added. If they bring new columns, the union goes to ``grown_path``: a
+    table is never written over while it is read.
     """
     spark = new.sparkSession
     columns = stored_columns(spark, path)
-    if columns is None or columns == new.columns:
-        write_csv(fill_missing(numbers_to_text(new)), path, append=True)
+    if columns is None or set(new.columns) <= set(columns):
+        rows = fill_missing(numbers_to_text(new))
+        lacking = [c for c in columns or () if c not in new.columns]
+        rows = rows.select(
+            *(F.lit(None).cast("string").alias(c) if c in lacking else F.col(f"`{c}`") for c in columns or new.columns)
+        )
+        write_csv(fill_missing(rows) if fill_all else rows, path, append=True)
         return path
     write_csv(append_by_name(read_csv_text(spark, path), new, fill_all), grown_path)
     return grown_path

@@ -8,20 +8,17 @@ from pyspark.sql import functions as F
 from orgloom.schemas import PAGE_SCHEMA
 
 
-def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spread(spark.read.schema(PAGE_SCHEMA).format(fmt).load(path))
+def read_pages(spark: SparkSession, path: str, fmt: str = "parquet", partitions: int | None = None) -> DataFrame:
+    return spread(spark.read.schema(PAGE_SCHEMA).format(fmt).load(path), partitions)
 
 
-def spread(pages: DataFrame) -> DataFrame:
-    """Share a scan that has fewer splits than there are cores among all cores.
+def spread(pages: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Pages dealt out to so many partitions, or left as they are read without a number.
 
-    Parsing takes far longer than moving the text, so a small corpus, or one in a few
-    files that cannot be split, is worth a shuffle. A corpus with enough splits, as any
-    large one has, is left as it is. Meant for a plain scan: finding the number of
-    splits of anything else may run part of it.
+    Parsing takes far longer than moving the text, so a corpus in a few files that can't
+    be split is worth a shuffle; only the caller knows whether it is one.
     """
-    cores = pages.sparkSession.sparkContext.defaultParallelism
-    return pages.repartition(cores) if pages.rdd.getNumPartitions() < cores else pages
+    return pages.repartition(partitions) if partitions else pages
 
 
 def as_pages(df: DataFrame, url: str = "url", html: str = "html", captured_at: str | None = None) -> DataFrame:

@@ -40,13 +40,13 @@ def read_records(
     lets such records through as empty ones.
     """
     schema = dataset.record_schema()
-    reader = spark.read.option("mode", mode)
+    reader = spark.read.option("mode", mode).option("recursiveFileLookup", True)  # a store has folders of batches
     if layout == "lines":
         rows = reader.schema(schema).json(path)
     elif layout == "array":
         rows = reader.schema(schema).option("multiLine", True).json(path)
     elif layout == "indented":
-        rows = spark.read.option("lineSep", INDENTED_RECORD_END).text(path)
+        rows = spark.read.option("lineSep", record_end(spark, path)).text(path)
     else:
         raise ValueError(f"unknown layout {layout!r}")
 
@@ -70,6 +70,13 @@ def read_records(
     )
 
 
+def record_end(spark: SparkSession, path: str) -> str:
+    """The end of a record with the line ends that the first line has."""
+    first = spark.read.option("lineSep", "\n").text(path).first()
+    windows = first is not None and first["value"].endswith("\r")
+    return INDENTED_RECORD_END.replace("\n", "\r\n") if windows else INDENTED_RECORD_END
+
+
 def _parse_indented(chunks: DataFrame, schema: T.StructType, mode: str) -> DataFrame:
     """Records of the chunks between record ends.
 

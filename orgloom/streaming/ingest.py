@@ -2,28 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import os
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orgloom.schemas import Dataset
 
+_BROKEN = "_broken_line"
+
 
 def ingest_records(
-    spark: SparkSession, landing: str, store: str, checkpoint: str, dataset: Dataset, files_per_batch: int = 1000
+    spark: SparkSession,
+    landing: str,
+    store: str,
+    checkpoint: str,
+    dataset: Dataset,
+    files_per_batch: int = 1000,
+    rejects: str | None = None,
 ) -> None:
     """Move what is new in ``landing`` (JSON Lines) to ``store`` and stop.
 
     The checkpoint remembers the files seen, so a rerun after a failure or with new
-    files neither loses nor repeats records.
+    files neither loses nor repeats records: every batch overwrites a folder of its own,
+    and other appends to the store stay visible. Lines that are no records go to
+    ``rejects`` (beside the store if not given) instead of stopping each later run.
     """
+    rejects = rejects or f"{store.rstrip('/')}.rejects"
+    schema = T.StructType([*dataset.record_schema().fields, T.StructField(_BROKEN, T.StringType())])
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
+        name = f"ingest-{number:012d}"
+        good = batch.filter(F.col(_BROKEN).isNull()).drop(_BROKEN)
+        good.write.mode("overwrite").json(os.path.join(store, name))
+        broken = batch.filter(F.col(_BROKEN).isNotNull()).select(F.col(_BROKEN).alias("value"))
+        if not broken.isEmpty():
+            broken.write.mode("overwrite").text(os.path.join(rejects, name))
+        batch.unpersist()
+
     query = (
-        spark.readStream.schema(dataset.record_schema())
+        spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", files_per_batch)
-        .option("mode", "FAILFAST")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", _BROKEN)
         .json(landing)
-        .writeStream.format("json")
-        .outputMode("append")
+        .writeStream.foreachBatch(keep)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(store)
+        .start()
     )
     query.awaitTermination()

@@ -2,11 +2,12 @@
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from orgloom.catalogue import inputs as fx
-from orgloom.plans.extraction import extract_about, extract_datasets, page_facts
+from orgloom.plans.extraction import extract_about, extract_datasets, page_facts, targeted_captures
 from orgloom.schemas import DATASETS, ExtractionSpec
 from orgloom.sources.pages import spread
 from orgloom.sources.records import read_records
@@ -27,13 +28,33 @@ def test_extraction_from_a_page_needs_no_shuffle(spark, sf_dir):
     assert "Exchange" not in plan and plan.count("MapInArrow") == 1
 
 
-def test_only_a_corpus_with_few_splits_is_spread(spark, sf_dir, tmp_path):
-    one_file = fx.table(spark, sf_dir, "pages").select("url", "html")
-    assert "RoundRobinPartitioning" in plan_of(spread(one_file))
-    one_file.repartition(16).write.parquet(str(tmp_path / "pages"))
-    many = spark.read.parquet(str(tmp_path / "pages"))
-    assert many.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
-    assert "Exchange" not in plan_of(spread(many))
+def test_the_caller_says_whether_a_corpus_is_spread(spark, sf_dir):
+    pages = fx.table(spark, sf_dir, "pages").select("url", "html")
+    assert "RoundRobinPartitioning" in plan_of(spread(pages, 16))
+    assert "Exchange" not in plan_of(spread(pages))
+
+
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_only_the_newest_captures_of_targets_are_parsed(spark, threshold):
+    spec = ExtractionSpec()
+    ending = spec.suffixes["about"]
+    rows = spark.range(1000).select(
+        F.concat(F.lit("https://x/"), F.col("id").cast("string"), F.lit(ending)).alias("requested_url"),
+        F.lit("f").alias("final_url"),
+        F.explode(F.expr("sequence(1, 3)")).alias("day"),
+    )
+    pages = rows.select(
+        "requested_url", "final_url", F.concat(F.lit("<h1>"), "day", F.lit("</h1>")).alias("html"),
+        F.expr("make_date(2024, 5, day)").cast("timestamp_ntz").alias("captured_at"),
+    )
+    targets = spark.range(10).select(F.concat(F.lit("https://x/"), F.col("id").cast("string"), F.lit(ending)).alias("target_url"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        parsed = targeted_captures(pages, targets.unionByName(targets), spec, ["about"]).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(parsed) == 10 and {r.html for r in parsed} == {"<h1>3</h1>"}
 
 
 def test_page_text_stays_below_the_parser(spark, sf_dir):
@@ -44,7 +65,7 @@ def test_page_text_stays_below_the_parser(spark, sf_dir):
     assert not any(re.search(r"\bhtml#", line) for line in lines[:parser])
 
 
-def test_one_shuffle_per_side_of_the_page_join(spark, sf_dir):
+def test_shuffles_of_the_page_join_without_broadcast(spark, sf_dir):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -52,8 +73,8 @@ def test_one_shuffle_per_side_of_the_page_join(spark, sf_dir):
         plan = plan_of(extract_datasets(orgs, pages, fx.RUN_TS))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    # the captures, combined before their shuffle, and the targets
-    assert plan.count("Exchange hashpartitioning") == 2 and "SortMergeJoin" in plan
+    # targets twice, distinct and for the join; captures as narrow rows, as chosen texts, as facts
+    assert plan.count("Exchange hashpartitioning") <= 6 and "SortMergeJoin" in plan
     assert "partial_max_by" in plan
 
 

@@ -238,11 +238,34 @@ def test_a_role_named_like_a_base_column(spark):
     assert row["Company Name (role) (role)"] == "1"
 
 
-def test_too_many_role_columns_stop(spark):
-    source = tables.with_items(records(spark, [["a", "b", "c"]]), ROLES)
-    with pytest.raises(ValueError, match="role columns"):
-        reshape.role_names(source, max_columns=2)
-    assert reshape.role_names(source, max_columns=3) == ["a", "b", "c"]
+def test_wide_takes_any_number_of_columns(spark):
+    n = 25_000
+    names = [f"role {i}" for i in range(n)]
+    counts = F.map_from_arrays(F.array(F.lit("role 3"), F.lit(f"role {n - 1}")), F.array(F.lit("3"), F.lit("9")))
+    wide = reshape.to_wide(spark.range(2).select("id", counts.alias("counts")), names)
+    assert len(wide.columns) == n + 1
+    row = wide.select("id", "`role 2`", "`role 3`", f"`role {n - 1}`").collect()[1]
+    assert tuple(row) == (1, "-", "3", "9")
+
+
+def test_the_form_of_roles_is_checked(spark, tmp_path):
+    with pytest.raises(ValueError, match="wdie"):
+        tables.convert_all(spark, str(tmp_path), "2024", "wdie")
+
+
+def test_windows_line_ends_are_split_too(spark, tmp_path):
+    path = tmp_path / "crlf.json"
+    rows = [{"Company Name": f"c{i}", "Roles": [{"Role": "a", "Count": "1"}]} for i in range(2000)]
+    path.write_bytes(json.dumps(rows, indent=4).replace("\n", "\r\n").encode())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        df = read_records(spark, str(path), ROLES, "indented", with_order=True)
+        places = df.select("Company Name", "record_order", F.spark_partition_id().alias("p")).orderBy("record_order").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [r[0] for r in places] == [f"c{i}" for i in range(2000)]
+    assert len({r["p"] for r in places}) > 3
 
 
 def test_wide_goes_back_to_long(spark):

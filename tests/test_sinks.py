@@ -58,7 +58,7 @@ def test_growing_columns_move_to_a_new_version(spark, tmp_path):
     two = spark.createDataFrame([("b", "2")], ["n", "y"])
     for table in (one, one, two, one):
         place = append_csv(table, *newest_version(spark, path))
-    assert place == path + ".v3"
+    assert place == path + ".v2"  # the last one brings no new column
     stored = read_csv_text(spark, place)
     assert stored.columns == ["n", "x", "y"] and stored.count() == 4
     assert read_csv_text(spark, path).count() == 2
@@ -84,6 +84,43 @@ def test_ingest_takes_each_file_once(spark, tmp_path):
     assert {(r[0], r[1]) for r in rows} == {(f"o{i}", f'[{{"Count":"{i}","Role":"a"}}]') for i in range(3)}
 
 
+@pytest.mark.parametrize("ingest_first", [True, False])
+def test_a_store_takes_ingested_and_written_records(spark, tmp_path, ingest_first):
+    landing, store, seen = (str(tmp_path / x) for x in ("landing", "store", "seen"))
+    one, two = (spark.createDataFrame([(n,)], "`Company Name` string") for n in ("in", "out"))
+    write_records(one, landing)
+    (tmp_path / "landing" / "broken.json").write_text('{"Company Name": "half\n')
+    steps = [lambda: ingest_records(spark, landing, store, seen, ROLES), lambda: write_records(two, store)]
+    for step in steps if ingest_first else steps[::-1]:
+        step()
+    ingest_records(spark, landing, store, seen, ROLES)
+    assert sorted(r[0] for r in read_records(spark, store, ROLES).select("Company Name").collect()) == ["in", "out"]
+    broken = spark.read.option("recursiveFileLookup", True).text(store + ".rejects").collect()
+    assert [r[0] for r in broken] == ['{"Company Name": "half']
+
+
+def test_an_append_of_known_columns_leaves_the_files_alone(spark, tmp_path):
+    path = str(tmp_path / "t.csv")
+    write_csv(spark.createDataFrame([("1", "2")], "a string, b string"), path)
+    old = {p.name: p.read_bytes() for p in (tmp_path / "t.csv").glob("part-*")}
+    for new in (spark.createDataFrame([("4", "3")], "b string, a string"), spark.createDataFrame([("5",)], "b string")):
+        assert append_csv(new, path, path + ".v2") == path
+    now = {p.name: p.read_bytes() for p in (tmp_path / "t.csv").glob("part-*")}
+    assert all(now[name] == data for name, data in old.items())
+    rows = {tuple(r) for r in read_csv_text(spark, path).select("a", "b").collect()}
+    assert rows == {("1", "2"), ("3", "4"), (None, "5")}
+
+
+def test_a_stopped_write_does_not_block_the_table(spark, tmp_path):
+    path = str(tmp_path / "t.csv")
+    write_csv(spark.createDataFrame([("1",)], "a string"), path)
+    (tmp_path / "t.csv.v2" / "_temporary").mkdir(parents=True)
+    current, grown = newest_version(spark, path)
+    assert (current, grown) == (path, path + ".v2")
+    assert append_csv(spark.createDataFrame([("2", "3")], "a string, c string"), current, grown) == grown
+    assert read_csv_text(spark, grown).count() == 2
+
+
 @pytest.mark.parametrize("form", ["wide", "long"])
 def test_from_list_and_pages_to_tables(spark, sf_dir, form):
     listed, captured, out = (work_dir(spark, f"jobs-{x}") for x in ("list", "pages", "out"))
