@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from orgloom.llm.common import fold, map_batches, table
 
-SAMPLE = 8_000
+SAMPLE = 3_000
 BUCKETS = 1 << 16
 WIDTH = 8
 EPOCHS = 12
