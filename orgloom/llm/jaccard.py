@@ -58,7 +58,7 @@ SALT = 500
 #: Keys of a class by which a pair's repeated meetings are told.
 FIRST = 32
 #: Words of 64 bits in a set's parity sketch.
-SKETCH = 8
+SKETCH = 16
 HELD = 200_000
 
 _U = np.uint64
@@ -135,10 +135,11 @@ class Plan:
         needed = self.differ(band) + 1
         if needed == 1:
             return 1, 0
-        smallest = self.bottom(band) * self.percent / 100
-        empty = needed * math.exp(-smallest / needed)
-        budget = math.ceil(empty + 6 * math.sqrt(empty)) + 1  # next to no set has more empty segments
-        spare = max(0, budget - 1)  # the double segment pays for one
+        mean = self.bottom(band) * self.percent / 100 / needed
+        costly = needed * math.exp(-mean) * (1 + mean)  # segments with no or one element
+        budget = math.ceil(costly + 6 * math.sqrt(costly)) + 1  # next to no set has more empty ones
+        # The double segment pays for one. Spare segments make all of them smaller, so not too many.
+        spare = min(budget - 1, max(1, needed // 4))
         return needed + spare, spare
 
     def bands(self, size: int) -> list[int]:
