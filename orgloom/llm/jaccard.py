@@ -83,24 +83,51 @@ def set_id(elements: np.ndarray) -> int:
     return int(signed(mix(np.array([total ^ (len(elements) << 1)], np.uint64)))[0])
 
 
-def sketch_of(elements: np.ndarray) -> list[int]:
-    """Parities of the numbers of elements that hash to each of ``64 * SKETCH`` places.
+def sketch_of(elements: np.ndarray, length: int = SKETCH) -> list[int]:
+    """Parities of the numbers of elements that hash to each of ``64 * length`` places.
 
-    The places in which two sketches differ are at most as many as the sets' differing elements.
+    The places in which two sketches differ are at most as many as the sets' differing
+    elements. The two halves of a sketch, one laid on the other, are the sketch of half
+    the length.
     """
-    places = (mix(elements ^ _U(0x5CE7)) % _U(64 * SKETCH)).astype(np.int64)
-    odd = (np.bincount(places, minlength=64 * SKETCH) & 1).astype(np.uint8)
+    places = (mix(elements ^ _U(0x5CE7)) % _U(64 * length)).astype(np.int64)
+    odd = (np.bincount(places, minlength=64 * length) & 1).astype(np.uint8)
     return np.packbits(odd).view(np.int64).tolist()
 
 
+def wide_sketch_of(elements: np.ndarray) -> list[int] | None:
+    """For a set that is large for ``SKETCH`` words, a sketch of a length that suits it."""
+    n = len(elements)
+    return sketch_of(elements, 1 << math.ceil(math.log2(n / 24))) if n > 90 * SKETCH else None
+
+
+def wide_differ(x: Column, y: Column) -> Column:
+    """The places in which two wide sketches differ, the longer one halved if need be."""
+    length = F.least(F.size(x), F.size(y))
+    xor = lambda a, b: a.bitwiseXOR(b)
+
+    def halved(s: Column) -> Column:
+        half = F.zip_with(F.slice(s, 1, length), F.slice(s, length + 1, length), xor)
+        return F.when(F.size(s) == length, s).otherwise(half)
+
+    ones = F.transform(F.zip_with(halved(x), halved(y), xor), lambda w: F.bit_count(w))
+    return F.aggregate(ones, F.lit(0), lambda total, n: total + n)
+
+
 def may_link(a: str, b: str, percent: int) -> Column:
     """Whether sizes and sketches allow a link of two rows with n and sketch; false only if there is none."""
     na, nb = F.col(f"{a}.n").cast("long"), F.col(f"{b}.n").cast("long")
     differ = sum(
         (F.bit_count(F.col(f"{a}.sketch")[i].bitwiseXOR(F.col(f"{b}.sketch")[i])) for i in range(SKETCH)), F.lit(0)
     )
-    return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (
-        (100 + percent) * differ.cast("long") <= (100 - percent) * (na + nb)
+    wide = wide_differ(F.col(f"{a}.wide"), F.col(f"{b}.wide"))
+    near = F.greatest(F.size(f"{a}.wide"), F.size(f"{b}.wide")) <= 2 * F.least(F.size(f"{a}.wide"), F.size(f"{b}.wide"))
+    both = F.col(f"{a}.wide").isNotNull() & F.col(f"{b}.wide").isNotNull() & near
+    most = (100 - percent) * (na + nb)
+    return (
+        (100 * F.least(na, nb) >= percent * F.greatest(na, nb))
+        & ((100 + percent) * differ.cast("long") <= most)
+        & (~both | ((100 + percent) * wide.cast("long") <= most))
     )
 
 
@@ -181,13 +208,13 @@ def keys_of(elements: np.ndarray, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
 
 def index_rows(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Membership rows (key of their own, doc_id, sid, n, sketch; weak null) and index rows (doc_id null)."""
-    schema = StructType.fromDDL("key long, doc_id long, sid long, n int, weak boolean, sketch array<long>")
+    schema = StructType.fromDDL("key long, doc_id long, sid long, n int, weak boolean, sketch array<long>, wide array<long>")
     arrow = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, plan, sent = Shingles(words), Plan(percent), set()
         for batch in batches:
-            ids, members, sketches, key, sid, size, weak = [], [], [], [], [], [], []
+            ids, members, sketches, wide, key, sid, size, weak = [], [], [], [], [], [], [], []
             rows = 0
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
                 elements = shingles(text)
@@ -195,7 +222,9 @@ def index_rows(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
                 of = set_id(elements) if n else None
                 ids.append(doc_id)
                 members.append((of, n))
-                sketches.append(sketch_of(elements) if n and of not in sent else None)
+                new = n > 0 and of not in sent
+                sketches.append(sketch_of(elements) if new else None)
+                wide.append(wide_sketch_of(elements) if new else None)
                 if not n or of in sent:
                     continue
                 sent.add(of)
@@ -218,6 +247,7 @@ def index_rows(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
                     "n": [b for _, b in members],
                     "weak": pa.nulls(len(ids), pa.bool_()),
                     "sketch": sketches,
+                    "wide": wide,
                 },
                 arrow,
             )
@@ -232,6 +262,7 @@ def index_rows(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
                 "n": pa.array(np.concatenate(size)),
                 "weak": pa.array(np.concatenate(weak)),
                 "sketch": pa.nulls(len(keys), pa.list_(pa.int64())),
+                "wide": pa.nulls(len(keys), pa.list_(pa.int64())),
             },
             arrow,
         )
@@ -245,12 +276,14 @@ MEMBER, EDGE, BUCKET = 0, 1, 2
 
 def candidates(index: DataFrame, percent: int = PERCENT) -> DataFrame:
     """kind, a, b, n, weak, sketch: members (doc_id, sid, n, sketch), star edges (hub, sid) and buckets (bucket, sid, n, weak)."""
-    schema = StructType.fromDDL("kind int, a long, b long, n int, weak boolean, sketch array<long>")
+    schema = StructType.fromDDL("kind int, a long, b long, n int, weak boolean, sketch array<long>, wide array<long>")
     arrow = arrow_schema(schema)
 
-    def rows(kind, a, b, n, weak, sketch=None) -> Iterator[pa.RecordBatch]:
+    def rows(kind, a, b, n, weak, sketch=None, wide=None) -> Iterator[pa.RecordBatch]:
         columns = {"kind": pa.array(np.full(len(a), kind, np.int32)), "a": a, "b": b, "n": n, "weak": weak}
-        yield from as_batches(columns | {"sketch": pa.nulls(len(a), pa.list_(pa.int64())) if sketch is None else sketch}, arrow)
+        none = pa.nulls(len(a), pa.list_(pa.int64()))
+        sketches = {"sketch": none if sketch is None else sketch, "wide": none if wide is None else wide}
+        yield from as_batches(columns | sketches, arrow)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -259,7 +292,7 @@ def candidates(index: DataFrame, percent: int = PERCENT) -> DataFrame:
             is_member = batch["weak"].is_null()
             members = batch.filter(is_member)
             if members.num_rows:
-                yield from rows(MEMBER, members["doc_id"], members["sid"], members["n"], members["weak"], members["sketch"])
+                yield from rows(MEMBER, members["doc_id"], members["sid"], members["n"], members["weak"], members["sketch"], members["wide"])
             index = batch.filter(pa.compute.invert(is_member))
             now = [
                 index["key"].to_numpy(),
@@ -387,12 +420,12 @@ def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, words: int =
 def classes_and_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(doc_id, sid, n) of each document, and (sid, root) of each class with links."""
     found = staged(candidates(index_rows(docs, words, percent), percent), "candidates")
-    made = found.filter(F.col("kind") == MEMBER).select(F.col("a").alias("doc_id"), F.col("b").alias("sid"), "n", "sketch")
+    made = found.filter(F.col("kind") == MEMBER).select(F.col("a").alias("doc_id"), F.col("b").alias("sid"), "n", "sketch", "wide")
     members = made.select("doc_id", "sid", "n")
     classes = made.filter("sid is not null").groupBy("sid")
-    classes = classes.agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min("sketch").alias("sketch"))
+    classes = classes.agg(*(F.min(c).alias(c) for c in ("doc_id", "n", "sketch", "wide")))
     stars = found.filter(F.col("kind") == EDGE).select("a", "b").distinct()
-    outlines = classes.select("sid", "n", "sketch")
+    outlines = classes.select("sid", "n", "sketch", "wide")
     likely = (
         stars.join(outlines.alias("x"), F.col("a") == F.col("x.sid"))
         .join(outlines.alias("y"), F.col("b") == F.col("y.sid"))
