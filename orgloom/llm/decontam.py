@@ -187,9 +187,9 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the contaminated ones."""
-    bad = decontaminated(docs, benchmark).filter("contaminated").select(F.col("doc_id").alias("bad"), F.col("th").alias("bad_th"))
+    bad = decontaminated(docs, benchmark).filter("contaminated").select(F.col("doc_id").alias("_bad"), F.col("th").alias("_th"))
     bad = staged(bad.distinct(), "contaminated")
-    same = F.col("doc_id").eqNullSafe(F.col("bad")) & (F.xxhash64("text") == F.col("bad_th"))
+    same = F.col("doc_id").eqNullSafe(F.col("_bad")) & (F.xxhash64("text") == F.col("_th"))
     return docs.join(small(bad), same, "left_anti")
 
 

@@ -468,8 +468,8 @@ def classes_and_components(docs: DataFrame, words: int = WORDS, percent: int = P
     return members, roots.select(F.col("node").alias("sid"), "root")
 
 
-def with_set_id(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """docs with ``sid``, the number of the row's set, null if that is empty."""
+def with_set_id(docs: DataFrame, words: int = WORDS, name: str = "_set") -> DataFrame:
+    """docs with the number of each row's set, null if that is empty, as column ``name``."""
     names = docs.columns
 
     def make():
@@ -477,36 +477,39 @@ def with_set_id(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
         def run(batch: pa.RecordBatch) -> dict:
             sets = map(shingles, batch["text"].to_pylist())
-            return {c: batch[c] for c in names} | {"sid": [set_id(x) if len(x) else None for x in sets]}
+            return {c: batch[c] for c in names} | {name: [set_id(x) if len(x) else None for x in sets]}
 
         return run
 
-    return map_batches(docs, make, docs.withColumn("sid", F.lit(None).cast("long")).schema)
+    return map_batches(docs, make, docs.withColumn(name, F.lit(None).cast("long")).schema)
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """docs without all but one row of each component, that of the smallest doc_id.
 
-    Rows without words stay. Only ids that several rows have need a look at the rows' sets.
+    Rows without words stay. Only ids that several rows have need a look at the rows'
+    sets. Columns of ``docs`` may have any names that don't begin with an underscore.
     """
     members, roots = classes_and_components(docs, words, percent)
     rooted = members.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid")).filter("sid is not null")
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("least"))
     named = staged(rooted.join(least, "root"), "rooted")
-    several = staged(docs.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("many")), "several")
-    gone = named.filter(~F.col("doc_id").eqNullSafe(F.col("least"))).select(F.col("doc_id").alias("gone"))
+    ids = docs.select(F.col("doc_id").alias("_many")).groupBy("_many").agg(F.count("*").alias("_n"))
+    several = staged(ids.filter("_n > 1").select("_many"), "several")
+    gone = named.filter(~F.col("doc_id").eqNullSafe(F.col("least"))).select(F.col("doc_id").alias("_gone"))
     if several.isEmpty():
-        return docs.join(small(gone), F.col("doc_id") == F.col("gone"), "left_anti")
-    single = docs.join(small(several), F.col("doc_id").eqNullSafe(F.col("many")), "left_anti")
-    single = single.join(small(gone), F.col("doc_id") == F.col("gone"), "left_anti")
-    multiple = with_set_id(docs.join(small(several), F.col("doc_id").eqNullSafe(F.col("many")), "left_semi"), words)
-    stay = named.filter(F.col("doc_id").eqNullSafe(F.col("least"))).select("sid", "root", "least").distinct()
-    placed = multiple.join(stay.withColumnRenamed("sid", "of"), (F.col("sid") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("least")))
-    first = F.row_number().over(Window.partitionBy("root").orderBy("sid", F.xxhash64("text")))
-    chosen = placed.withColumn("place", first).filter("place = 1")
-    return single.unionByName(chosen.select(*docs.columns)).unionByName(
-        multiple.filter("sid is null").select(*docs.columns)
-    )
+        return docs.join(small(gone), F.col("doc_id") == F.col("_gone"), "left_anti")
+    is_many = F.col("doc_id").eqNullSafe(F.col("_many"))
+    single = docs.join(small(several), is_many, "left_anti")
+    single = single.join(small(gone), F.col("doc_id") == F.col("_gone"), "left_anti")
+    multiple = with_set_id(docs.join(small(several), is_many, "left_semi"), words)
+    stay = named.filter(F.col("doc_id").eqNullSafe(F.col("least")))
+    stay = stay.select(F.col("sid").alias("_of"), F.col("root").alias("_root"), F.col("least").alias("_least")).distinct()
+    placed = multiple.join(stay, (F.col("_set") == F.col("_of")) & F.col("doc_id").eqNullSafe(F.col("_least")))
+    first = F.row_number().over(Window.partitionBy("_root").orderBy("_set", F.xxhash64("text")))
+    chosen = placed.withColumn("_place", first).filter("_place = 1")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    return single.unionByName(chosen.select(*names)).unionByName(multiple.filter("_set is null").select(*names))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
