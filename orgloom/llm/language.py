@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from orgloom.llm.common import fold, map_batches, table
 
 PROFILE = 300
-LONGEST = 5
+LONGEST = 3
 UNKNOWN = "und"
 #: Words that a task counts before it turns them into n-grams, and entries that its caches hold.
 FLUSH = 100_000
@@ -131,7 +131,9 @@ class Profiles:
         words = LETTERS.findall(text.lower()) if text else None
         if not words or not self.langs:
             return UNKNOWN, 0.0
-        if len(self.words) > CACHE or len(self.ids) > 4 * CACHE + self.known:
+        if len(self.words) > CACHE:
+            self.words.clear()
+        if len(self.ids) > CACHE + self.known:
             self.reset()
         counts = np.bincount(np.concatenate([self.numbers(w) for w in words]))
         ids = counts.nonzero()[0]
