@@ -75,7 +75,8 @@ def page_facts(pages: DataFrame, spec: ExtractionSpec, kinds: Iterable[str] | No
     narrow = pages.select(
         "requested_url", "final_url", "captured_at", F.xxhash64("html").alias("capture_hash"), "html"
     )
-    narrow = narrow.filter(has_ending(spec, wanted))
+    if kinds is not None:
+        narrow = narrow.filter(has_ending(spec, wanted))
     page = F.col("page")
     facts = []
     if "about" in wanted:
