@@ -36,6 +36,7 @@ missing doc_id is never a component's id unless no member has one. Sets are told
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -60,6 +61,10 @@ FIRST = 32
 #: Words of 64 bits in a set's parity sketch.
 SKETCH = 16
 HELD = 200_000
+#: Rows of one key that a task holds; a key with more is sent in pieces under one name.
+PIECE = 5 * HELD
+#: No key without its last bit is this number.
+NO_KEY = np.int64(-(1 << 63))
 
 _U = np.uint64
 
@@ -206,9 +211,27 @@ def keys_of(elements: np.ndarray, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(keys), np.concatenate(weak)
 
 
+#: What an index row holds besides its key.
+ENTRY = np.dtype([("sid", "<i8"), ("n", "<i4")])
+
+
+def entries(payload: pa.Array) -> np.ndarray:
+    """The ``ENTRY`` of each row, without a copy."""
+    if not len(payload):
+        return np.zeros(0, ENTRY)
+    _, offsets, data = payload.buffers()
+    first = np.frombuffer(offsets, np.int32)[payload.offset]
+    return np.frombuffer(data, ENTRY, len(payload), int(first))
+
+
 def index_rows(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Membership rows (key of their own, doc_id, sid, n, sketch; weak null) and index rows (doc_id null)."""
-    schema = StructType.fromDDL("key long, doc_id long, sid long, n int, weak boolean, sketch array<long>, wide array<long>")
+    """Index rows (payload: an ``ENTRY``) and membership rows (key of their own, payload: longer).
+
+    The last bit of an index row's key says whether it is weak, so that one column gives
+    the order. Two plain columns, because each column costs time for each of many rows
+    on their way to Python. A set's sketches come with its first membership row in a task.
+    """
+    schema = StructType.fromDDL("key long, payload binary")
     arrow = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,33 +262,21 @@ def index_rows(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
                     key, sid, size, weak, rows = [], [], [], [], 0
             if rows:
                 yield from index_batch(key, sid, size, weak)
+            said = zip(ids, members, sketches, wide, strict=True)
             yield from as_batches(
                 {
                     "key": [mix_int(i or 0) - (1 << 63) for i in ids],
-                    "doc_id": ids,
-                    "sid": [a for a, _ in members],
-                    "n": [b for _, b in members],
-                    "weak": pa.nulls(len(ids), pa.bool_()),
-                    "sketch": sketches,
-                    "wide": wide,
+                    "payload": [pickle.dumps((i, of, n, a, b)) for i, (of, n), a, b in said],
                 },
                 arrow,
             )
 
     def index_batch(key, sid, size, weak) -> Iterator[pa.RecordBatch]:
-        keys = signed(np.concatenate(key))
-        yield from as_batches(
-            {
-                "key": pa.array(keys),
-                "doc_id": pa.nulls(len(keys), pa.int64()),
-                "sid": pa.array(np.concatenate(sid)),
-                "n": pa.array(np.concatenate(size)),
-                "weak": pa.array(np.concatenate(weak)),
-                "sketch": pa.nulls(len(keys), pa.list_(pa.int64())),
-                "wide": pa.nulls(len(keys), pa.list_(pa.int64())),
-            },
-            arrow,
-        )
+        keys = signed((np.concatenate(key) & ~_U(1)) | np.concatenate(weak).astype(np.uint64))
+        held = np.empty(len(keys), ENTRY)
+        held["sid"], held["n"] = np.concatenate(sid), np.concatenate(size)
+        fixed = pa.Array.from_buffers(pa.binary(ENTRY.itemsize), len(keys), [None, pa.py_buffer(held.tobytes())])
+        yield from as_batches({"key": pa.array(keys), "payload": fixed.cast(pa.binary())}, arrow)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
@@ -274,7 +285,7 @@ def index_rows(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
 MEMBER, EDGE, BUCKET = 0, 1, 2
 
 
-def candidates(index: DataFrame, percent: int = PERCENT) -> DataFrame:
+def candidates(index: DataFrame, percent: int = PERCENT, piece: int = PIECE) -> DataFrame:
     """kind, a, b, n, weak, sketch: members (doc_id, sid, n, sketch), star edges (hub, sid) and buckets (bucket, sid, n, weak)."""
     schema = StructType.fromDDL("kind int, a long, b long, n int, weak boolean, sketch array<long>, wide array<long>")
     arrow = arrow_schema(schema)
@@ -287,41 +298,49 @@ def candidates(index: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        types = [arrow.field(c).type for c in ("a", "b", "n", "sketch", "wide")]
         rest = None  # rows of the key at which the last batch ended
+        cut = NO_KEY  # a very large key that is sent piece by piece
         for batch in batches:
-            is_member = batch["weak"].is_null()
-            members = batch.filter(is_member)
-            if members.num_rows:
-                yield from rows(MEMBER, members["doc_id"], members["sid"], members["n"], members["weak"], members["sketch"], members["wide"])
+            is_member = pa.compute.greater(pa.compute.binary_length(batch["payload"]), ENTRY.itemsize)
+            members = batch["payload"].filter(is_member).to_pylist()
+            if members:
+                said = zip(*map(pickle.loads, members), strict=True)
+                doc_id, of, n, sketch, wide = (pa.array(x, t) for x, t in zip(said, types, strict=True))
+                yield from rows(MEMBER, doc_id, of, n, pa.nulls(len(n), pa.bool_()), sketch, wide)
             index = batch.filter(pa.compute.invert(is_member))
-            now = [
-                index["key"].to_numpy(),
-                index["sid"].to_numpy(),
-                index["n"].to_numpy(),
-                index["weak"].to_numpy(zero_copy_only=False),
-            ]
+            held = entries(index["payload"])
+            now = [index["key"].to_numpy(), held["sid"], held["n"]]
             if rest is not None:
                 now = [np.concatenate(x) for x in zip(rest, now, strict=True)]
             if not len(now[0]):
                 continue
-            last = np.searchsorted(now[0], now[0][-1])  # where the last key begins
-            if len(now[0]) - last > 5 * HELD:  # a very large key: send what there is, keep its first row as hub
-                yield from buckets(*now, seen, whole=False)
+            last = np.searchsorted(now[0], now[0][-1] & ~1)  # where the last key begins
+            if len(now[0]) - last > piece:  # send what there is, keep the key's first row, which asks if any does
+                yield from buckets(*[x[:last] for x in now], seen, cut)
+                cut = now[0][-1] >> 1
+                yield from buckets(*[x[last:] for x in now], seen, cut)
                 rest = [x[last : last + 1] for x in now]
                 continue
-            yield from buckets(*[x[:last] for x in now], seen)
+            yield from buckets(*[x[:last] for x in now], seen, cut)
             rest = [x[last:] for x in now]
         if rest is not None:
-            yield from buckets(*rest, seen)
+            yield from buckets(*rest, seen, cut)
 
-    def buckets(key, sid, n, weak, seen, whole=True) -> Iterator[pa.RecordBatch]:
-        if len(key) < 2:
+    def buckets(packed, sid, n, seen, cut) -> Iterator[pa.RecordBatch]:
+        key = packed >> 1
+        same = key[1:] == key[:-1]
+        met = np.append(same, False) | np.append(False, same)  # most keys have one row
+        if not met.any():
             return
+        order = np.flatnonzero(met)
+        order = order[np.lexsort((sid[order], packed[order]))]  # rows that ask first
+        key, sid, n, weak = key[order], sid[order], n[order], (packed[order] & 1).astype(bool)
         fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (sid[1:] != sid[:-1])])
         key, sid, n, weak = key[fresh], sid[fresh], n[fresh], weak[fresh]
         starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         sizes = np.diff(np.append(starts, len(key)))
-        asks = ~weak[starts] & (sizes > 1)  # sorted so that a key that asks comes first
+        asks = ~weak[starts] & (sizes > 1)
         if not asks.any():
             return
         run_of = np.repeat(np.arange(len(starts)), sizes)
@@ -334,25 +353,25 @@ def candidates(index: DataFrame, percent: int = PERCENT) -> DataFrame:
             none = pa.nulls(pairs.shape[1], pa.int32())
             yield from rows(EDGE, pa.array(pairs[0].copy()), pa.array(pairs[1].copy()), none, pa.nulls(len(none), pa.bool_()))
         # Members of keys with three or more; keys with the same members count once.
-        many = asks & (sizes > 2)
+        pieces = asks & (key[starts] == cut)
+        many = (asks & (sizes > 2)) | pieces
         if not many.any():
             return
         names = signed(np.add.reduceat(mix(sid.view(np.uint64) ^ _U(0xB0C)) ^ weak.astype(np.uint64), starts))
-        new = np.zeros(len(starts), bool)
-        for i in np.flatnonzero(many):
+        new = pieces.copy()
+        for i in np.flatnonzero(many & ~pieces):
             if names[i] not in seen:
                 seen.add(names[i])
                 new[i] = True
         if len(seen) > 5 * HELD:
             seen.clear()
-        if not whole:  # a key sent piece by piece keeps one name
-            names[-1], new[-1] = key[-1], many[-1]
+        names[pieces] = cut  # all pieces of a key have one name
         at = new[run_of]
         if at.any():
             yield from rows(BUCKET, pa.array(names[run_of[at]]), pa.array(sid[at]), pa.array(n[at]), pa.array(weak[at]))
 
-    ordered = index.repartition(n_partitions(index), "key").sortWithinPartitions("key", "weak", "sid")
-    return ordered.mapInArrow(run, schema)
+    dealt = index.repartition(n_partitions(index), F.shiftright("key", 1))
+    return dealt.sortWithinPartitions("key").mapInArrow(run, schema)
 
 
 def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:

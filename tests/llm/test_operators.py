@@ -96,6 +96,32 @@ def test_segments_hold_every_linked_pair():
             assert asked, (n, out)
 
 
+def test_large_keys_in_pieces_lose_no_meeting(spark):
+    """Members of one key meet in a bucket or an edge whether it is held whole or sent in pieces."""
+    common = [f"w{i}" for i in range(60)]
+    texts = [" ".join(common + [f"x{k}a{i}" for i in range(4)]) for k in range(40)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts * 2)], "doc_id long, text string").repartition(3)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "7")
+    try:
+        rows = [jaccard.candidates(jaccard.index_rows(docs), piece=n).collect() for n in (1_000_000, 3)]
+    finally:
+        spark.conf.set(size, before)
+
+    def met(found):
+        buckets, pairs = {}, set()
+        for r in found:
+            if r.kind == jaccard.EDGE:
+                pairs.add(frozenset((r.a, r.b)))
+            elif r.kind == jaccard.BUCKET:
+                buckets.setdefault(r.a, set()).add(r.b)
+        return pairs | {frozenset((x, y)) for b in buckets.values() for x in b for y in b if x != y}
+
+    whole, pieces = map(met, rows)
+    assert len(whole) > 300 and whole <= pieces
+
+
 def test_components_of_chains_stars_and_cycles(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 150)] + [(200, 201), (201, 202), (202, 200), (7, 7)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
