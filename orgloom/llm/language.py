@@ -5,45 +5,87 @@ first. A document's own profile is compared with each by the out-of-place distan
 sum over the document's n-grams of how far their ranks lie apart, and the largest rank
 for n-grams that a language's profile lacks. The nearest language wins.
 
-Profiles are counted over all training rows: each task counts words by language, turns
-them into n-gram counts whenever it holds many, and Spark adds the counts up. Only the
-profiles (``size`` n-grams for each language) reach the driver and the tasks.
+An n-gram is one number, 21 bits for each of its characters, so that numpy finds and
+counts those of a whole text at once. Profiles are counted over all training rows: each
+task counts by language and Spark adds the counts up. Only the profiles (``size``
+n-grams for each language) reach the driver and the tasks.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0, and so
 is every text if there is nothing to learn from; ties go to the language that sorts
-first; n-grams with equal counts share a rank; extra columns are left alone.
+first; n-grams with equal counts share a rank, and of those at the end of a document's
+profile the ones whose hash is smallest stay; extra columns are left alone.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orgloom.llm.common import fold, map_batches, table
+from orgloom.llm.hashing import mix
 
 PROFILE = 300
-LONGEST = 3
 UNKNOWN = "und"
-#: Words that a task counts before it turns them into n-grams, and entries that its caches hold.
-FLUSH = 100_000
-CACHE = 100_000
-#: Words longer than this aren't cached.
-CACHED_LENGTH = 48
-
-LETTERS = re.compile(r"[^\W\d_]+")
-
-
-def grams(word: str) -> list[str]:
-    """The n-grams of a word between blanks, up to ``LONGEST`` characters, without the blank itself."""
-    padded = f" {word} "
-    n = len(padded)
-    return [padded[i : i + k] for k in range(1, LONGEST + 1) for i in range(n - k + 1) if k > 1 or 0 < i < n - 1]
+#: Characters of a text worked on at once, and n-grams that a task holds before it counts them.
+PIECE = 1_000_000
+HELD = 2_000_000
+#: What stands for everything between words. No letter has this code point.
+BLANK = 1
+BITS = 21
+
+_OTHER = re.compile(r"[\W\d_]")
+
+
+@lru_cache(maxsize=1)
+def letters() -> np.ndarray:
+    """Whether each code point is a letter."""
+    return np.array([chr(i).isalpha() for i in range(0x110000)])
+
+
+def pieces(text: str) -> Iterator[str]:
+    """The text in parts that end between words."""
+    start = 0
+    while len(text) - start > PIECE:
+        cut = _OTHER.search(text, start + PIECE)
+        if cut is None:
+            break
+        yield text[start : cut.end()]
+        start = cut.end()
+    yield text[start:] if start else text
+
+
+def grams(text: str) -> np.ndarray:
+    """The n-grams of one to three characters of every word between blanks, without the blank itself."""
+    points = np.frombuffer(text.lower().encode("utf-32-le"), np.uint32)
+    row = np.full(len(points) + 2, BLANK, np.int64)
+    row[1:-1] = np.where(letters()[points], points, BLANK)
+    inside = row != BLANK
+    stay = inside.copy()
+    stay[1:] |= inside[:-1]  # of blanks in a row, the one that ends a word
+    stay[0] = True
+    row, inside = row[stay], inside[stay]
+    pairs = row[:-1] << BITS | row[1:]
+    triples = (pairs[:-1] << BITS | row[2:])[inside[1:-1]]
+    return np.concatenate([row[inside], pairs, triples]) if len(row) > 1 else row[:0]
+
+
+def counted(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams of a whole text and their counts."""
+    found = [np.unique(grams(piece), return_counts=True) for piece in pieces(text)]
+    return added(found) if len(found) > 1 else found[0]
+
+
+def added(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    names, at = np.unique(np.concatenate([x for x, _ in found]), return_inverse=True)
+    sums = np.zeros(len(names), np.int64)
+    np.add.at(sums, at, np.concatenate([n for _, n in found]))
+    return names, sums
 
 
 def learn(docs: DataFrame, size: int = PROFILE) -> DataFrame:
@@ -54,103 +96,67 @@ def learn(docs: DataFrame, size: int = PROFILE) -> DataFrame:
 
     def make():
         def count(batch: pa.RecordBatch) -> dict | None:
-            seen: dict[str, Counter] = {}
-            out: dict[str, Counter] = {}
-            held = 0
-
-            def flush() -> None:
-                for lang, words in seen.items():
-                    total = out.setdefault(lang, Counter())
-                    for word, n in words.items():
-                        for gram in grams(word):
-                            total[gram] += n
-                seen.clear()
+            held: dict[str, list[np.ndarray]] = {}
+            sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+            size_of: dict[str, int] = {}
+
+            def flush(lang: str) -> None:
+                new = np.unique(np.concatenate(held.pop(lang)), return_counts=True)
+                sums[lang] = added([sums[lang], new]) if lang in sums else new
+                size_of[lang] = 0
 
             for text, lang in zip(batch["text"].to_pylist(), batch["lang"].to_pylist(), strict=True):
-                words = Counter(LETTERS.findall(text.lower()))
-                seen.setdefault(lang, Counter()).update(words)
-                held += len(words)
-                if held > FLUSH:
-                    flush()
-                    held = 0
-            flush()
-            rows = [(lang, gram, n) for lang, total in out.items() for gram, n in total.items()]
-            if not rows:
-                return None
-            langs, names, counts = zip(*rows, strict=True)
-            return {"lang": list(langs), "gram": list(names), "n": list(counts)}
+                for piece in pieces(text):
+                    found = grams(piece)
+                    held.setdefault(lang, []).append(found)
+                    size_of[lang] = size_of.get(lang, 0) + len(found)
+                    if size_of[lang] > HELD:
+                        flush(lang)
+            for lang in list(held):
+                flush(lang)
+            return {
+                "lang": [lang for lang, (names, _) in sums.items() for _ in range(len(names))],
+                "gram": pa.array(np.concatenate([x for x, _ in sums.values()]), pa.int64()),
+                "n": pa.array(np.concatenate([n for _, n in sums.values()]), pa.int64()),
+            }
 
         return count
 
     used = docs.select("text", "lang").filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    counts = map_batches(used, make, "lang string, gram string, n long")
+    counts = map_batches(used, make, "lang string, gram long, n long")
     sums = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     return sums.withColumn("place", place - 1).filter(F.col("place") < size).select("lang", "gram", "place")
 
 
 class Profiles:
-    """The learned profiles, and the numbers that a task gives to n-grams as it meets them."""
+    """The learned profiles: each language's place for every n-gram that any of them has."""
 
-    def __init__(self, rows: list[tuple[str, str, int]], size: int = PROFILE):
+    def __init__(self, rows: list[tuple[str, int, int]], size: int = PROFILE):
         self.size = size
         self.langs = sorted({lang for lang, _, _ in rows})
-        self.rows = rows
-        self.reset()
-
-    def __reduce__(self):
-        return Profiles, (self.rows, self.size)
-
-    def reset(self) -> None:
-        self.ids: dict[str, int] = {}
-        self.words: dict[str, np.ndarray] = {}
-        for _, gram, _ in self.rows:
-            self.ids.setdefault(gram, len(self.ids))
-        self.known = len(self.ids)
-        self.places = np.full((len(self.langs), self.known + 1), -1, np.int64)  # the last column: in no profile
-        for lang, gram, place in self.rows:
-            self.places[self.langs.index(lang), self.ids[gram]] = place
-        self.ties = [xxhash.xxh3_64_intdigest(g) >> 1 for g in self.ids]
-
-    def numbers(self, word: str) -> np.ndarray:
-        found = self.words.get(word)
-        if found is None:
-            ids, ties, out = self.ids, self.ties, []
-            for gram in grams(word):
-                i = ids.get(gram)
-                if i is None:
-                    i = ids[gram] = len(ids)
-                    ties.append(xxhash.xxh3_64_intdigest(gram) >> 1)
-                out.append(i)
-            found = np.array(out, np.int64)
-            if len(word) <= CACHED_LENGTH:
-                self.words[word] = found
-        return found
+        self.known = np.unique(np.array([gram for _, gram, _ in rows], np.int64))
+        self.places = np.full((len(self.langs), len(self.known) + 1), -1, np.int64)  # the last column: in no profile
+        for lang, gram, place in rows:
+            self.places[self.langs.index(lang), np.searchsorted(self.known, gram)] = place
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        words = LETTERS.findall(text.lower()) if text else None
-        if not words or not self.langs:
+        names, n = counted(text) if text and self.langs else ((), ())
+        if not len(names):
             return UNKNOWN, 0.0
-        if len(self.words) > CACHE:
-            self.words.clear()
-        if len(self.ids) > CACHE + self.known:
-            self.reset()
-        counts = np.bincount(np.concatenate([self.numbers(w) for w in words]))
-        ids = counts.nonzero()[0]
-        n = counts[ids]
         if len(n) > self.size:
             keep = n >= np.partition(n, -self.size)[-self.size]
-            ids, n = ids[keep], n[keep]
-            if len(n) > self.size:  # of the rarest kept, those whose hash is smallest
-                ties = self.ties
-                order = np.lexsort((np.array([ties[i] for i in ids], np.int64), -n))[: self.size]
-                ids, n = ids[order], n[order]
-        n = np.sort(n)[::-1], n
-        ranks = np.searchsorted(-n[0], -n[1])
-        places = self.places[:, np.minimum(ids, self.known)]
+            names, n = names[keep], n[keep]
+            if len(n) > self.size:
+                order = np.lexsort((mix(names.view(np.uint64)), -n))[: self.size]
+                names, n = names[order], n[order]
+        ranks = np.searchsorted(np.sort(-n), -n)
+        at = np.searchsorted(self.known, names)
+        there = self.known[np.minimum(at, len(self.known) - 1)] == names
+        places = self.places[:, np.where(there, at, len(self.known))]
         distance = np.where(places < 0, self.size, np.abs(places - ranks)).sum(axis=1)
         best = int(distance.argmin())
-        return self.langs[best], float(1 - distance[best] / (self.size * len(ids)))
+        return self.langs[best], float(1 - distance[best] / (self.size * len(names)))
 
 
 def identify(docs: DataFrame, profiles: DataFrame, size: int = PROFILE) -> DataFrame:

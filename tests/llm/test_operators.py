@@ -1,5 +1,6 @@
 """Each operator against a brute-force version, and its odd cases: nulls, empty and long texts, ties, repeats."""
 
+from collections import Counter
 import hashlib
 import random
 import re
@@ -264,6 +265,25 @@ def test_language_held_out(spark, sf_dir, odd):
     assert {r.lang_pred for r in language.identify(odd, language.learn(odd.limit(0))).collect()} == {"und"}
 
 
+def test_ngrams_against_a_plain_count(monkeypatch):
+    def plain(text):
+        out = Counter()
+        for word in "".join(c if c.isalpha() else " " for c in text.lower()).split():
+            padded = f" {word} "
+            out.update(padded[i : i + k] for k in (1, 2, 3) for i in range(len(padded) - k + 1))
+        del out[" "]
+        return out
+
+    def named(gram):
+        points = [gram >> language.BITS * k & 0x1FFFFF for k in (2, 1, 0)]
+        return "".join(" " if p == language.BLANK else chr(p) for p in points if p)
+
+    monkeypatch.setattr(language, "PIECE", 50)  # long texts in several pieces
+    for text in ("a", "", " ", "É b²c 1 x_y", "-ab cd-", "hello, World 𝔘x " * 9, "ß" * 200):
+        names, n = language.counted(text)
+        assert dict(zip(map(named, names.tolist()), n.tolist(), strict=True)) == plain(text)
+
+
 def test_quality_held_out(spark, odd):
     sf = "/root/testdata/sf0.01"
     truth = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
