@@ -6,7 +6,10 @@ are worked out once. A word's greedy longest-match length is then found in one w
 its characters, without making a piece and without going back, however long the word.
 
 Pieces that begin a word and pieces that go on are told apart, as in word-piece
-vocabularies. A word that can't be cut into pieces counts as one unknown token.
+vocabularies. A sentencepiece word has the mark of its beginning before it: where no piece
+joins the mark and the first character, the mark is a piece of its own. If the vocabulary
+has a piece for each byte, a character at which no piece begins counts its UTF-8 bytes;
+without them, a word that can't be cut into pieces counts as one unknown token.
 
 The automaton's size depends on the vocabulary alone, so it is broadcast. Defined
 results: null and empty texts have no words and no tokens; words are divided by white
@@ -30,26 +33,35 @@ CACHE = 300_000
 CACHED_LENGTH = 48
 
 
-def pieces_of(path: str) -> tuple[list[str], list[str]]:
-    """Pieces that begin a word, and pieces that go on, from a sentencepiece model or a text list."""
+def pieces_of(path: str) -> tuple[list[str], list[str], bool]:
+    """Pieces that begin a word, pieces that go on, and whether bytes are pieces, from a sentencepiece model or a text list.
+
+    A word of a sentencepiece model begins behind its mark, so the lone mark is an empty
+    beginning; the mark within a word is a character like others.
+    """
     if path.endswith(".model"):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         special = (model.is_control, model.is_unknown, model.is_byte)
         names = [model.id_to_piece(i) for i in range(len(model)) if not any(f(i) for f in special)]
-        begin = [n[1:] for n in names if n.startswith(BEGINS)]
-        return [x for x in begin if x and BEGINS not in x], [n for n in names if BEGINS not in n]
+        n_bytes = sum(map(model.is_byte, range(len(model))))
+        return [n[len(BEGINS) :] for n in names if n.startswith(BEGINS)], names, n_bytes == 256
     with open(path, encoding="utf-8") as lines:
         names = [line.rstrip("\n") for line in lines]
     marked = [n[len(GOES_ON) :] for n in names if n.startswith(GOES_ON)]
-    return [n for n in names if n and not n.startswith(GOES_ON)], [n for n in marked if n]
+    return [n for n in names if n and not n.startswith(GOES_ON)], [n for n in marked if n], False
 
 
 class Automaton:
-    """States by number: 0 begins a word, 1 goes on after a piece."""
+    """States by number: 0 begins a word, 1 goes on after a piece.
+
+    An empty piece in ``begin`` is the lone mark of a word's beginning. With ``in_bytes``
+    every character, and the mark, can be cut into as many pieces as it has UTF-8 bytes.
+    """
 
-    def __init__(self, begin: list[str], go_on: list[str]):
+    def __init__(self, begin: list[str], go_on: list[str], in_bytes: bool = False):
+        self.in_bytes = in_bytes
         self.step: list[dict[str, int]] = [{}, {}]
         whole = [False, False]
         for root, pieces in ((0, begin), (1, go_on)):
@@ -65,6 +77,8 @@ class Automaton:
                 whole[at] = True
         self.fail = [-1] * len(self.step)
         self.popped = [0] * len(self.step)
+        if whole[0] or in_bytes:
+            self.fail[0], self.popped[0] = 1, 1 if whole[0] else len(BEGINS.encode())
         level = [0, 1]
         while level:
             below = []
@@ -80,6 +94,8 @@ class Automaton:
                         link = self.fail[link]
                     if link >= 0:
                         self.fail[child], self.popped[child] = self.step[link][char], popped
+                    elif in_bytes:
+                        self.fail[child], self.popped[child] = 1, popped + len(char.encode())
             level = below
 
     def length(self, word: str) -> int:
@@ -89,11 +105,15 @@ class Automaton:
         for char in word:
             following = step[at].get(char)
             while following is None:
-                if fail[at] < 0:
+                if fail[at] >= 0:
+                    n += popped[at]
+                    at = fail[at]
+                    following = step[at].get(char)
+                elif self.in_bytes:  # no piece begins with the character
+                    n += len(char.encode())
+                    following = 1
+                else:
                     return 0
-                n += popped[at]
-                at = fail[at]
-                following = step[at].get(char)
             at = following
         while at > 1:
             if fail[at] < 0:

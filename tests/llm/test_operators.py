@@ -256,6 +256,36 @@ def test_token_lengths_against_greedy_search(spark, odd):
     }
 
 
+def test_token_lengths_of_the_model_against_its_whole_piece_list():
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=tokens.VOCABULARY)
+    pieces = {model.id_to_piece(i) for i in range(len(model)) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))}
+    longest = max(map(len, pieces))
+
+    def greedy(word):
+        marked, at, n = tokens.BEGINS + word, 0, 0
+        while at < len(marked):
+            end = next((e for e in range(min(len(marked), at + longest), at, -1) if marked[at:e] in pieces), None)
+            n += 1 if end else len(marked[at].encode())
+            at = end or at + 1
+        return n
+
+    automaton = tokens.Automaton(*tokens.pieces_of(tokens.VOCABULARY))
+    assert automaton.length("2024") == 5 and automaton.length("123456789") == 10
+    assert automaton.length("\U00013000") == 5 and automaton.length("中文" * 6000) == 12_001
+    rng = random.Random(8)
+    signs = "0123456789aehnt.,-%é中文日本語한국ж\U00013000\U0001f9ff\u2581\x01ﷺ"
+    for k in range(20_000):
+        word = "".join(rng.choices(signs, k=rng.randint(1, 12)))
+        word = str(rng.randrange(10**9)) + word if k % 3 == 0 else word
+        assert automaton.length(word) == greedy(word), word
+    for text in ("漢字仮名交じり文" * 400, "the2024cats" * 300, "ⴰⵎⴰⵣⵉⵖ" * 200, "\u2581" * 40):
+        assert automaton.length(text) == greedy(text)
+    listed = tokens.Automaton(["", "ab"], ["c", "cd"], in_bytes=False)
+    assert [listed.length(w) for w in ("c", "abc", "cdc", "a", "x")] == [2, 2, 3, 0, 0]
+
+
 def test_language_held_out(spark, sf_dir, odd):
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     rows = [r for r in language.op2_language_id(spark, sf_dir).collect() if r.held_out and truth[r.doc_id]]
