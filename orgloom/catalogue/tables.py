@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,8 @@ from orgloom.catalogue.shared import BARS, Query, items_sql, with_ctes
 from orgloom.functions.values import members_column, or_missing
 from orgloom.operators import reshape
 from orgloom.plans import tables
-from orgloom.schemas import ALL_MEMBERS, DATASETS, KEYWORD_MEMBERS
+from orgloom.plans.jobs import run_conversion
+from orgloom.schemas import ABOUT_COLUMNS, ALL_MEMBERS, DATASETS, KEYWORD_MEMBERS
 from orgloom.session import work_dir
 from orgloom.sinks.tables import append_by_name, append_csv, write_csv, write_records
 from orgloom.sources.org_list import read_csv_text
@@ -114,23 +117,48 @@ def role_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _converted(spark: SparkSession, sf_dir: str, roles_form: str) -> DataFrame:
-    result = None
-    made_tables = tables.convert_all(spark, fx.records_dir(spark, sf_dir), fx.RUN_TS, roles_form)
-    for name, made in made_tables.items():
-        counted = made.agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(name).alias("table_name"), "n_rows", F.lit(len(made.columns)).cast("bigint").alias("n_columns")
+def _converted(spark: SparkSession, sf_dir: str, roles_form: str) -> dict[str, DataFrame]:
+    """The five tables by name, as the whole job stored them: every cell is made and written."""
+    places = run_conversion(
+        spark, fx.records_dir(spark, sf_dir), work_dir(spark, f"converted-{roles_form}"), fx.RUN_TS, roles_form
+    )
+    return {name: read_csv_text(spark, place) for name, place in places.items()}
+
+
+def _sizes(stored: dict[str, DataFrame]) -> DataFrame:
+    parts = [
+        table.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(name).alias("table_name"), "n_rows", F.lit(len(table.columns)).cast("bigint").alias("n_columns")
         )
-        result = counted if result is None else result.unionByName(counted)
-    return result
+        for name, table in stored.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _rows(stored: dict[str, DataFrame]) -> DataFrame:
+    """All rows of all tables; the cells of a row by column name."""
+
+    def cells(table: DataFrame):
+        return [F.concat(F.lit(f"{c}="), F.coalesce(F.col(f"`{c}`"), F.lit(""))) for c in sorted(table.columns)]
+
+    parts = [t.select(F.lit(n).alias("table_name"), F.concat_ws("|", *cells(t)).alias("cells")) for n, t in stored.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def convert_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _converted(spark, sf_dir, "wide")
+    return _sizes(_converted(spark, sf_dir, "wide"))
 
 
 def convert_all_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _converted(spark, sf_dir, "long")
+    return _sizes(_converted(spark, sf_dir, "long"))
+
+
+def convert_all_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rows(_converted(spark, sf_dir, "wide"))
+
+
+def convert_all_long_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rows(_converted(spark, sf_dir, "long"))
 
 
 def _people_columns(records: DataFrame) -> DataFrame:
@@ -398,3 +426,44 @@ FROM records_all LEFT JOIN last_all USING (k) GROUP BY k, input_company_name, co
         ),
     ),
 }
+
+
+def _rows_sql(roles_form: str) -> str:
+    """Every cell of the five tables, the cells of a row by column name."""
+
+    def cell(column: str) -> str:
+        return f"""'{column}=' || coalesce("{column}", '')"""
+
+    def rows(name: str, columns: tuple[str, ...], sql: str) -> str:
+        return f"SELECT '{name}' AS table_name, {" || '|' || ".join(map(cell, sorted(columns)))} AS cells FROM ({sql})"
+
+    present = ("Input Company Name", "Company Name", "Time Stamp", "Redirected to URL")
+    parts = [rows(DATASETS["about"].table_name, ABOUT_COLUMNS, QUERIES["about_table"].sql)]
+    for name, d in DATASETS.items():
+        if d.facet is None:
+            continue
+        if d.facet == "locations" or roles_form == "long":
+            parts.append(rows(d.table_name, (*present, d.label_key, "Count", d.members_key), _long_sql(name)))
+            continue
+        fixed = "\nUNION ALL ".join(f"SELECT k, '{c}' AS name, \"{c}\" AS cell FROM shown" for c in (*present, d.members_key))
+        wide = with_ctes(
+            BARS,
+            _last_sql(name),
+            select=f"""
+, shown AS (SELECT k, {_PRESENT}, members AS "{d.members_key}" FROM records),
+cells AS (
+  {fixed}
+  UNION ALL
+  SELECT k, label, coalesce(count, '-')
+  FROM (SELECT k, label FROM records CROSS JOIN (SELECT DISTINCT label FROM items)) LEFT JOIN last USING (k, label)
+)
+SELECT string_agg(name || '=' || cell, '|' ORDER BY name) AS cells FROM cells GROUP BY k""",
+        )
+        parts.append(f"SELECT '{d.table_name}' AS table_name, cells FROM ({wide})")
+    return "\nUNION ALL\n".join(parts)
+
+
+QUERIES |= {
+    "convert_all_rows": Query(convert_all_rows, _rows_sql("wide")),
+    "convert_all_long_rows": Query(convert_all_long_rows, _rows_sql("long")),
+}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from orgloom.catalogue import inputs as fx
+from orgloom.plans import tables
 from orgloom.plans.extraction import extract_about, extract_datasets, page_facts, targeted_captures
 from orgloom.schemas import DATASETS, ExtractionSpec
 from orgloom.sources.pages import spread
@@ -100,3 +101,19 @@ def test_columns_are_pruned(spark, sf_dir):
     assert "Specialties" not in schema and "Website" not in schema
     df = fx.table(spark, sf_dir, "pages").select(F.col("url"))
     assert "html" not in plan_of(df)
+
+
+@pytest.mark.parametrize(("name", "maker", "column"), [
+    ("convert_all", "about_table", "Founded"), ("convert_all", "long_table", "Count"),
+    ("convert_all", "wide_table", "STANDARD"), ("convert_all_long", "long_table", "Role"),
+])
+def test_a_conversion_makes_every_cell(spark, sf_dir, monkeypatch, name, maker, column):
+    made = getattr(tables, maker)
+
+    def broken(*args, **options):
+        table = made(*args, **options)
+        return table.withColumn(column, F.raise_error(F.lit("a cell was made")).cast("string")) if column in table.columns else table
+
+    monkeypatch.setattr(tables, maker, broken)
+    with pytest.raises(Exception, match="a cell was made"):
+        entry.queries()[name](spark, sf_dir).collect()
