@@ -31,6 +31,16 @@ def page_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text of every element, that of the elements inside included."""
+    nodes = node_table(with_nodes(_real(spark, sf_dir), SPEC, all_tags=True, all_texts=True))
+    return nodes.groupBy(F.col("requested_url").alias("url"), "tag").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.length("text_raw")).alias("raw_chars"),
+        F.sum(F.length("text_stripped")).alias("stripped_chars"),
+    )
+
+
 def first_heading(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_nodes(_real(spark, sf_dir), SPEC).select(
         F.col("requested_url").alias("url"), extract.first_heading(F.col("page")).alias("heading")
@@ -179,12 +189,49 @@ SELECT url, tag, n, length(text)::BIGINT AS raw_chars, length(trim(text))::BIGIN
        CASE WHEN tag = 'a' THEN n ELSE 0 END AS links
 FROM texts"""
 
+# Every text node counts for all elements that are open around it. An end tag closes back
+# to its nearest open match; scripts and styles have no text.
+PAGE_TEXTS_SQL = f"""
+WITH RECURSIVE cleaned AS (
+  SELECT page_id, url, regexp_replace(regexp_replace(html, '(<script[^>]*>).*?(</script>)', '\\1\\2', 'gs'),
+    '(<style[^>]*>).*?(</style>)', '\\1\\2', 'gs') AS html FROM pages
+),
+pieces AS (
+  SELECT page_id, url, unnest(regexp_extract_all(html, '<!--.*?-->|<[^>]*>|[^<]+')) AS piece,
+         generate_subscripts(regexp_extract_all(html, '<!--.*?-->|<[^>]*>|[^<]+'), 1) AS i FROM cleaned
+),
+tokens AS (
+  SELECT page_id, url, i, regexp_extract(piece, '^</?([a-z][a-z0-9]*)', 1) AS tag, starts_with(piece, '</') AS closes,
+         CASE WHEN NOT starts_with(piece, '<') THEN {_TEXT.format("piece")} END AS text FROM pieces
+),
+walk AS (
+  SELECT DISTINCT page_id, 1::BIGINT AS i, []::VARCHAR[] AS around FROM pieces
+  UNION ALL
+  SELECT page_id, i + 1, CASE
+    WHEN tag = '' OR tag IN ('br', 'hr', 'img', 'input', 'link', 'meta') THEN around
+    WHEN NOT closes THEN list_append(around, tag)
+    WHEN list_contains(around, tag) THEN list_slice(around, 1, len(around) - list_position(list_reverse(around), tag))
+    ELSE around END
+  FROM walk JOIN tokens USING (page_id, i)
+),
+inside AS (
+  SELECT url, unnest(around) AS tag, CASE WHEN trim(text, E' \\n') <> '' THEN text WHEN contains(text, E'\\n') THEN E'\\n' ELSE ' ' END AS text
+  FROM walk JOIN tokens USING (page_id, i) WHERE text IS NOT NULL
+),
+chars AS (
+  SELECT url, tag, sum(length(text))::BIGINT AS raw_chars, sum(length(trim(text, E' \\n')))::BIGINT AS stripped_chars
+  FROM inside GROUP BY url, tag
+)
+SELECT url, tag, n, coalesce(raw_chars, 0) AS raw_chars, coalesce(stripped_chars, 0) AS stripped_chars
+FROM (SELECT url, tag, count(*) AS n FROM tokens WHERE tag <> '' AND NOT closes GROUP BY url, tag) LEFT JOIN chars USING (url, tag)"""
+
 VISITED = "FROM visits JOIN totals USING (k, name) WHERE captured"
 # an earlier capture of each page of these organisations has a heading and nothing else
 EARLIER = "FROM visits WHERE variant = 2"
 
 QUERIES = {
     "page_nodes": Query(page_nodes, PAGE_NODES_SQL),
+    "page_texts": Query(page_texts, PAGE_TEXTS_SQL),
     "first_heading": Query(
         first_heading,
         f"SELECT url, trim({_TEXT.format("regexp_extract(html, '<h1>([^<]*)</h1>', 1)")}) AS heading FROM pages",

@@ -38,6 +38,7 @@ def with_nodes(
     spec: ExtractionSpec,
     all_tags: bool = False,
     text_tags: frozenset[str] | None = None,
+    all_texts: bool = False,
 ) -> DataFrame:
     """Replace ``html`` by ``page``; a map-only step without shuffle.
 
@@ -45,13 +46,14 @@ def with_nodes(
     from a page later is an expression over one row. ``pos`` is an element's index in
     the array and ``n_inner`` the number of kept elements inside, so the inside of an
     element is a slice. ``page.texts`` holds each text node once and ``page.stripped``
-    the same cut at both ends; an element's text is a slice of these.
+    the same cut at both ends; an element's text is a slice of these. ``all_texts``
+    keeps the text of every kept element, whatever its tag.
     """
     run = tokenizer.batch_tokenizer(
         keep_tags=None if all_tags else spec.text_tags | {"li", "button"},
         keep_classes=spec.marker_classes,
         keep_attrs=spec.marker_attrs,
-        text_tags=spec.text_tags if text_tags is None else text_tags,
+        text_tags=None if all_texts else spec.text_tags if text_tags is None else text_tags,
         max_chars=BATCH_CHARS,
     )
     kept = [f for f in pages.schema.fields if f.name != "html"]

@@ -87,7 +87,8 @@ class PageTokenizer(HTMLParser):
     tag, for one of its classes or for one of its attributes. A text node is kept
     once, if some element of ``text_tags`` is around it, and these elements tell
     where their text nodes start and how many there are. So the result is never
-    larger than the page, however deep its elements are nested.
+    larger than the page, however deep its elements are nested. ``text_tags=None``
+    keeps the text of every element.
     """
 
     def __init__(self, keep_tags, keep_classes, keep_attrs, text_tags):
@@ -163,7 +164,7 @@ class PageTokenizer(HTMLParser):
 
     def _add(self, tag, classes, attrs):
         nodes, row = self.nodes, len(self.nodes["tag"])
-        has_text = tag in self.text_tags
+        has_text = self.text_tags is None or tag in self.text_tags
         kept = [(k, v) for k, v in attrs.items() if self.keep_tags is None or k in self.keep_attrs]
         nodes["node_id"].append(self.last_id)
         nodes["parent_id"].append(self.open[-1][1] if self.open else -1)
@@ -193,7 +194,7 @@ class PageTokenizer(HTMLParser):
             nodes = self.nodes
             nodes["last_desc_id"][row] = self.last_id
             nodes["n_inner"][row] = len(nodes["tag"]) - row - 1
-            if tag in self.text_tags:
+            if self.text_tags is None or tag in self.text_tags:
                 nodes["text_count"][row] = len(self.texts) - self.first_text - nodes["text_from"][row]
                 self.listeners -= 1
         return tag

@@ -247,3 +247,13 @@ def test_a_page_with_very_many_elements(spark):
     assert profile(spark, html) == {"industry": f"v{n - 1}"}
     bars = value(spark, html, lambda x: extract.facet_bars(x, "0", SPEC))
     assert len(bars) == n and tuple(bars[-1]) == (f"l{n - 1}", str(n - 1))
+
+
+def test_every_element_has_the_text_inside_it(spark):
+    html = "<article id='x'>a <p>b<b> c </b><ul><li>d</li></ul></p><nav><x-y>e</x-y></nav></article>"
+    pages = spark.createDataFrame([("u", html)], "requested_url string, html string")
+    rows = node_table(with_nodes(pages, ExtractionSpec(), all_tags=True, all_texts=True)).collect()
+    assert {r.tag: (r.text_raw, r.text_stripped) for r in rows} == {
+        "article": ("a b c de", "abcde"), "p": ("b c d", "bcd"), "b": (" c ", "c"), "ul": ("d", "d"),
+        "li": ("d", "d"), "nav": ("e", "e"), "x-y": ("e", "e"),
+    }
