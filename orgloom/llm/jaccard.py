@@ -516,11 +516,12 @@ def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     ids = docs.select(F.col("doc_id").alias("_many")).groupBy("_many").agg(F.count("*").alias("_n"))
     several = staged(ids.filter("_n > 1").select("_many"), "several")
     gone = named.filter(~F.col("doc_id").eqNullSafe(F.col("least"))).select(F.col("doc_id").alias("_gone"))
+    is_gone = F.col("doc_id").eqNullSafe(F.col("_gone"))  # a single row may lack its id
     if several.isEmpty():
-        return docs.join(small(gone), F.col("doc_id") == F.col("_gone"), "left_anti")
+        return docs.join(small(gone), is_gone, "left_anti")
     is_many = F.col("doc_id").eqNullSafe(F.col("_many"))
     single = docs.join(small(several), is_many, "left_anti")
-    single = single.join(small(gone), F.col("doc_id") == F.col("_gone"), "left_anti")
+    single = single.join(small(gone), is_gone, "left_anti")
     multiple = with_set_id(docs.join(small(several), is_many, "left_semi"), words)
     stay = named.filter(F.col("doc_id").eqNullSafe(F.col("least")))
     stay = stay.select(F.col("sid").alias("_of"), F.col("root").alias("_root"), F.col("least").alias("_least")).distinct()

@@ -81,6 +81,18 @@ def test_jaccard_join_against_all_pairs(spark, odd):
     ]
 
 
+@pytest.mark.parametrize("repeated", [False, True])
+def test_a_copy_without_an_id_goes(spark, repeated):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(7, text), (None, text), (8, "another text of six words here")] + [(9, f"{text} x")] * (2 if repeated else 1)
+    for change in (text, text + " y"):
+        rows[1] = (None, change)
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        assert sorted(r.doc_id for r in jaccard.one_of_each(docs, 5, 80).collect()) == [7, 8], change
+    alone = spark.createDataFrame([(7, text), (None, "another text of six words here")], "doc_id long, text string")
+    assert {r.doc_id for r in jaccard.one_of_each(alone, 5, 80).collect()} == {7, None}
+
+
 def test_segments_hold_every_linked_pair():
     rng = np.random.default_rng(3)
     plan = jaccard.Plan(85)
