@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from concurrent.futures import Future
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,15 +27,17 @@ def ingest_records(
 
     The checkpoint remembers the files seen, so a rerun after a failure or with new
     files neither loses nor repeats records: every batch overwrites a folder of its own,
-    and other appends to the store stay visible. Lines that are no records go to
+    named after the checkpoint's stream and the batch, and other appends to the store, also
+    by ingests with other checkpoints, stay visible. Lines that are no records go to
     ``rejects`` (beside the store if not given) instead of stopping each later run.
     """
     rejects = rejects or f"{store.rstrip('/')}.rejects"
+    stream: Future[str] = Future()  # known when the query has started; a checkpoint keeps it
     schema = T.StructType([*dataset.record_schema().fields, T.StructField(_BROKEN, T.StringType())])
 
     def keep(batch: DataFrame, number: int) -> None:
         batch = batch.persist()
-        name = f"ingest-{number:012d}"
+        name = f"ingest-{stream.result()}-{number:012d}"
         good = batch.filter(F.col(_BROKEN).isNull()).drop(_BROKEN)
         good.write.mode("overwrite").json(os.path.join(store, name))
         broken = batch.filter(F.col(_BROKEN).isNotNull()).select(F.col(_BROKEN).alias("value"))
@@ -53,4 +56,5 @@ def ingest_records(
         .trigger(availableNow=True)
         .start()
     )
+    stream.set_result(query.id)
     query.awaitTermination()

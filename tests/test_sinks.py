@@ -84,6 +84,16 @@ def test_ingest_takes_each_file_once(spark, tmp_path):
     assert {(r[0], r[1]) for r in rows} == {(f"o{i}", f'[{{"Count":"{i}","Role":"a"}}]') for i in range(3)}
 
 
+def test_two_ingests_into_one_store(spark, tmp_path):
+    store = str(tmp_path / "store")
+    for k in range(2):
+        landing, seen = str(tmp_path / f"landing{k}"), str(tmp_path / f"seen{k}")
+        write_records(spark.createDataFrame([(f"n{k}",)], "input_company_name string"), landing)
+        ingest_records(spark, landing, store, seen, ROLES)
+        ingest_records(spark, landing, store, seen, ROLES)
+    assert sorted(r.input_company_name for r in read_records(spark, store, ROLES).collect()) == ["n0", "n1"]
+
+
 @pytest.mark.parametrize("ingest_first", [True, False])
 def test_a_store_takes_ingested_and_written_records(spark, tmp_path, ingest_first):
     landing, store, seen = (str(tmp_path / x) for x in ("landing", "store", "seen"))
