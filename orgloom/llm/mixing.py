@@ -23,6 +23,7 @@ MOST = 2.0
 SEED = 20
 #: Rows of the table of sources up to which it is broadcast; beyond, a plain join that Spark may split.
 BROADCAST_SOURCES = 50_000
+ADDED = ("mix_size", "mix_source_size", "mix_target", "mix_copies")
 
 
 def word_count(text: Column) -> Column:
@@ -83,26 +84,29 @@ def with_rates(docs: DataFrame, seed: int = SEED, **options) -> DataFrame:
     The documents aren't shuffled while there are few sources; a hot source is then one
     row of the broadcast table. All other columns stay as they are.
     """
+    docs = docs.drop(*ADDED)
+    taken = {c.lower() for c in docs.columns}
+    key, rate = (next(n for n in (name + "_" * k for k in range(len(taken) + 1)) if n not in taken) for name in ("mix_source", "mix_rate"))
     sized = docs.select(F.col("source"), word_count(F.col("text")).alias("size"))
     targets = source_targets(sized, **options).select(
-        F.col("source").alias("mix_source"),
+        F.col("source").alias(key),
         F.col("source_size").alias("mix_source_size"),
         F.col("target").alias("mix_target"),
-        F.col("rate").alias("mix_rate"),
+        F.col("rate").alias(rate),
     )
     few = docs.select("source").distinct().limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
     joined = docs.withColumn("mix_size", word_count(F.col("text"))).join(
-        F.broadcast(targets) if few else targets, F.col("source").eqNullSafe(F.col("mix_source")), "left"
+        F.broadcast(targets) if few else targets, F.col("source").eqNullSafe(F.col(key)), "left"
     )
-    whole = F.floor("mix_rate")
-    extra = (draw(seed) < F.col("mix_rate") - whole).cast("long")
-    return joined.withColumn("mix_copies", whole.cast("long") + extra).drop("mix_source", "mix_rate")
+    whole = F.floor(rate)
+    extra = (draw(seed) < F.col(rate) - whole).cast("long")
+    return joined.withColumn("mix_copies", whole.cast("long") + extra).drop(key, rate)
 
 
 def mix(docs: DataFrame, seed: int = SEED, **options) -> DataFrame:
     """The documents of the mix, each as often as it is taken; ``copy`` numbers the copies from 1."""
     rated = with_rates(docs, seed, **options).filter(F.col("mix_copies") > 0)
-    return rated.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))).alias("copy"))
+    return rated.select(*docs.drop("copy").columns, F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))).alias("copy"))
 
 
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -347,6 +347,16 @@ def test_mix_targets(spark, odd):
     assert mixing.mix(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("name", ["mix_size", "mix_source_size", "mix_target", "mix_copies", "mix_source", "mix_rate", "copy"])
+def test_mix_of_columns_named_like_its_own(spark, name):
+    docs = spark.createDataFrame([(k, "one two three", "ab"[k % 2]) for k in range(20)], "doc_id long, text string, source string")
+    plain, named = mixing.mix(docs), mixing.mix(docs.withColumn(name, F.lit("mine")))
+    assert sorted(named.columns) == sorted({*plain.columns, name})
+    assert sorted(named.select(plain.columns).collect()) == sorted(plain.collect())
+    if name in ("mix_source", "mix_rate"):  # names that the result doesn't add
+        assert {r[name] for r in named.collect()} == {"mine"}
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(9000, 16)).round(3)
