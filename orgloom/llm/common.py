@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,6 +52,17 @@ def fold(column: str, parts: int) -> Column:
     return F.coalesce(F.crc32(id_text(column).cast("binary")) % parts, F.lit(-1))
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def others(df: DataFrame, added: Iterable[str]) -> dict[str, Column]:
+    """The columns of ``df`` by name, whatever their names hold, but those named like ``added``."""
+    alike = str if df.sparkSession.conf.get("spark.sql.caseSensitive") == "true" else str.lower
+    taken = set(map(alike, added))
+    return {c: F.col(quoted(c)) for c in df.columns if alike(c) not in taken}
+
+
 def split_words(text: str | None) -> list[bytes]:
     """Words as UTF-8 bytes, unchanged."""
     return text.encode().split() if text else []

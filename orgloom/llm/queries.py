@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from orgloom.llm import chat, decontam, jaccard, language, mixing, neighbours, pii, quality, substrings, tokens
+from orgloom.llm import chat, decontam, fim, jaccard, language, mixing, neighbours, pii, quality, substrings, tokens
 
 QUERIES = {
     "op1_decontamination": decontam.op1_decontamination,
@@ -15,9 +15,11 @@ QUERIES = {
     "op8_substring_dedup": substrings.op8_substring_dedup,
     "op9_nearest": neighbours.op9_nearest,
     "op10_source_mix": mixing.op10_source_mix,
+    "op11_fill_in_middle": fim.op11_fill_in_middle,
 }
 ORACLES = {
     "op1_decontamination": decontam.ORACLE,
     "op3_chat_format": chat.ORACLE,
     "op10_source_mix": mixing.ORACLE,
+    "op11_fill_in_middle": fim.ORACLE,
 }
