@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from orgloom.llm import chat, decontam, fim, jaccard, language, mixing, neighbours, pii, quality, substrings, tokens
+from orgloom.llm import chat, decontam, fim, jaccard, language, mixing, neighbours, pii, quality, shards, substrings, tokens
 
 QUERIES = {
     "op1_decontamination": decontam.op1_decontamination,
@@ -16,10 +16,12 @@ QUERIES = {
     "op9_nearest": neighbours.op9_nearest,
     "op10_source_mix": mixing.op10_source_mix,
     "op11_fill_in_middle": fim.op11_fill_in_middle,
+    "op12_shards": shards.op12_shards,
 }
 ORACLES = {
     "op1_decontamination": decontam.ORACLE,
     "op3_chat_format": chat.ORACLE,
     "op10_source_mix": mixing.ORACLE,
     "op11_fill_in_middle": fim.ORACLE,
+    "op12_shards": shards.ORACLE,
 }
