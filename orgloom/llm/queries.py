@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from orgloom.llm import chat, decontam, fim, jaccard, language, mixing, neighbours, pii, quality, shards, substrings, tokens
+from orgloom.llm import chat, decontam, fim, jaccard, language, mixing, negatives, neighbours, pii, quality, shards, substrings, tokens
 
 QUERIES = {
     "op1_decontamination": decontam.op1_decontamination,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_source_mix": mixing.op10_source_mix,
     "op11_fill_in_middle": fim.op11_fill_in_middle,
     "op12_shards": shards.op12_shards,
+    "op13_hard_negatives": negatives.op13_hard_negatives,
 }
 ORACLES = {
     "op1_decontamination": decontam.ORACLE,
@@ -24,4 +25,5 @@ ORACLES = {
     "op10_source_mix": mixing.ORACLE,
     "op11_fill_in_middle": fim.ORACLE,
     "op12_shards": shards.ORACLE,
+    "op13_hard_negatives": negatives.ORACLE,
 }
