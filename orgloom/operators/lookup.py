@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_SPLIT = 200_000
 #: Hot URLs up to which their list is broadcast; a longer one is joined like any table.
 MAX_BROADCAST = 100_000
+#: Rows that a key filter may have at most, each of two numbers: what is broadcast is below 64 MB.
+FILTER_WORDS = 1 << 21
 
 
 def latest_capture(captures: DataFrame, key: str = "requested_url") -> DataFrame:
@@ -85,3 +90,28 @@ def spread_lookup(
     )
     matches = (F.col(target_key) == F.col(capture_key)) & (F.col("_split") == F.col("_capture_split"))
     return left.join(right, matches, "left").drop("_split", "_capture_split")
+
+
+def _place_and_mask(columns: Sequence[str], words: int) -> tuple[Column, Column]:
+    """The word of 64 bits that a key belongs to, and the four bits (or fewer) that are set there."""
+    spread = F.xxhash64(*columns, F.lit("bits"))
+    one = F.lit(1).cast("bigint")
+    bits = [F.call_function("shiftleft", one, F.shiftrightunsigned(spread, 6 * i).bitwiseAND(63).cast("int")) for i in range(4)]
+    return F.pmod(F.xxhash64(*columns), F.lit(words).cast("bigint")), reduce(Column.bitwiseOR, bits)
+
+
+def key_filter(keys: DataFrame, columns: Sequence[str], words: int = FILTER_WORDS) -> DataFrame:
+    """A filter of bounded size (word, bits) that knows all rows of ``keys`` by these columns.
+
+    However many keys there are, it has at most ``words`` rows; with more keys than that
+    it lets more strangers pass, but never holds back a key.
+    """
+    word, mask = _place_and_mask(columns, words)
+    return keys.groupBy(word.alias("_word")).agg(F.bit_or(mask).alias("_bits"))
+
+
+def probably_known(rows: DataFrame, known: DataFrame, columns: Sequence[str], words: int = FILTER_WORDS) -> DataFrame:
+    """The rows whose key the filter knows, and the few it takes for such; nothing is shuffled."""
+    word, mask = _place_and_mask(columns, words)
+    same = (word == F.col("_word")) & (F.col("_bits").bitwiseAND(mask) == mask)
+    return rows.join(F.broadcast(known), same, "left_semi")

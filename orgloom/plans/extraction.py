@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from orgloom.functions import urls
 from orgloom.operators import extract, outcomes
-from orgloom.operators.lookup import latest_capture, lookup
+from orgloom.operators.lookup import key_filter, latest_capture, lookup, probably_known
 from orgloom.operators.nodes import with_nodes
 from orgloom.schemas import COMMON_KEYS, DATASETS, HEADING_COLUMNS, Dataset, ExtractionSpec
 from orgloom.session import work_dir
@@ -44,31 +44,41 @@ def has_ending(spec: ExtractionSpec, kinds: Iterable[str]) -> Column:
     return reduce(or_, [F.col("requested_url").endswith(spec.suffixes[kind]) for kind in sorted(kinds)])
 
 
-def targeted_captures(pages: DataFrame, targets: DataFrame, spec: ExtractionSpec, kinds: Iterable[str]) -> DataFrame:
-    """The newest capture of every URL that some target asks for, with its text.
+CAPTURE = ("requested_url", "captured_at", "final_url")
+
 
-    Which captures these are is settled on the narrow columns; the text of foreign pages
-    and of superseded copies is never parsed. Captures that tie stay for later.
+def newest_captures(pages: DataFrame, targets: DataFrame, spec: ExtractionSpec, kinds: Iterable[str]) -> DataFrame:
+    """The newest capture of every URL that some target asks for, without its text.
+
+    Captures of equal time and end are one row. Only narrow columns are read.
     """
     asked = targets.select(F.col("target_url").alias("requested_url")).distinct()
-    known = pages.filter(has_ending(spec, kinds)).select("requested_url", "captured_at", "final_url")
+    known = pages.filter(has_ending(spec, kinds)).select(*CAPTURE)
     newest = known.join(asked, "requested_url", "left_semi").groupBy("requested_url").agg(
         F.max(F.struct("captured_at", "final_url")).alias("newest")
     )
-    chosen = newest.select(F.col("requested_url").alias("chosen_url"), "newest")
-    same = (
-        (F.col("requested_url") == F.col("chosen_url"))
-        & F.col("captured_at").eqNullSafe(F.col("newest.captured_at"))
-        & F.col("final_url").eqNullSafe(F.col("newest.final_url"))
-    )
-    return pages.filter(has_ending(spec, kinds)).join(chosen, same, "left_semi")
+    return newest.select("requested_url", "newest.captured_at", "newest.final_url")
+
+
+def targeted_captures(pages: DataFrame, targets: DataFrame, spec: ExtractionSpec, kinds: Iterable[str]) -> DataFrame:
+    """The newest capture of every URL that some target asks for, with its text.
+
+    Which captures these are is settled on narrow columns and kept as a filter of bounded
+    size, which the scan of the texts is held against where it stands: no text crosses a
+    shuffle, whether it is wanted or not. With very many targets the filter lets some
+    other captures pass. These cost their parsing and do not change the result: a newer
+    one of the same URL is always there too, and other URLs are asked for by nobody.
+    Captures that tie stay for later.
+    """
+    chosen = key_filter(newest_captures(pages, targets, spec, kinds), CAPTURE)
+    return probably_known(pages.filter(has_ending(spec, kinds)), chosen, CAPTURE)
 
 
 def page_facts(pages: DataFrame, spec: ExtractionSpec, kinds: Iterable[str] | None = None) -> DataFrame:
     """Everything later steps need from a page, one small row per capture.
 
-    Page text is read, parsed and dropped inside one map-only stage; it never
-    crosses a shuffle. With ``kinds`` the scan keeps only pages of these kinds,
+    Page text is read, parsed and dropped inside one map-only stage; it crosses no
+    shuffle unless the pages given do before. With ``kinds`` the scan keeps only pages of these kinds,
     which their URLs tell by the ending, and only the facts they are read for.
     """
     wanted = set(spec.suffixes if kinds is None else kinds)

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from orgloom.catalogue import inputs as fx
 from orgloom.plans import tables
-from orgloom.plans.extraction import extract_about, extract_datasets, page_facts, targeted_captures
-from orgloom.schemas import DATASETS, ExtractionSpec
+from orgloom.functions.urls import page_targets
+from orgloom.operators.lookup import key_filter, probably_known
+from orgloom.plans.extraction import classify, extract_about, extract_datasets, page_facts, targeted_captures
+from orgloom.schemas import DATASETS, PAGE_SCHEMA, ExtractionSpec
 from orgloom.sources.pages import spread
 from orgloom.sources.records import read_records
 
@@ -79,6 +81,82 @@ def test_shuffles_of_the_page_join_without_broadcast(spark, sf_dir):
     assert "partial_max_by" in plan
 
 
+def foreign_corpus(spark, tmp_path, targets=40, foreign=99):
+    """Pages on disk: three captures of each target, and ``foreign`` times as many that nobody asks for."""
+    ending = ExtractionSpec().suffixes["about"]
+    rows = spark.range(targets * (foreign + 1)).select(
+        F.concat(F.lit("https://x/"), F.col("id").cast("string"), F.lit(ending)).alias("requested_url"),
+        F.concat(F.lit("f"), F.col("id").cast("string")).alias("final_url"),
+        F.explode(F.expr("sequence(1, 3)")).alias("day"),
+    )
+    rows.select(
+        "requested_url", "final_url",
+        F.concat(F.lit("<h1>page "), "day", F.lit("</h1>"), F.repeat(F.lit("<p>text</p>"), 50)).alias("html"),
+        F.expr("make_date(2024, 5, day)").cast("timestamp_ntz").alias("captured_at"),
+    ).write.parquet(str(tmp_path / "pages"))
+    orgs = spark.range(targets).select(
+        F.concat(F.lit("o"), "id").alias("name"), F.concat(F.lit("https://x/"), F.col("id").cast("string"), F.lit("/a/b")).alias("profile_url")
+    )
+    named = orgs.withColumn("profile_url", F.concat(F.lit("https://x/"), F.expr("substring(name, 2)")))
+    return named, spark.read.schema(PAGE_SCHEMA).parquet(str(tmp_path / "pages"))
+
+
+def below_an_exchange(plan):
+    """Lines of a plan that stand below a shuffle (not a broadcast) in the tree."""
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))
+    below, at = [], None
+    for line in plan.splitlines():
+        if at is not None and depth(line) <= at:
+            at = None
+        if at is not None:
+            below.append(line)
+        elif re.search(r"\bExchange\b", line):
+            at = depth(line)
+    return below
+
+
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_no_page_text_crosses_a_shuffle(spark, tmp_path, threshold):
+    orgs, pages = foreign_corpus(spark, tmp_path)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        records = extract_about(orgs, pages, fx.RUN_TS)
+        lines = plan_of(records).splitlines()
+        rows = records.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    parser = next(i for i, line in enumerate(lines) if "MapInArrow" in line)
+    # the text scan is the last thing under the parser, and no shuffle stands between
+    under = lines[parser:]
+    scan = next(i for i, line in enumerate(under) if "FileScan" in line and re.search(r"\bhtml#", line))
+    assert not any(re.search(r"\bExchange\b", line) for line in under[: scan + 1])
+    assert not any(re.search(r"\bhtml#", line) for line in lines[:parser])
+    texts = [line for line in below_an_exchange("\n".join(under)) if re.search(r"\bhtml#", line)]
+    assert not texts, texts
+    assert len(rows) == 40 and all(r.outcome == "ok" and r.company_name == "page 3" for r in rows)
+
+
+def test_only_targeted_pages_are_parsed(spark, tmp_path):
+    orgs, pages = foreign_corpus(spark, tmp_path)
+    spec = ExtractionSpec()
+    targets = page_targets(classify(orgs), spec, ["about"])
+    assert targeted_captures(pages, targets, spec, ["about"]).count() == 40  # of 12,000
+
+
+def test_a_small_filter_lets_strangers_pass_and_no_key_is_held_back(spark):
+    keys = spark.range(5000).select(F.concat(F.lit("u"), "id").alias("u"))
+    many = spark.range(20_000).select(F.concat(F.lit("u"), "id").alias("u"))
+    for words, most in ((1 << 21, 5_010), (1 << 10, 9_000), (1, 20_000)):
+        known = key_filter(keys, ["u"], words)
+        passed = probably_known(many, known, ["u"], words)
+        assert known.count() <= words
+        assert keys.join(passed, "u", "left_anti").isEmpty() and 5000 <= passed.count() <= most
+    nulls = spark.createDataFrame([(None, "a"), (None, None)], "u string, v string")
+    assert probably_known(nulls, key_filter(nulls, ["u", "v"]), ["u", "v"]).count() == 2
+    assert probably_known(nulls, key_filter(nulls.limit(0), ["u", "v"]), ["u", "v"]).isEmpty()
+
+
 def test_only_pages_of_the_wanted_kind_are_read(spark, sf_dir):
     about = extract_about(fx.organisations(spark, sf_dir), fx.captured_pages(spark, sf_dir), fx.RUN_TS)
     assert "StringEndsWith(requested_url,/about/)" in plan_of(about)
