@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,8 +12,12 @@ from orgloom.catalogue.shared import ABOUT_SQL, BARS, ORGS, PAGES, SPEC, Query,
 from orgloom.functions.values import or_missing
 from orgloom.operators import extract
 from orgloom.operators.nodes import node_table, with_nodes
-from orgloom.plans.extraction import extract_about, extract_datasets, extract_facet, page_facts
+from orgloom.operators.order import dense_numbers
+from orgloom.plans.extraction import extract_about, extract_datasets, extract_facet, page_facts, write_datasets
+from orgloom.schemas import DATASETS
+from orgloom.session import work_dir
 from orgloom.sources.pages import as_pages, spread
+from orgloom.sources.records import read_records
 
 
 
@@ -141,6 +147,23 @@ def about_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_about(orgs, pages, fx.RUN_TS).drop("items", "items_missing")
 
 
+def record_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five datasets written by three appends, a third of the list each, and the order in which they are read."""
+    orgs = fx.organisations(spark, sf_dir).withColumnRenamed("k", "position")
+    pages, out = fx.captured_pages(spark, sf_dir), work_dir(spark, "positions")
+    for third in (2, 0, 1):
+        part = orgs.filter(F.col("position") % 3 == third)
+        places = write_datasets(extract_datasets(part, pages, fx.RUN_TS), out, append=True)
+    numbered = []
+    for name, place in places.items():
+        rows = read_records(spark, place, DATASETS[name], with_order=True)
+        copy = work_dir(spark, "ordered")
+        rows.select("record_order.*", "input_company_name", F.col("Company Name").alias("company_name")).write.parquet(copy)
+        dense = dense_numbers(spark.read.parquet(copy).drop("pos"), ["append", "part", "file", "block"])
+        numbered.append(dense.select(F.lit(name).alias("dataset"), "input_company_name", "company_name", "position"))
+    return reduce(DataFrame.unionByName, numbered)
+
+
 def five_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
     orgs, pages = fx.organisations(spark, sf_dir), fx.captured_pages(spark, sf_dir)
     return _flat(extract_datasets(orgs, pages, fx.RUN_TS))
@@ -345,6 +368,18 @@ UNION ALL SELECT target_url, false, false, false, 0, 0 {EARLIER}""",
     ),
     "about_extract": Query(about_extract, with_ctes(ORGS, BARS, PAGES, select=ABOUT_SQL)),
     **{f"{f}_{'kw' if k else 'all'}": _facet(f, k) for f, k in _PEOPLE},
+    "record_positions": Query(
+        record_positions,
+        with_ctes(
+            ORGS,
+            BARS,
+            PAGES,
+            select=f"""
+SELECT dataset, input_company_name, company_name,
+       row_number() OVER (PARTITION BY dataset ORDER BY (k + 1) % 3, k) - 1 AS position
+FROM ({_ALL_RECORDS}) JOIN (SELECT s_suppkey AS k, s_name FROM supplier) ON s_name = coalesce(input_company_name, company_name)""",
+        ),
+    ),
     "five_datasets": Query(five_datasets, with_ctes(ORGS, BARS, PAGES, select=_ALL_RECORDS)),
     "record_outcome": Query(
         record_outcome,

@@ -13,6 +13,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orgloom.operators.order import in_order
 from orgloom.plans.extraction import classify
 from orgloom.schemas import DATASETS, HEADING_COLUMNS, Dataset, ExtractionSpec
 from orgloom.session import work_dir
@@ -341,7 +342,7 @@ def records_dir(spark: SparkSession, sf_dir: str) -> str:
     """Folder with the five record datasets as JSON Lines, all list shapes among them."""
 
     def write(path: str) -> None:
-        people = profiles(spark, sf_dir)
+        people = in_order(profiles(spark, sf_dir), "k")
         for dataset in DATASETS.values():
             records = _about_records(people) if dataset.facet is None else _people_records(people, dataset)
             write_records(records, os.path.join(path, dataset.file_name), append=False)

@@ -107,12 +107,13 @@ def roles_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def role_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     dataset = DATASETS["roles_all"]
-    # the order of the records is given by the organisation's name here
-    records = tables.with_items(_records(spark, sf_dir, dataset.name), dataset)
-    found = reshape.role_columns(records, order="input_company_name")
+    # by the order in which the records were written, that of the organisations' keys
+    records = tables.with_items(_records(spark, sf_dir, dataset.name, with_order=True), dataset)
+    named = records.withColumn("place", F.struct("record_order", "input_company_name"))
+    found = reshape.role_columns(named, order="place")
     return found.select(
         "label",
-        F.col("first_seen.record").alias("first_record"),
+        F.col("first_seen.record.input_company_name").alias("first_record"),
         F.col("first_seen.pos").cast("bigint").alias("first_pos"),
     )
 

@@ -39,8 +39,12 @@ RECORD_COLUMNS = {
 
 
 def _record(df: DataFrame, values: dict[str, Column]) -> DataFrame:
-    """Select the record columns; those not given are absent, that is NULL."""
+    """Select the record columns; those not given are absent, that is NULL.
+
+    ``position``, the organisation's place in the list, goes along if it is known.
+    """
     return df.select(
+        *(F.col(c) for c in df.columns if c == "position"),
         *(
             (values[c].cast(t) if c in values else F.expr(f"cast(null as {t})")).alias(c)
             for c, t in RECORD_COLUMNS.items()
@@ -138,7 +142,7 @@ def placeholder_records(orgs: DataFrame, datasets: Iterable[Dataset], run_ts: st
     """One record per dataset for each organisation whose URL is blank or invalid."""
     names = F.array(*(F.lit(d.name) for d in datasets))
     return _record(
-        orgs.select("name", "profile_url", F.explode(names).alias("dataset")),
+        orgs.select(*(c for c in ("position", "name", "profile_url") if c in orgs.columns), F.explode(names).alias("dataset")),
         {
             "dataset": F.col("dataset"),
             "outcome": F.lit("placeholder"),

@@ -14,6 +14,7 @@ from orgloom.functions import urls
 from orgloom.operators import extract, outcomes
 from orgloom.operators.lookup import key_filter, latest_capture, lookup, probably_known
 from orgloom.operators.nodes import with_nodes
+from orgloom.operators.order import in_order
 from orgloom.schemas import COMMON_KEYS, DATASETS, HEADING_COLUMNS, Dataset, ExtractionSpec
 from orgloom.session import work_dir
 from orgloom.sinks.tables import write_records
@@ -116,7 +117,8 @@ def looked_up(classified: DataFrame, pages: DataFrame, spec: ExtractionSpec, kin
     Only valid organisations take part: a missing URL must not become a join key.
     """
     kinds = list(kinds)
-    valid = classified.filter(F.col("url_status") == "valid").select("name", "base_url")
+    known = [c for c in ("position", "name", "base_url") if c in classified.columns]
+    valid = classified.filter(F.col("url_status") == "valid").select(*known)
     targets = urls.page_targets(valid, spec, kinds)
     wanted = targeted_captures(pages, targets, spec, kinds)
     return lookup(targets, latest_capture(page_facts(wanted, spec, kinds)))
@@ -134,7 +136,8 @@ def extract_datasets(
     """Records of the wanted datasets in one table, told apart by ``dataset``.
 
     Each page is parsed once and feeds every dataset that is made from it. Write
-    the result partitioned by ``dataset`` to get the five outputs in one pass.
+    the result partitioned by ``dataset`` to get the five outputs in one pass. If the
+    organisations have a ``position``, the records have it too.
     """
     spec = spec or ExtractionSpec()
     wanted = [DATASETS[name] for name in datasets]
@@ -180,7 +183,8 @@ def write_datasets(records: DataFrame, out_dir: str, append: bool = False) -> di
     """Write the five JSON datasets and return their folders.
 
     The records are computed once into a table in the shared work folder, so pages
-    are not parsed again for each dataset.
+    are not parsed again for each dataset. If they have a ``position``, each dataset is
+    written in that order.
     """
     spark = records.sparkSession
     stage = work_dir(spark, "records")
@@ -189,5 +193,7 @@ def write_datasets(records: DataFrame, out_dir: str, append: bool = False) -> di
     places = {}
     for name, dataset in DATASETS.items():
         places[name] = os.path.join(out_dir, dataset.file_name)
-        write_records(as_json_records(stored, dataset), places[name], append)
+        mine = stored.filter(F.col("dataset") == name)
+        ordered = in_order(mine, "position") if "position" in mine.columns else mine
+        write_records(as_json_records(ordered, dataset), places[name], append)
     return places

@@ -11,7 +11,7 @@ from orgloom.plans.extraction import classify, extract_datasets, rejects, write_
 from orgloom.plans.tables import convert_all, write_tables
 from orgloom.schemas import NAME_COLUMN, URL_COLUMN, ExtractionSpec
 from orgloom.sinks.tables import write_csv
-from orgloom.sources.org_list import read_org_list
+from orgloom.sources.org_list import stored_org_list
 from orgloom.sources.pages import read_pages
 
 
@@ -26,20 +26,24 @@ def run_extraction(
     pages_partitions: int | None = None,
     name_column: str = NAME_COLUMN,
     url_column: str = URL_COLUMN,
+    encoding: str = "ISO-8859-1",
+    multiline: bool | None = None,
+    append: bool = False,
     **options: bool,
 ) -> dict[str, str]:
     """Write the five JSON datasets and the rejected organisations; return the folders.
 
-    Earlier output in ``out_dir`` is replaced. ``run_ts`` stamps records that have no
+    Records are in the order of the list. Earlier output in ``out_dir`` is replaced, or kept
+    before the new records with ``append``. ``run_ts`` stamps records that have no
     capture time; give it to make a rerun produce the same records.
     """
     run_ts = run_ts or datetime.now().isoformat()
-    orgs = read_org_list(spark, org_csv, name_column, url_column)
+    orgs = stored_org_list(spark, org_csv, name_column, url_column, encoding, multiline)
     pages = read_pages(spark, pages_path, pages_format, pages_partitions)
-    places = write_datasets(extract_datasets(orgs, pages, run_ts, spec, **options), out_dir)
+    places = write_datasets(extract_datasets(orgs, pages, run_ts, spec, **options), out_dir, append)
     places["rejects"] = os.path.join(out_dir, "rejects.csv")
     without = classify(orgs, null_as_placeholder=options.get("null_as_placeholder", False))
-    write_csv(rejects(without), places["rejects"])
+    write_csv(rejects(without), places["rejects"], append)
     return places
 
 

@@ -9,12 +9,18 @@ from pyspark.sql import functions as F
 from orgloom.functions.text import digits_only
 from orgloom.functions.values import fill_missing, numbers_to_text
 from orgloom.schemas import ALL_MEMBERS, KEYWORD_MEMBERS
+from orgloom.sinks.publish import exists, publication
 from orgloom.sources.org_list import read_csv_text
 
 
 def write_records(records: DataFrame, path: str, append: bool = True) -> None:
-    """JSON Lines; an append adds files and never reads or rewrites the earlier ones."""
-    records.write.mode("append" if append else "overwrite").json(path)
+    """JSON Lines, in a folder of their own that counts once it is complete.
+
+    An append neither reads nor rewrites the earlier files; without ``append`` they are
+    superseded and then deleted. Rows keep the order they have in ``records``.
+    """
+    with publication(records.sparkSession, path, replace=not append) as folder:
+        records.write.mode("overwrite").json(folder)
 
 
 def write_csv(table: DataFrame, path: str, append: bool = False) -> None:
@@ -83,8 +89,12 @@ def append_csv(new: DataFrame, path: str, grown_path: str, fill_all: bool = Fals
 
 
 def newest_version(spark: SparkSession, path: str) -> tuple[str, str]:
-    """Where a table that may have grown lives now, and the folder for its next version."""
+    """Where a table that may have grown lives now, and the folder for its next version.
+
+    A version counts if its write came to its end; what a stopped one has left is written
+    over by the next.
+    """
     current, version = path, 2
-    while stored_columns(spark, f"{path}.v{version}") is not None:
+    while exists(spark, f"{path}.v{version}/_SUCCESS"):
         current, version = f"{path}.v{version}", version + 1
     return current, f"{path}.v{version}"

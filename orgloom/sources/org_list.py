@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orgloom.functions.values import optional_column
+from orgloom.operators.order import dense_numbers, file_place
 from orgloom.schemas import NA_TOKENS, NAME_COLUMN, URL_COLUMN
+from orgloom.session import work_dir
 
 
 def na_to_null(value: Column) -> Column:
@@ -57,8 +59,31 @@ def read_org_list(
 
 
 def org_list(cells: DataFrame, name_column: str = NAME_COLUMN, url_column: str = URL_COLUMN) -> DataFrame:
+    return cells.select(*_cells(cells, name_column, url_column))
+
+
+def stored_org_list(
+    spark: SparkSession,
+    path: str,
+    name_column: str = NAME_COLUMN,
+    url_column: str = URL_COLUMN,
+    encoding: str = "ISO-8859-1",
+    multiline: bool | None = None,
+) -> DataFrame:
+    """The organisation list with ``position``, its place in the list from 0 on.
+
+    The CSV is read once, into a table in the shared work folder; whoever needs the list
+    several times reads that. Files of a folder count in the order of their names.
+    """
+    cells = read_csv_text(spark, path, encoding, multiline)
+    copy = work_dir(spark, "organisations")
+    cells.select(*_cells(cells, name_column, url_column), *file_place()).write.parquet(copy)
+    return dense_numbers(spark.read.parquet(copy), ["file", "block"])
+
+
+def _cells(cells: DataFrame, name_column: str, url_column: str) -> list[Column]:
     def cell(column: str) -> Column:
         value = optional_column(cells, column)
         return na_to_null(value) if column in cells.columns else value
 
-    return cells.select(cell(name_column).alias("name"), cell(url_column).alias("profile_url"))
+    return [cell(name_column).alias("name"), cell(url_column).alias("profile_url")]

@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orgloom.schemas import Dataset
+from orgloom.sinks.publish import STAMP, published
 
-# End of one top-level record in an array written with an indent of four. Line
-# ends inside JSON texts are escaped and deeper levels are indented further, so
-# nothing else in such a file looks like this.
-INDENTED_RECORD_END = "\n    },\n"
+# End of one top-level record in an array written with an indent of four, whatever the
+# line ends are. Line ends inside JSON texts are escaped and deeper levels are indented
+# further, so nothing else in such a file looks like this.
+INDENTED_RECORD_END = "\n    },"
 
-ORDER_TYPE = "struct<file:string,block:bigint,row:bigint,pos:int>"
+ORDER_TYPE = "struct<append:string,part:bigint,file:string,block:bigint,row:bigint,pos:int>"
 
 # A missing name may be written as a bare NaN, which reads as text: the file reader
 # gives it plain, the text parser in quotes.
@@ -35,24 +36,31 @@ def read_records(
     ``layout`` is ``lines`` (one record per line), ``indented`` (one array, indent
     four; split at record ends, so a large file is shared among tasks) or ``array``
     (one array in any other shape; a file is one task, so convert large ones first).
-    ``with_order`` adds ``record_order``, which sorts like the records in the files.
+    ``with_order`` adds ``record_order``, which sorts like the records in the files, and
+    those of an earlier append before those of a later one.
     Broken JSON stops the job, as it would any JSON reader; ``mode="PERMISSIVE"``
     lets such records through as empty ones.
     """
     schema = dataset.record_schema()
-    reader = spark.read.option("mode", mode).option("recursiveFileLookup", True)  # a store has folders of batches
+    paths = published(spark, path).paths
+    if not paths:  # no append has come to its end yet
+        return _no_records(spark, schema, with_order)
+    reader = spark.read.option("mode", mode).option("recursiveFileLookup", True)
     if layout == "lines":
-        rows = reader.schema(schema).json(path)
+        rows = reader.schema(schema).json(paths)
     elif layout == "array":
-        rows = reader.schema(schema).option("multiLine", True).json(path)
+        rows = reader.schema(schema).option("multiLine", True).json(paths)
     elif layout == "indented":
-        rows = spark.read.option("lineSep", record_end(spark, path)).text(path)
+        rows = spark.read.option("recursiveFileLookup", True).option("lineSep", INDENTED_RECORD_END).text(paths)
     else:
         raise ValueError(f"unknown layout {layout!r}")
 
     # Within one block rows are numbered in reading order, across blocks by place.
+    file = F.col("_metadata.file_path")
     place = [
-        F.col("_metadata.file_path").alias("file"),
+        F.regexp_extract(file, STAMP, 1).alias("append"),
+        F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).try_cast("bigint").alias("part"),
+        file.alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     ]
@@ -70,18 +78,11 @@ def read_records(
     )
 
 
-def record_end(spark: SparkSession, path: str) -> str:
-    """The end of a record with the line ends that the first line has."""
-    first = spark.read.option("lineSep", "\n").text(path).first()
-    windows = first is not None and first["value"].endswith("\r")
-    return INDENTED_RECORD_END.replace("\n", "\r\n") if windows else INDENTED_RECORD_END
-
-
 def _parse_indented(chunks: DataFrame, schema: T.StructType, mode: str) -> DataFrame:
     """Records of the chunks between record ends.
 
     The last chunk of a file has the end of the array instead. A file whose records
-    end otherwise, say with other line ends, is a single chunk with all its records.
+    end otherwise, say with another indent, is a single chunk with all its records.
     """
     text = F.regexp_replace("value", r"\A\s*\[", "")
     is_last = text.rlike(r"[\n}]\]\s*\z")
@@ -107,5 +108,9 @@ def read_optional(
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        empty = spark.createDataFrame([], dataset.record_schema())
-        return empty.withColumn("record_order", F.lit(None).cast(ORDER_TYPE)) if with_order else empty
+        return _no_records(spark, dataset.record_schema(), with_order)
+
+
+def _no_records(spark: SparkSession, schema: T.StructType, with_order: bool) -> DataFrame:
+    empty = spark.createDataFrame([], schema)
+    return empty.withColumn("record_order", F.lit(None).cast(ORDER_TYPE)) if with_order else empty
