@@ -11,8 +11,10 @@ from orgloom.catalogue import inputs as fx
 from orgloom.catalogue.shared import BARS, Query, items_sql, with_ctes
 from orgloom.functions.values import members_column, or_missing
 from orgloom.operators import reshape
+from orgloom.operators.order import in_order
 from orgloom.plans import tables
 from orgloom.plans.jobs import run_conversion
+from orgloom.plans.store import append_records, export_tables, label_names, stored_table
 from orgloom.schemas import ABOUT_COLUMNS, ALL_MEMBERS, DATASETS, KEYWORD_MEMBERS
 from orgloom.session import work_dir
 from orgloom.sinks.tables import append_by_name, append_csv, write_csv, write_records
@@ -105,6 +107,40 @@ def roles_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("Input Company Name").alias("name"), F.inline(F.map_entries("counts")).alias("label", "count"))
 
 
+def _grown_store(spark: SparkSession, sf_dir: str) -> str:
+    """A store of three appends; some roles are in the later ones only."""
+
+    def write(store: str) -> None:
+        for k, kept in enumerate(("< 4", "in (4, 5, 6, 7)", "> 7")):
+            landed = work_dir(spark, f"landed-{k}")
+            for name, dataset in DATASETS.items():
+                records = _records(spark, sf_dir, name, with_order=True)
+                shape = F.regexp_extract(F.coalesce("input_company_name", "Company Name"), r"(\d)( & Co)?$", 1)
+                mine = records.withColumn("shape", shape.cast("int")).filter(f"shape {kept}")
+                mine = in_order(mine, "record_order")
+                write_records(mine.drop("shape", "record_order"), f"{landed}/{dataset.file_name}")
+            append_records(spark, landed, store, fx.RUN_TS)
+
+    return fx.written(spark, sf_dir, "store", write)
+
+
+def store_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide table of a store whose roles grew, as exported."""
+    places = export_tables(spark, _grown_store(spark, sf_dir), work_dir(spark, "exported"))
+    return read_csv_text(spark, places[DATASETS["roles_all"].table_name])
+
+
+def store_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_table(spark, _grown_store(spark, sf_dir), DATASETS["roles_all"], "long")
+
+
+def store_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The roles of a grown store in the order in which they were first seen."""
+    dataset = DATASETS["roles_all"]
+    names = label_names(spark, _grown_store(spark, sf_dir), dataset)
+    return spark.createDataFrame(list(enumerate(names)), "place long, label string")
+
+
 def role_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     dataset = DATASETS["roles_all"]
     # by the order in which the records were written, that of the organisations' keys
@@ -353,6 +389,29 @@ SELECT {_PRESENT}, members AS "{ALL_MEMBERS}", {_PIVOT} FROM records LEFT JOIN l
 GROUP BY k, input_company_name, company_name, time_stamp, redirected_url, members""",
         ),
     ),
+    "store_wide": Query(
+        store_wide,
+        with_ctes(
+            BARS,
+            _last_sql("roles_all"),
+            select=f"""
+SELECT {_PRESENT}, members AS "{ALL_MEMBERS}", {_PIVOT} FROM records LEFT JOIN last USING (k)
+GROUP BY k, input_company_name, company_name, time_stamp, redirected_url, members""",
+        ),
+    ),
+    "store_long": Query(store_long, _long_sql("roles_all")),
+    "store_labels": Query(
+        store_labels,
+        with_ctes(
+            BARS,
+            items_sql("roles_all"),
+            select="""
+SELECT row_number() OVER (ORDER BY first) - 1 AS place, label FROM (
+  SELECT label, min({'a': CASE WHEN k % 10 < 4 THEN 0 WHEN k % 10 < 8 THEN 1 ELSE 2 END, 'k': k, 'pos': pos}) AS first
+  FROM items GROUP BY label
+)""",
+        ),
+    ),
     "roles_last_wins": Query(
         roles_last_wins,
         with_ctes(

@@ -20,6 +20,12 @@ def file_place(row: str = "row") -> list:
     ]
 
 
+def written_place() -> list:
+    """The place of a row in files that Spark has written: number of the part, block, and a number that grows within it."""
+    part = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).try_cast("bigint")
+    return [part.alias("part"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")]
+
+
 def dense_numbers(rows: DataFrame, block: Sequence[str], row: str = "row", name: str = "position") -> DataFrame:
     """``rows`` numbered from 0 on without gaps, by block and then by ``row``.
 

@@ -14,6 +14,8 @@ from orgloom.schemas import MISSING
 
 log = logging.getLogger(__name__)
 
+#: Labels up to which a wide table is made; its columns are names in the plan and on the driver.
+MAX_COLUMNS = 50_000
 ITEMS_TYPE = "array<struct<label:string,count:string>>"
 
 
@@ -157,7 +159,8 @@ def role_names(
     """The labels as column names, by first appearance or by name.
 
     Only the distinct labels come to the driver, where a table's column names have
-    to be. The long table and the map column need none of them.
+    to be, and no more than ``MAX_COLUMNS``. The long table and the map column need none
+    of them.
     """
     if column_order == "name":
         labels = explode_items(records.select(items), items).select("label").distinct()
@@ -166,7 +169,15 @@ def role_names(
         ranked = role_columns(records, order, items).orderBy("first_seen").select("label")
     else:
         raise ValueError(f"unknown column order {column_order!r}")
-    return [row[0] for row in ranked.collect()]
+    return bounded_names(ranked)
+
+
+def bounded_names(ranked: DataFrame, most: int = MAX_COLUMNS) -> list[str]:
+    """The labels as a list, which has to fit the driver and a table's schema."""
+    names = [row[0] for row in ranked.limit(most + 1).collect()]
+    if len(names) > most:
+        raise ValueError(f"more than {most} labels are too many columns: use the long form")
+    return names
 
 
 def free_names(names: Sequence[str], taken: Sequence[str]) -> dict[str, str]:

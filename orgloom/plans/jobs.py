@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import SparkSession
 
 from orgloom.plans.extraction import classify, extract_datasets, rejects, write_datasets
-from orgloom.plans.tables import convert_all, write_tables
+from orgloom.plans.store import append_records, export_tables
 from orgloom.schemas import NAME_COLUMN, URL_COLUMN, ExtractionSpec
 from orgloom.sinks.tables import write_csv
 from orgloom.sources.org_list import stored_org_list
@@ -55,10 +55,17 @@ def run_conversion(
     roles_form: str = "wide",
     layout: str = "lines",
     append: bool = True,
+    mode: str = "FAILFAST",
+    export: bool = True,
+    **options: bool,
 ) -> dict[str, str]:
-    """Write the five CSV tables, roles in ``wide`` or ``long`` form; return where they are.
+    """Store the records below ``out_dir``, write the five CSV tables, and return where they are.
 
-    A rerun appends its rows again unless ``append`` is off.
+    Roles are in ``wide`` or ``long`` form. A rerun appends its rows again unless ``append``
+    is off. The store takes all five datasets or none and is never rewritten; the CSV tables are made
+    from all of it. Without ``export`` only the records are stored, and the store's folder
+    is returned. Further options are those of ``stored_table``.
     """
-    run_ts = run_ts or datetime.now().isoformat()
-    return write_tables(convert_all(spark, records_dir, run_ts, roles_form, layout), out_dir, append)
+    store = os.path.join(out_dir, "store")
+    append_records(spark, records_dir, store, run_ts or datetime.now().isoformat(), layout, mode, replace=not append)
+    return export_tables(spark, store, out_dir, roles_form, **options) if export else {"store": store}

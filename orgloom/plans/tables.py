@@ -34,7 +34,9 @@ def about_table(records: DataFrame, run_ts: str) -> DataFrame:
 
 
 def with_items(records: DataFrame, dataset: Dataset) -> DataFrame:
-    """Replace the list field by normalised ``items``."""
+    """Replace the list field by normalised ``items``, unless the records have these already."""
+    if "items" in records.columns:
+        return records
     return records.withColumn(
         "items", reshape.normalise_items(F.col(dataset.list_key), dataset.label_key, dataset.default_label)
     ).drop(dataset.list_key)

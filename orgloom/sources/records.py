@@ -100,11 +100,16 @@ def _parse_indented(chunks: DataFrame, schema: T.StructType, mode: str) -> DataF
 
 
 def read_optional(
-    spark: SparkSession, path: str, dataset: Dataset, layout: str = "lines", with_order: bool = False
+    spark: SparkSession,
+    path: str,
+    dataset: Dataset,
+    layout: str = "lines",
+    with_order: bool = False,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
     """Like ``read_records``, but empty when the dataset is not there."""
     try:
-        return read_records(spark, path, dataset, layout, with_order)
+        return read_records(spark, path, dataset, layout, with_order, mode)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
