@@ -19,7 +19,8 @@ component after that are compared across components in a second turn. So no link
 joins two components is lost, and a group of near copies that are linked costs as many
 comparisons as it has members, not their square. Before a comparison, parity sketches of
 both sets give a lower bound of their difference that rules out most unlinked pairs
-safely; what remains is verified on the whole texts.
+safely; what remains is verified on the whole texts: one star link of each class first,
+then those of the others whose ends are still apart.
 
 Hot keys: a task sends a class's keys once, however many copies it reads; rows under one
 key are streamed in sorted order and never held together; comparisons against a class
@@ -46,7 +47,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from orgloom.llm.common import arrow_schema, as_batches, lower_words, map_batches, n_partitions, small, staged, table
+from orgloom.llm.common import arrow_schema, as_batches, lower_words, map_batches, n_partitions, quoted, small, staged, table
 from orgloom.llm.components import components
 from orgloom.llm.hashing import WordHashes, mix, mix_int, sequence_hashes, signed
 
@@ -437,26 +438,36 @@ def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, words: int =
 
 
 def classes_and_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, sid, n) of each document, and (sid, root) of each class with links."""
+    """(doc_id, sid, n) of each document; (sid, root, least) of each class of several rows or with links.
+
+    ``least`` is the smallest doc_id of the class's component, whose name is ``root``.
+    """
     found = staged(candidates(index_rows(docs, words, percent), percent), "candidates")
     made = found.filter(F.col("kind") == MEMBER).select(F.col("a").alias("doc_id"), F.col("b").alias("sid"), "n", "sketch", "wide")
     members = made.select("doc_id", "sid", "n")
     classes = made.filter("sid is not null").groupBy("sid")
-    classes = classes.agg(*(F.min(c).alias(c) for c in ("doc_id", "n", "sketch", "wide")))
-    stars = found.filter(F.col("kind") == EDGE).select("a", "b").distinct()
+    classes = staged(classes.agg(*(F.min(c).alias(c) for c in ("doc_id", "n", "sketch", "wide")), F.count("*").alias("rows")), "classes")
+    stars = staged(found.filter(F.col("kind") == EDGE).select("a", "b").distinct(), "stars")
     outlines = classes.select("sid", "n", "sketch", "wide")
-    likely = (
+    likely = staged(
         stars.join(outlines.alias("x"), F.col("a") == F.col("x.sid"))
         .join(outlines.alias("y"), F.col("b") == F.col("y.sid"))
         .filter(may_link("x", "y", percent))
-        .select("a", "b")
+        .select("a", "b"),
+        "likely",
     )
-    links = verified(docs, staged(likely, "likely"), classes, words, percent)
+    # One hub for each class first: that holds most groups together, and what is together needs no more links.
+    first = likely.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    links = verified(docs, staged(first, "first"), classes, words, percent)
     roots = components(links)
+    rest = _apart(likely.join(first, ["a", "b"], "left_anti"), roots)
+    if not rest.isEmpty():
+        links = links.unionByName(verified(docs, rest, classes, words, percent))
+        roots = components(links)
     # Keys whose members are not all in one component: the pairs across components remain.
     rows = found.filter(F.col("kind") == BUCKET).select(F.col("a").alias("bucket"), F.col("b").alias("sid"), "weak")
     rows = rows.dropDuplicates(["bucket", "sid"])
-    placed = rows.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+    placed = rows.join(small(roots.withColumnRenamed("node", "sid")), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high")
     still = staged(placed.join(mixed.select("bucket"), "bucket"), "mixed")
     # A pair counts under the smallest of its common keys, as far as the first few of each tell.
@@ -478,13 +489,31 @@ def classes_and_components(docs: DataFrame, words: int = WORDS, percent: int = P
         .select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b"))
         .distinct()
     )
-    tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    # Star pairs that are still apart have been tried.
+    tried = likely.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     remaining = staged(across.join(tried, ["a", "b"], "left_anti"), "across")
     if not remaining.isEmpty():
         more = verified(docs, remaining, classes, words, percent)
         if not more.isEmpty():
             roots = components(links.unionByName(more))
-    return members, roots.select(F.col("node").alias("sid"), "root")
+    return members, _groups(classes, roots)
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes that are not yet in one component."""
+    known = small(roots)
+    ends = [known.select(F.col("node").alias(n), F.col("root").alias(r)) for n, r in (("a", "ra"), ("b", "rb"))]
+    placed = pairs.join(ends[0], "a", "left").join(ends[1], "b", "left")
+    return staged(placed.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"), "apart")
+
+
+def _groups(classes: DataFrame, roots: DataFrame) -> DataFrame:
+    """sid, root and least of the classes that have several rows or links, all on the level of classes."""
+    linked = classes.select("sid", "doc_id", "rows").join(small(roots.withColumnRenamed("node", "sid")), "sid", "left")
+    shared = staged(linked.filter("rows > 1 or root is not null"), "shared")
+    least = shared.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
+    named = shared.join(small(staged(least, "least")), "root", "left")
+    return staged(named.select("sid", F.coalesce("root", "sid").alias("root"), F.coalesce("least", "doc_id").alias("least")), "groups")
 
 
 def with_set_id(docs: DataFrame, words: int = WORDS, name: str = "_set") -> DataFrame:
@@ -509,13 +538,11 @@ def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     Rows without words stay. Only ids that several rows have need a look at the rows'
     sets. Columns of ``docs`` may have any names that don't begin with an underscore.
     """
-    members, roots = classes_and_components(docs, words, percent)
-    rooted = members.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid")).filter("sid is not null")
-    least = rooted.groupBy("root").agg(F.min("doc_id").alias("least"))
-    named = staged(rooted.join(least, "root"), "rooted")
+    members, groups = classes_and_components(docs, words, percent)
+    named = staged(members.join(small(groups), "sid"), "grouped")
     ids = docs.select(F.col("doc_id").alias("_many")).groupBy("_many").agg(F.count("*").alias("_n"))
     several = staged(ids.filter("_n > 1").select("_many"), "several")
-    gone = named.filter(~F.col("doc_id").eqNullSafe(F.col("least"))).select(F.col("doc_id").alias("_gone"))
+    gone = staged(named.filter(~F.col("doc_id").eqNullSafe(F.col("least"))).select(F.col("doc_id").alias("_gone")).distinct(), "gone")
     is_gone = F.col("doc_id").eqNullSafe(F.col("_gone"))  # a single row may lack its id
     if several.isEmpty():
         return docs.join(small(gone), is_gone, "left_anti")
@@ -523,21 +550,21 @@ def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     single = docs.join(small(several), is_many, "left_anti")
     single = single.join(small(gone), is_gone, "left_anti")
     multiple = with_set_id(docs.join(small(several), is_many, "left_semi"), words)
-    stay = named.filter(F.col("doc_id").eqNullSafe(F.col("least")))
-    stay = stay.select(F.col("sid").alias("_of"), F.col("root").alias("_root"), F.col("least").alias("_least")).distinct()
-    placed = multiple.join(stay, (F.col("_set") == F.col("_of")) & F.col("doc_id").eqNullSafe(F.col("_least")))
+    grouped = small(groups.select(F.col("sid").alias("_of"), F.col("root").alias("_root"), F.col("least").alias("_least")))
+    placed = multiple.join(grouped, F.col("_set") == F.col("_of"), "left")
+    # Of a group's rows that have its smallest id, one stays; rows of no group are alone with their set.
+    alone = placed.filter("_of is null")
     first = F.row_number().over(Window.partitionBy("_root").orderBy("_set", F.xxhash64("text")))
-    chosen = placed.withColumn("_place", first).filter("_place = 1")
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    return single.unionByName(chosen.select(*names)).unionByName(multiple.filter("_set is null").select(*names))
+    chosen = placed.filter("_of is not null").filter(F.col("doc_id").eqNullSafe(F.col("_least")))
+    chosen = chosen.withColumn("_place", first).filter("_place = 1")
+    names = [F.col(quoted(c)) for c in docs.columns]
+    return single.unionByName(chosen.select(*names)).unionByName(alone.select(*names))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id, one row for each row of ``docs``."""
-    members, roots = classes_and_components(docs, words, percent)
-    rooted = members.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    named = rooted.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
-    return rooted.join(named, "root", "left").select(
+    members, groups = classes_and_components(docs, words, percent)
+    return members.join(small(groups.select("sid", "least")), "sid", "left").select(
         "doc_id",
         F.col("n").cast("long").alias("n_shingles"),
         F.coalesce("least", "doc_id").alias("component_id"),
