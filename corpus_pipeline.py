@@ -16,7 +16,6 @@ pass through every stage.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from orgloom.llm import decontam, jaccard, mixing, pii, quality
 from orgloom.llm.common import staged, table
@@ -24,7 +23,7 @@ from orgloom.llm.common import staged, table
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.learned(table(spark, sf_dir, "documents"), spark, sf_dir)
-    return quality.score(docs, model).filter(F.col("predicted") == 1).select(*docs.columns)
+    return quality.accepted(docs, model)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -63,6 +63,11 @@ def others(df: DataFrame, added: Iterable[str]) -> dict[str, Column]:
     return {c: F.col(quoted(c)) for c in df.columns if alike(c) not in taken}
 
 
+def plainly_named(df: DataFrame, *core: str) -> DataFrame:
+    """``df`` with other columns than ``core`` under names that clash with nothing, by position."""
+    return df.toDF(*(c if c in core else f"passed_{i}" for i, c in enumerate(df.columns)))
+
+
 def split_words(text: str | None) -> list[bytes]:
     """Words as UTF-8 bytes, unchanged."""
     return text.encode().split() if text else []
@@ -78,20 +83,22 @@ def map_batches(
 ) -> DataFrame:
     """One output batch for each Arrow batch; ``make`` runs once in each task.
 
-    What ``make`` returns turns a batch into columns by name, or None for no rows.
+    What ``make`` returns turns a batch into columns by name, or None for no rows. Columns
+    may have any names.
     """
     schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     arrow = arrow_schema(schema)
+    names = df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
             if batch.num_rows:
-                columns = work(batch)
+                columns = work(batch.rename_columns(names))
                 if columns is not None:
                     yield from as_batches(columns, arrow)
 
-    return df.mapInArrow(run, schema)
+    return plainly_named(df).mapInArrow(run, schema)
 
 
 def arrow_schema(schema: T.StructType) -> pa.Schema:

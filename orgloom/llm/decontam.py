@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orgloom.llm.common import small, staged, table
+from orgloom.llm.common import plainly_named, small, staged, table
 
 WINDOW = 13
 #: Contaminated: a hit, and at least one word in so many hit.
@@ -186,11 +186,12 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without the contaminated ones."""
+    """docs without the contaminated ones; their columns may have any names."""
+    plain = plainly_named(docs, "doc_id", "text")
     bad = decontaminated(docs, benchmark).filter("contaminated").select(F.col("doc_id").alias("_bad"), F.col("th").alias("_th"))
     bad = staged(bad.distinct(), "contaminated")
     same = F.col("doc_id").eqNullSafe(F.col("_bad")) & (F.xxhash64("text") == F.col("_th"))
-    return docs.join(small(bad), same, "left_anti")
+    return plain.join(small(bad), same, "left_anti").toDF(*docs.columns)
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

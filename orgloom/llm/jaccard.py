@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from orgloom.llm.common import arrow_schema, as_batches, lower_words, map_batches, n_partitions, quoted, small, staged, table
+from orgloom.llm.common import arrow_schema, as_batches, lower_words, map_batches, n_partitions, plainly_named, small, staged, table
 from orgloom.llm.components import components
 from orgloom.llm.hashing import WordHashes, mix, mix_int, sequence_hashes, signed
 
@@ -536,8 +536,13 @@ def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     """docs without all but one row of each component, that of the smallest doc_id.
 
     Rows without words stay. Only ids that several rows have need a look at the rows'
-    sets. Columns of ``docs`` may have any names that don't begin with an underscore.
+    sets. Columns of ``docs`` may have any names.
     """
+    plain = plainly_named(docs, "doc_id", "text")
+    return _one_of_each(plain, words, percent).toDF(*docs.columns)
+
+
+def _one_of_each(docs: DataFrame, words: int, percent: int) -> DataFrame:
     members, groups = classes_and_components(docs, words, percent)
     named = staged(members.join(small(groups), "sid"), "grouped")
     ids = docs.select(F.col("doc_id").alias("_many")).groupBy("_many").agg(F.count("*").alias("_n"))
@@ -557,8 +562,7 @@ def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     first = F.row_number().over(Window.partitionBy("_root").orderBy("_set", F.xxhash64("text")))
     chosen = placed.filter("_of is not null").filter(F.col("doc_id").eqNullSafe(F.col("_least")))
     chosen = chosen.withColumn("_place", first).filter("_place = 1")
-    names = [F.col(quoted(c)) for c in docs.columns]
-    return single.unionByName(chosen.select(*names)).unionByName(alone.select(*names))
+    return single.unionByName(chosen.select(*docs.columns)).unionByName(alone.select(*docs.columns))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:

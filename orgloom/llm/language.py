@@ -5,15 +5,18 @@ first. A document's own profile is compared with each by the out-of-place distan
 sum over the document's n-grams of how far their ranks lie apart, and the largest rank
 for n-grams that a language's profile lacks. The nearest language wins.
 
-An n-gram is one number, 21 bits for each of its characters, so that numpy finds and
-counts those of a whole text at once. Profiles are counted over all training rows: each
+An n-gram of up to three characters is one number, 21 bits for each of them; a longer one
+(up to ``LONGEST``) is a hash with the sign bit set. So numpy finds and counts those of a
+whole text at once. Profiles are counted over all training rows: each
 task counts by language and Spark adds the counts up. Only the profiles (``size``
 n-grams for each language) reach the driver and the tasks.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0, and so
 is every text if there is nothing to learn from; ties go to the language that sorts
 first; n-grams with equal counts share a rank, and of those at the end of a document's
-profile the ones whose hash is smallest stay; extra columns are left alone.
+profile the ones whose hash is smallest stay; columns named ``lang_pred`` and ``score``
+are replaced, other extra columns pass through, whatever their names; an empty table
+gives no rows, and empty profiles if it is learned from.
 """
 
 from __future__ import annotations
@@ -27,10 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orgloom.llm.common import fold, map_batches, table
-from orgloom.llm.hashing import mix
+from orgloom.llm.common import fold, map_batches, others, table
+from orgloom.llm.hashing import mix, signed
 
 PROFILE = 300
+#: Characters of the longest n-grams in a profile.
+LONGEST = 5
 UNKNOWN = "und"
 #: Characters of a text worked on at once, and n-grams that a task holds before it counts them.
 PIECE = 1_000_000
@@ -60,8 +65,8 @@ def pieces(text: str) -> Iterator[str]:
     yield text[start:] if start else text
 
 
-def grams(text: str) -> np.ndarray:
-    """The n-grams of one to three characters of every word between blanks, without the blank itself."""
+def grams(text: str, longest: int = 3) -> np.ndarray:
+    """The n-grams of up to ``longest`` characters (three at least) of every word between blanks, without the blank itself."""
     points = np.frombuffer(text.lower().encode("utf-32-le"), np.uint32)
     row = np.full(len(points) + 2, BLANK, np.int64)
     row[1:-1] = np.where(letters()[points], points, BLANK)
@@ -70,14 +75,25 @@ def grams(text: str) -> np.ndarray:
     stay[1:] |= inside[:-1]  # of blanks in a row, the one that ends a word
     stay[0] = True
     row, inside = row[stay], inside[stay]
+    if len(row) < 2:
+        return row[:0]
     pairs = row[:-1] << BITS | row[1:]
-    triples = (pairs[:-1] << BITS | row[2:])[inside[1:-1]]
-    return np.concatenate([row[inside], pairs, triples]) if len(row) > 1 else row[:0]
+    triples = pairs[:-1] << BITS | row[2:]
+    within = inside[1:-1]  # whether nothing between an n-gram's ends is a blank
+    out = [row[inside], pairs, triples[within]]
+    longer = triples.view(np.uint64)
+    for k in range(4, longest + 1):
+        if len(row) < k:
+            break
+        longer = mix(longer[:-1]) ^ row[k - 1 :].view(np.uint64)
+        within = within[:-1] & inside[k - 2 : -1]
+        out.append(signed(mix(longer[within]) | np.uint64(1 << 63)))
+    return np.concatenate(out)
 
 
-def counted(text: str) -> tuple[np.ndarray, np.ndarray]:
+def counted(text: str, longest: int = 3) -> tuple[np.ndarray, np.ndarray]:
     """The distinct n-grams of a whole text and their counts."""
-    found = [np.unique(grams(piece), return_counts=True) for piece in pieces(text)]
+    found = [np.unique(grams(piece, longest), return_counts=True) for piece in pieces(text)]
     return added(found) if len(found) > 1 else found[0]
 
 
@@ -107,7 +123,7 @@ def learn(docs: DataFrame, size: int = PROFILE) -> DataFrame:
 
             for text, lang in zip(batch["text"].to_pylist(), batch["lang"].to_pylist(), strict=True):
                 for piece in pieces(text):
-                    found = grams(piece)
+                    found = grams(piece, LONGEST)
                     held.setdefault(lang, []).append(found)
                     size_of[lang] = size_of.get(lang, 0) + len(found)
                     if size_of[lang] > HELD:
@@ -125,8 +141,9 @@ def learn(docs: DataFrame, size: int = PROFILE) -> DataFrame:
     used = docs.select("text", "lang").filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
     counts = map_batches(used, make, "lang string, gram long, n long")
     sums = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    return sums.withColumn("place", place - 1).filter(F.col("place") < size).select("lang", "gram", "place")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
+    first = sums.withColumn("rank", rank).filter(F.col("rank") <= size)  # cut in every task before the shuffle
+    return first.select("lang", "gram", (F.col("rank") - 1).alias("place"))
 
 
 class Profiles:
@@ -141,7 +158,7 @@ class Profiles:
             self.places[self.langs.index(lang), np.searchsorted(self.known, gram)] = place
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        names, n = counted(text) if text and self.langs else ((), ())
+        names, n = counted(text, LONGEST) if text and self.langs else ((), ())
         if not len(names):
             return UNKNOWN, 0.0
         if len(n) > self.size:
@@ -165,21 +182,23 @@ def identify(docs: DataFrame, profiles: DataFrame, size: int = PROFILE) -> DataF
     model = spark.sparkContext.broadcast(
         Profiles([(r.lang, r.gram, r.place) for r in profiles.orderBy("lang", "place").collect()], size)
     )
-    kept = [f for f in docs.schema if f.name not in ("text", "lang_pred", "score")]
+    kept = others(docs, ("text", "lang_pred", "score"))
+
+    names = list(kept)
 
     def make():
         predict = model.value.predict
 
         def run(batch: pa.RecordBatch) -> dict:
             found = [predict(text) for text in batch["text"].to_pylist()]
-            return {f.name: batch[f.name] for f in kept} | {
+            return {c: batch[c] for c in names} | {
                 "lang_pred": [x for x, _ in found],
                 "score": [min(1.0, max(0.0, x)) for _, x in found],
             }
 
         return run
 
-    schema = docs.select(*[F.col(f"`{f.name}`") for f in kept], F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"))
+    schema = docs.select(*kept.values(), F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"))
     return map_batches(docs, make, schema.schema)
 
 

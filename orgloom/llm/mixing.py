@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orgloom.llm.common import WORD, table
+from orgloom.llm.common import WORD, others, plainly_named, quoted, table
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -84,9 +84,9 @@ def with_rates(docs: DataFrame, seed: int = SEED, **options) -> DataFrame:
     The documents aren't shuffled while there are few sources; a hot source is then one
     row of the broadcast table. All other columns stay as they are.
     """
-    docs = docs.drop(*ADDED)
-    taken = {c.lower() for c in docs.columns}
-    key, rate = (next(n for n in (name + "_" * k for k in range(len(taken) + 1)) if n not in taken) for name in ("mix_source", "mix_rate"))
+    kept = others(docs, ADDED)
+    docs = plainly_named(docs.select(*kept.values()), "doc_id", "text", "source")
+    key, rate = "mix_source", "mix_rate"
     sized = docs.select(F.col("source"), word_count(F.col("text")).alias("size"))
     targets = source_targets(sized, **options).select(
         F.col("source").alias(key),
@@ -100,13 +100,14 @@ def with_rates(docs: DataFrame, seed: int = SEED, **options) -> DataFrame:
     )
     whole = F.floor(rate)
     extra = (draw(seed) < F.col(rate) - whole).cast("long")
-    return joined.withColumn("mix_copies", whole.cast("long") + extra).drop(key, rate)
+    return joined.withColumn("mix_copies", whole.cast("long") + extra).drop(key, rate).toDF(*kept, *ADDED)
 
 
 def mix(docs: DataFrame, seed: int = SEED, **options) -> DataFrame:
     """The documents of the mix, each as often as it is taken; ``copy`` numbers the copies from 1."""
-    rated = with_rates(docs, seed, **options).filter(F.col("mix_copies") > 0)
-    return rated.select(*docs.drop("copy").columns, F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))).alias("copy"))
+    rated = with_rates(docs.select(*others(docs, ["copy"]).values()), seed, **options).filter(F.col("mix_copies") > 0)
+    names = map(quoted, rated.columns)  # ``copy`` has been left out
+    return rated.select(*names, F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))).alias("copy"))
 
 
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

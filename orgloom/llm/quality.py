@@ -13,7 +13,9 @@ word are seen whatever the word is.
 Defined results: a null or empty text has the end mark as its only feature and gets the
 score that this alone has; without any labelled row, or with one label only, the vectors
 stay untrained and the score is the share of label 1 (one half if there is none);
-documents with several labels or a null label teach nothing by the null ones.
+documents with several labels or a null label teach nothing by the null ones; an empty
+table gives no rows. Columns named ``score`` and ``predicted`` are replaced by ``score``
+and left alone by ``accepted``; all others pass through.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orgloom.llm.common import fold, map_batches, table
+from orgloom.llm.common import fold, map_batches, others, table
 
 SAMPLE = 3_000
 BUCKETS = 1 << 16
@@ -173,8 +175,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """docs with ``score`` and ``predicted`` instead of any columns of these names."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [c for c in docs.columns if c not in ("score", "predicted")]
-    names = [F.col(f"`{c}`") for c in kept]
+    passed = others(docs, ("score", "predicted"))
+    kept, names = list(passed), list(passed.values())
 
     def make():
         of = shared.value.scorer()
@@ -189,6 +191,22 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
     return map_batches(docs.select(*names), make, schema)
 
 
+def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose score reaches the threshold, with all their columns as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def make():
+        of = shared.value.scorer()
+
+        def run(batch: pa.RecordBatch) -> dict | None:
+            kept = batch.filter(pa.array([of(text) >= threshold for text in batch["text"].to_pylist()], pa.bool_()))
+            return dict(zip(kept.schema.names, kept.columns, strict=True)) if kept.num_rows else None
+
+        return run
+
+    return map_batches(docs, make, docs.schema)
+
+
 def op4_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = learned(docs, spark, sf_dir)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orgloom.llm.common import map_batches, table
+from orgloom.llm.common import map_batches, others, table
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: The mark of a piece that begins a word in a sentencepiece vocabulary, and of one that goes on in a text list.
@@ -127,7 +127,8 @@ def count_tokens(docs: DataFrame, automaton: Automaton) -> DataFrame:
     """docs' columns besides text, with n_words, n_tokens (unknown words count one) and n_unknown."""
     shared = docs.sparkSession.sparkContext.broadcast(automaton)
     made = ("n_words", "n_tokens", "n_unknown")
-    kept = [c for c in docs.columns if c not in ("text", *made)]
+    passed = others(docs, ("text", *made))
+    kept, names = list(passed), list(passed.values())
 
     def make():
         length = shared.value.length
@@ -156,7 +157,6 @@ def count_tokens(docs: DataFrame, automaton: Automaton) -> DataFrame:
 
         return run
 
-    names = [F.col(f"`{c}`") for c in kept]
     schema = docs.select(*names, *[F.lit(0).cast("long").alias(c) for c in made]).schema
     return map_batches(docs.select(*names, "text"), make, schema)
 
