@@ -75,19 +75,23 @@ def targeted_captures(pages: DataFrame, targets: DataFrame, spec: ExtractionSpec
     return probably_known(pages.filter(has_ending(spec, kinds)), chosen, CAPTURE)
 
 
+def parsed_pages(pages: DataFrame, spec: ExtractionSpec) -> DataFrame:
+    """Captures with the nodes of their pages in place of the text, all that any dataset needs."""
+    return with_nodes(pages.select(*CAPTURE, F.xxhash64("html").alias("capture_hash"), "html"), spec)
+
+
 def page_facts(pages: DataFrame, spec: ExtractionSpec, kinds: Iterable[str] | None = None) -> DataFrame:
     """Everything later steps need from a page, one small row per capture.
 
     Page text is read, parsed and dropped inside one map-only stage; it crosses no
     shuffle unless the pages given do before. With ``kinds`` the scan keeps only pages of these kinds,
-    which their URLs tell by the ending, and only the facts they are read for.
+    which their URLs tell by the ending, and only the facts they are read for. Pages
+    that have their nodes already (see ``parsed_pages``) are not parsed again.
     """
     wanted = set(spec.suffixes if kinds is None else kinds)
-    narrow = pages.select(
-        "requested_url", "final_url", "captured_at", F.xxhash64("html").alias("capture_hash"), "html"
-    )
+    parsed = pages if "page" in pages.columns else parsed_pages(pages, spec)
     if kinds is not None:
-        narrow = narrow.filter(has_ending(spec, wanted))
+        parsed = parsed.filter(has_ending(spec, wanted))
     page = F.col("page")
     facts = []
     if "about" in wanted:
@@ -103,7 +107,6 @@ def page_facts(pages: DataFrame, spec: ExtractionSpec, kinds: Iterable[str] | No
             extract.facet_bars(page, spec.locations_index, spec).alias("locations"),
             extract.facet_bars(page, spec.roles_index, spec).alias("roles"),
         ]
-    parsed = with_nodes(narrow, spec)
     if "about" in wanted:
         parsed = parsed.withColumn("pairs", extract.dt_dd_pairs(page, spec.headings)).withColumn(
             "profile_values", extract.profile_values(F.col("pairs"))
@@ -114,12 +117,15 @@ def page_facts(pages: DataFrame, spec: ExtractionSpec, kinds: Iterable[str] | No
 def looked_up(classified: DataFrame, pages: DataFrame, spec: ExtractionSpec, kinds: Iterable[str]) -> DataFrame:
     """Valid organisations x page kinds with the facts of the page each target leads to.
 
-    Only valid organisations take part: a missing URL must not become a join key.
+    Only valid organisations take part: a missing URL must not become a join key. ``pages``
+    are captures with text, with nodes, or facts of all kinds that were kept earlier.
     """
     kinds = list(kinds)
     known = [c for c in ("position", "name", "base_url") if c in classified.columns]
     valid = classified.filter(F.col("url_status") == "valid").select(*known)
     targets = urls.page_targets(valid, spec, kinds)
+    if "heading" in pages.columns:
+        return lookup(targets, latest_capture(pages.filter(has_ending(spec, kinds))))
     wanted = targeted_captures(pages, targets, spec, kinds)
     return lookup(targets, latest_capture(page_facts(wanted, spec, kinds)))
 

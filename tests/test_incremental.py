@@ -1,0 +1,102 @@
+"""Pages parsed once: facts kept over runs, stored nodes, a corpus in buckets."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from orgloom.catalogue import inputs as fx
+from orgloom.plans.extraction import extract_about, extract_datasets, parsed_pages
+from orgloom.schemas import ExtractionSpec
+from orgloom.sinks.publish import published
+from orgloom.sources.pages import bucketed_pages
+from orgloom.streaming.facts import collect_facts, extract_new, stored_facts
+
+
+def rows(records):
+    return sorted(map(str, records.collect()))
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_second_run_parses_only_what_is_new(spark, sf_dir, tmp_path, monkeypatch):
+    orgs, pages = fx.organisations(spark, sf_dir), fx.captured_pages(spark, sf_dir)
+    landing, store, seen = (str(tmp_path / x) for x in ("pages", "facts", "seen"))
+    later = F.col("captured_at") >= F.lit("2024-05-01 00:00:04").cast("timestamp_ntz")
+    counts = []
+    for part in (pages.filter(~later), pages.filter(later)):
+        part.write.mode("append").parquet(landing)
+        for _ in range(2):  # a rerun without new files parses nothing
+            collect_facts(spark, landing, store, seen)
+        counts.append(stored_facts(spark, store).count())
+        assert counts[-1] == spark.read.parquet(landing).count()
+    assert counts[0] < counts[1] and len(published(spark, store).appends) == 2
+    whole = extract_datasets(orgs, pages, fx.RUN_TS)
+    kept = extract_datasets(orgs, stored_facts(spark, store), fx.RUN_TS)
+    assert rows(kept) == rows(whole) and "MapInArrow" not in plan_of(kept)
+    places = extract_new(orgs, landing, store, seen, str(tmp_path / "out"), fx.RUN_TS)
+    assert len(places) == 5 and len(published(spark, store).appends) == 2
+
+
+def test_a_batch_that_stops_is_parsed_again(spark, sf_dir, tmp_path, monkeypatch):
+    pages = fx.captured_pages(spark, sf_dir)
+    landing, store, seen = (str(tmp_path / x) for x in ("pages", "facts", "seen"))
+    pages.write.parquet(landing)
+    from orgloom.streaming import facts
+
+    real = facts.page_facts
+
+    def stopped(*args):
+        real(*args).limit(3).write.parquet(str(tmp_path / "half"))
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(facts, "page_facts", stopped)
+    with pytest.raises(Exception, match="stopped"):
+        collect_facts(spark, landing, store, seen)
+    monkeypatch.undo()
+    assert stored_facts(spark, store).isEmpty()
+    collect_facts(spark, landing, store, seen)
+    assert stored_facts(spark, store).count() == pages.count()
+
+
+def test_stored_nodes_serve_without_a_parser(spark, sf_dir, tmp_path):
+    orgs, pages, spec = fx.organisations(spark, sf_dir), fx.captured_pages(spark, sf_dir), ExtractionSpec()
+    parsed_pages(pages, spec).write.parquet(str(tmp_path / "nodes"))
+    stored = spark.read.parquet(str(tmp_path / "nodes"))
+    made = extract_datasets(orgs, stored, fx.RUN_TS)
+    assert "MapInArrow" not in plan_of(made) and rows(made) == rows(extract_datasets(orgs, pages, fx.RUN_TS))
+
+
+def test_a_corpus_in_buckets_is_not_shuffled(spark, sf_dir):
+    orgs, pages = fx.organisations(spark, sf_dir), fx.captured_pages(spark, sf_dir)
+    name = "captures_in_buckets"
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    spark.sql(f"drop table if exists {name}")
+    try:
+        first = bucketed_pages(pages, name, 8)
+        again = bucketed_pages(pages.limit(0), name, 8)  # laid out already
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        made = extract_about(orgs, again, fx.RUN_TS)
+        plan = plan_of(made).splitlines()
+        scans = [i for i, line in enumerate(plan) if "FileScan" in line and name in line]
+        depth = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))
+        for at in scans:  # nothing between a scan of the captures and the join or filter it feeds
+            above = []
+            level = depth(plan[at])
+            for line in reversed(plan[:at]):
+                if depth(line) < level:
+                    level = depth(line)
+                    above.append(line)
+                if "Join" in line and depth(line) == level:
+                    break
+            assert not any("Exchange" in line for line in above), above
+        assert scans and rows(made) == rows(extract_about(orgs, pages, fx.RUN_TS))
+        assert first.count() == pages.count()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+        spark.sql(f"drop table if exists {name}")
+
+
