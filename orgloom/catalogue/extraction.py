@@ -13,11 +13,12 @@ from orgloom.functions.values import or_missing
 from orgloom.operators import extract
 from orgloom.operators.nodes import node_table, with_nodes
 from orgloom.operators.order import dense_numbers
-from orgloom.plans.extraction import extract_about, extract_datasets, extract_facet, page_facts, write_datasets
+from orgloom.plans.extraction import extract_about, extract_datasets, extract_facet, page_facts, parsed_pages, write_datasets
 from orgloom.schemas import DATASETS
 from orgloom.session import work_dir
 from orgloom.sources.pages import as_pages, spread
 from orgloom.sources.records import read_records
+from orgloom.streaming.facts import collect_facts, stored_facts
 
 
 
@@ -27,12 +28,14 @@ def _real(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = frozenset({"a", "h1", "footer"})
-    nodes = node_table(with_nodes(_real(spark, sf_dir), SPEC, all_tags=True, text_tags=texts))
+    """All elements with all their text; its characters, sorted, tell texts of equal length apart."""
+    nodes = node_table(with_nodes(_real(spark, sf_dir), SPEC, all_tags=True, all_texts=True))
+    raw = F.array_sort(F.split(F.array_join(F.collect_list("text_raw"), ""), ""))
     return nodes.groupBy(F.col("requested_url").alias("url"), "tag").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.length("text_raw")).alias("raw_chars"),
         F.sum(F.length("text_stripped")).alias("stripped_chars"),
+        F.md5(F.array_join(raw, "")).alias("chars_md5"),
         F.sum(F.size(F.map_filter("attrs", lambda k, v: k == "href"))).alias("links"),
     )
 
@@ -147,6 +150,34 @@ def about_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_about(orgs, pages, fx.RUN_TS).drop("items", "items_missing")
 
 
+def source_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of pages that were captured without a source, or with one that can't be parsed."""
+    orgs = fx.organisations(spark, sf_dir).filter("k div 10 % 10 = 0")
+    key = F.regexp_extract("requested_url", r"/(?:company/|o)\d*(\d)[/?]", 1)
+    broken = F.when(key == "0", F.lit(None).cast("string")).when(key == "1", "<h1>x</h1><![no[").otherwise(F.col("html"))
+    records = extract_datasets(orgs, fx.captured_pages(spark, sf_dir).withColumn("html", broken), fx.RUN_TS)
+    kind = F.when(F.col("error").isin("no page source", "no h1 on page"), F.col("error")).when(F.col("error").isNotNull(), "other")
+    return records.select("dataset", "input_company_name", "outcome", kind.alias("error"), "items_missing")
+
+
+def extract_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five datasets from facts that were collected in two runs, each of which parsed what was new."""
+    orgs, pages = fx.organisations(spark, sf_dir), fx.captured_pages(spark, sf_dir)
+    landing, store, seen = (work_dir(spark, f"facts-{x}") for x in ("landing", "store", "checkpoint"))
+    first = F.col("captured_at") < F.lit("2024-05-01 00:00:40").cast("timestamp_ntz")
+    for part in (first, ~first):
+        pages.filter(part).write.mode("append").parquet(landing)
+        collect_facts(spark, landing, store, seen)
+    return _flat(extract_datasets(orgs, stored_facts(spark, store), fx.RUN_TS))
+
+
+def extract_from_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five datasets from a stored table of nodes."""
+    orgs, path = fx.organisations(spark, sf_dir), work_dir(spark, "nodes")
+    parsed_pages(fx.captured_pages(spark, sf_dir), SPEC).write.parquet(path)
+    return _flat(extract_datasets(orgs, spark.read.parquet(path), fx.RUN_TS))
+
+
 def record_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five datasets written by three appends, a third of the list each, and the order in which they are read."""
     orgs = fx.organisations(spark, sf_dir).withColumnRenamed("k", "position")
@@ -195,23 +226,6 @@ _TEXT = (
 )
 
 
-def _inner(tag: str) -> str:
-    return _TEXT.format(f"array_to_string(regexp_extract_all(html, '<{tag}[^>]*>([^<]*)</{tag}>', 1), '')")
-
-
-PAGE_NODES_SQL = f"""
-WITH tags AS (
-  SELECT url, html, unnest(regexp_extract_all(html, '<([a-z][a-z0-9]*)[ >]', 1)) AS tag FROM pages
-),
-counted AS (SELECT url, tag, any_value(html) AS html, count(*) AS n FROM tags GROUP BY url, tag),
-texts AS (
-  SELECT *, CASE tag WHEN 'a' THEN {_inner("a")} WHEN 'h1' THEN {_inner("h1")} WHEN 'footer' THEN {_inner("footer")} END AS text
-  FROM counted
-)
-SELECT url, tag, n, length(text)::BIGINT AS raw_chars, length(trim(text))::BIGINT AS stripped_chars,
-       CASE WHEN tag = 'a' THEN n ELSE 0 END AS links
-FROM texts"""
-
 # Every text node counts for all elements that are open around it. An end tag closes back
 # to its nearest open match; scripts and styles have no text.
 PAGE_TEXTS_SQL = f"""
@@ -248,6 +262,13 @@ chars AS (
 SELECT url, tag, n, coalesce(raw_chars, 0) AS raw_chars, coalesce(stripped_chars, 0) AS stripped_chars
 FROM (SELECT url, tag, count(*) AS n FROM tokens WHERE tag <> '' AND NOT closes GROUP BY url, tag) LEFT JOIN chars USING (url, tag)"""
 
+PAGE_NODES_SQL = PAGE_TEXTS_SQL.replace(
+    "  SELECT url, tag, sum(length(text))",
+    "  SELECT url, tag, md5(array_to_string(list_sort(string_split(string_agg(text, ''), '')), '')) AS chars_md5, sum(length(text))",
+).replace(
+    "AS stripped_chars\nFROM (", f"AS stripped_chars,\n  coalesce(chars_md5, md5('')) AS chars_md5, CASE WHEN tag = 'a' THEN n ELSE 0 END AS links\nFROM ("
+)
+
 VISITED = "FROM visits JOIN totals USING (k, name) WHERE captured"
 # an earlier capture of each page of these organisations has a heading and nothing else
 EARLIER = "FROM visits WHERE variant = 2"
@@ -368,6 +389,31 @@ UNION ALL SELECT target_url, false, false, false, 0, 0 {EARLIER}""",
     ),
     "about_extract": Query(about_extract, with_ctes(ORGS, BARS, PAGES, select=ABOUT_SQL)),
     **{f"{f}_{'kw' if k else 'all'}": _facet(f, k) for f, k in _PEOPLE},
+    "source_errors": Query(
+        source_errors,
+        with_ctes(
+            ORGS,
+            BARS,
+            PAGES,
+            select="""
+, listed AS (
+  SELECT dataset, page_kind, k, name FROM visits JOIN (VALUES ('about', 'about'), ('locations_kw', 'people_kw'),
+    ('locations_all', 'people'), ('roles_kw', 'people_kw'), ('roles_all', 'people')) d(dataset, page_kind) USING (page_kind)
+  WHERE variant = 0
+)
+SELECT dataset, name AS input_company_name,
+  CASE WHEN k % 10 = 1 AND dataset = 'about' THEN 'exception' WHEN k % 10 < 2 THEN 'not_loaded' ELSE 'ok' END AS outcome,
+  CASE WHEN dataset = 'about' THEN CASE k % 10 WHEN 0 THEN 'no page source' WHEN 1 THEN 'other' END END AS error,
+  CASE WHEN dataset <> 'about' THEN k % 10 < 2 END AS items_missing
+FROM listed
+UNION ALL
+SELECT dataset, NULL, 'placeholder', NULL, false FROM orgs
+CROSS JOIN (VALUES ('about'), ('locations_kw'), ('locations_all'), ('roles_kw'), ('roles_all')) d(dataset)
+WHERE url_status IN ('blank', 'invalid') AND k // 10 % 10 = 0""",
+        ),
+    ),
+    "extract_incremental": Query(extract_incremental, with_ctes(ORGS, BARS, PAGES, select=_ALL_RECORDS)),
+    "extract_from_nodes": Query(extract_from_nodes, with_ctes(ORGS, BARS, PAGES, select=_ALL_RECORDS)),
     "record_positions": Query(
         record_positions,
         with_ctes(
