@@ -13,6 +13,8 @@ from orgloom.functions.values import default_time, or_missing
 from orgloom.operators.extract import has_unlabelled_bar
 from orgloom.schemas import HEADING_COLUMNS, MISSING, Dataset, ExtractionSpec
 
+#: What may become of an organisation's page in a dataset.
+OUTCOMES = ("ok", "no_bars", "unavailable", "not_loaded", "exception", "placeholder")
 NOT_CAPTURED = "page not captured"
 NO_SOURCE = "no page source"
 NO_HEADING = "no h1 on page"

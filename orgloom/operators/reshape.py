@@ -14,6 +14,8 @@ from orgloom.schemas import MISSING
 
 log = logging.getLogger(__name__)
 
+#: What is added to a label that is named like a base column.
+RENAMED = " (role)"
 #: Labels up to which a wide table is made; its columns are names in the plan and on the driver.
 MAX_COLUMNS = 50_000
 ITEMS_TYPE = "array<struct<label:string,count:string>>"
@@ -187,7 +189,7 @@ def free_names(names: Sequence[str], taken: Sequence[str]) -> dict[str, str]:
     for name in names:
         column = name
         while column in used or (column != name and column in labels):
-            column += " (role)"
+            column += RENAMED
         used.add(column)
         result[name] = column
     return result

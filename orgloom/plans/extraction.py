@@ -17,6 +17,7 @@ from orgloom.operators.nodes import with_nodes
 from orgloom.operators.order import in_order
 from orgloom.schemas import COMMON_KEYS, DATASETS, HEADING_COLUMNS, Dataset, ExtractionSpec
 from orgloom.session import work_dir
+from orgloom.sinks.figures import Places, counted
 from orgloom.sinks.tables import write_records
 
 
@@ -185,8 +186,8 @@ def as_json_records(records: DataFrame, dataset: Dataset) -> DataFrame:
     return mine.select(*common, F.col("members").alias(dataset.members_key), listed.alias(dataset.list_key))
 
 
-def write_datasets(records: DataFrame, out_dir: str, append: bool = False) -> dict[str, str]:
-    """Write the five JSON datasets and return their folders.
+def write_datasets(records: DataFrame, out_dir: str, append: bool = False) -> Places:
+    """Write the five JSON datasets and return their folders, with the numbers of records, errors and outcomes.
 
     The records are computed once into a table in the shared work folder, so pages
     are not parsed again for each dataset. If they have a ``position``, each dataset is
@@ -194,9 +195,11 @@ def write_datasets(records: DataFrame, out_dir: str, append: bool = False) -> di
     """
     spark = records.sparkSession
     stage = work_dir(spark, "records")
-    records.write.partitionBy("dataset").parquet(stage)
+    counts = {outcome: F.col("outcome") == outcome for outcome in outcomes.OUTCOMES}
+    errors = {"errors": F.col("error").isNotNull(), "without_source": F.col("error").eqNullSafe(outcomes.NO_SOURCE)}
+    found = counted(records, lambda df: df.write.partitionBy("dataset").parquet(stage), **errors, **counts)
     stored = spark.read.schema(records.schema).parquet(stage)
-    places = {}
+    places = Places(figures={"records": found.pop("rows"), **found})
     for name, dataset in DATASETS.items():
         places[name] = os.path.join(out_dir, dataset.file_name)
         mine = stored.filter(F.col("dataset") == name)

@@ -21,6 +21,7 @@ from orgloom.operators import reshape
 from orgloom.operators.order import in_order, written_place
 from orgloom.plans import tables
 from orgloom.schemas import DATASETS, Dataset
+from orgloom.sinks.figures import Places, counted
 from orgloom.sinks.publish import STAMP, publication, published
 from orgloom.sinks.tables import write_csv
 from orgloom.sources.records import read_optional
@@ -49,26 +50,28 @@ def append_records(
     layout: str = "lines",
     mode: str = "FAILFAST",
     replace: bool = False,
-) -> str:
-    """Store the five datasets below ``records_dir`` as one append and return its folder.
+) -> Places:
+    """Store the five datasets below ``records_dir`` as one append; return its folder, with the rows of each table.
 
     With ``replace`` the append takes the place of all earlier ones. A dataset that is not
     there is stored as an empty one. Rows stand in the order of the records.
     """
     with publication(spark, store, replace) as folder:
+        places = Places({"append": folder})
         for dataset in DATASETS.values():
             records = read_optional(
                 spark, posixpath.join(records_dir, dataset.file_name), dataset, layout, with_order=True, mode=mode
             )
             rows = posixpath.join(folder, dataset.table_name)
-            in_order(native_records(records, dataset, run_ts), "record_order").drop("record_order").write.parquet(rows)
+            ordered = in_order(native_records(records, dataset, run_ts), "record_order").drop("record_order")
+            places.figures[dataset.table_name] = counted(ordered, lambda df, rows=rows: df.write.parquet(rows))["rows"]
             if dataset.facet == "roles":
                 found = first_places(spark.read.schema(native_schema(dataset)).parquet(rows))
                 if not replace:
                     known = labels(spark, store, dataset).select("label")
                     found = found.join(known, "label", "left_anti")
                 found.coalesce(1).write.parquet(posixpath.join(folder, _labels_of(dataset)))  # labels are few and narrow
-    return folder
+    return places
 
 
 def first_places(stored: DataFrame) -> DataFrame:
@@ -124,14 +127,15 @@ def stored_table(
     return tables.long_table(records, dataset, "", fallback_members)
 
 
-def export_tables(spark: SparkSession, store: str, out_dir: str, roles_form: str = "wide", **options: bool) -> dict[str, str]:
+def export_tables(spark: SparkSession, store: str, out_dir: str, roles_form: str = "wide", **options: bool) -> Places:
     """Write the five tables as CSV and return their folders; an earlier export stays until the new one is whole."""
     if roles_form not in ("wide", "long"):
         raise ValueError(f"roles_form is wide or long, not {roles_form!r}")
-    places = {}
+    places = Places(figures={"renamed_roles": 0})
     for dataset in DATASETS.values():
         table = stored_table(spark, store, dataset, roles_form, **options)
         with publication(spark, posixpath.join(out_dir, f"{dataset.table_name}.csv"), replace=True) as folder:
             write_csv(table, folder)
+        places.figures["renamed_roles"] += sum(c.endswith(reshape.RENAMED) for c in table.columns)
         places[dataset.table_name] = folder
     return places

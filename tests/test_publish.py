@@ -6,10 +6,13 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from orgloom.catalogue import inputs as fx
 from orgloom.operators import reshape
 from orgloom.operators.order import dense_numbers, file_place, in_order
 from orgloom.plans import tables
-from orgloom.plans.jobs import run_extraction
+from orgloom.operators.outcomes import OUTCOMES
+from orgloom.plans.extraction import extract_datasets
+from orgloom.plans.jobs import run_conversion, run_extraction
 from orgloom.schemas import DATASETS
 from orgloom.sinks.publish import MARK, publication, published
 from orgloom.sinks.tables import newest_version, write_csv, write_records
@@ -146,3 +149,18 @@ def test_marks_are_no_data(spark, tmp_path):
     write_records(roles(spark, "a"), path)
     (folder,) = published(spark, path).appends
     assert os.path.exists(f"{folder}/{MARK}") and read_records(spark, path, ROLES).count() == 1
+
+
+def test_jobs_return_what_they_counted(spark, sf_dir, tmp_path):
+    listed, captured, out = (str(tmp_path / x) for x in ("list.csv", "pages", "out"))
+    orgs = fx.organisations(spark, sf_dir).select(F.col("name").alias("Name"), F.col("profile_url").alias("LinkedIn"))
+    write_csv(orgs, listed)
+    fx.captured_pages(spark, sf_dir).write.parquet(captured)
+    places = run_extraction(spark, listed, captured, out, fx.RUN_TS)
+    rows = extract_datasets(fx.organisations(spark, sf_dir), fx.captured_pages(spark, sf_dir), fx.RUN_TS).collect()
+    assert places.figures["records"] == len(rows) and places.figures["errors"] == sum(r.error is not None for r in rows)
+    for outcome in OUTCOMES:
+        assert places.figures[outcome] == sum(r.outcome == outcome for r in rows)
+    assert places.figures["rejects"] == orgs.filter("LinkedIn is null").count() and places.figures["without_source"] == 0
+    tables = run_conversion(spark, out, str(tmp_path / "tables"), fx.RUN_TS)
+    assert tables.figures == {"renamed_roles": 0, **{d.table_name: sum(r.dataset == n for r in rows) for n, d in DATASETS.items()}}
