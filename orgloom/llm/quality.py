@@ -1,14 +1,14 @@
 """Quality classifier: supervised subword embeddings.
 
-Every token stands for its own vector and those of its character n-grams, all taken by
-hash from one table of learned vectors; a document is the mean of all of these, and a
-softmax layer over it gives the label. Vectors and layer are trained by stochastic
-gradient descent in numpy on at most ``SAMPLE`` labelled rows, those whose id hashes
-lowest, with their whole texts. Scoring is linear in the vectors, so each token's share
-of the outcome is worked out once and kept.
+Every token stands for its own vector and those of its character n-grams, every two
+adjacent tokens for one of their own, all taken by hash from one table of learned vectors;
+a document is the mean of all of these, and a softmax layer over it gives the label.
+Vectors and layer are trained by stochastic gradient descent in numpy on at most
+``SAMPLE`` labelled rows, those whose id hashes lowest, with their whole texts. Scoring is
+linear in the vectors, so each token's share of the outcome is worked out once and kept.
 
-Adjacent tokens enter as a pair when they are the same token, so that runs of a repeated
-word are seen whatever the word is.
+Two adjacent tokens that are the same also have a vector common to all such pairs, so
+that runs of a repeated word are seen whatever the word is.
 
 Defined results: a null or empty text has the end mark as its only feature and gets the
 score that this alone has; without any labelled row, or with one label only, the vectors
@@ -44,6 +44,7 @@ CACHE = 300_000
 CACHED_LENGTH = 48
 
 _MASK = BUCKETS - 1
+_PAIR = np.uint64(0x9E3779B97F4A7C15)
 END = crc32(b"\x00end") & _MASK
 AGAIN = crc32(b"\x00again") & _MASK
 
@@ -58,6 +59,12 @@ def buckets(token: bytes) -> list[int]:
     ]
 
 
+def pairs(hashes: np.ndarray) -> np.ndarray:
+    """Places of the pairs of adjacent tokens, from the tokens' hashes."""
+    mixed = (hashes[:-1] * _PAIR) ^ hashes[1:]
+    return ((mixed * _PAIR) >> np.uint64(24)).astype(np.int64) & _MASK
+
+
 def document_features(text: str | None, cache: dict[bytes, list[int]]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct places of a document's features and their shares, which add up to 1."""
     tokens = text.encode().split() if text else []
@@ -71,6 +78,8 @@ def document_features(text: str | None, cache: dict[bytes, list[int]]) -> tuple[
         places += found
     repeats = sum(a == b for a, b in zip(tokens, tokens[1:], strict=False))
     counts = np.bincount(np.array(places, np.int64), minlength=BUCKETS)
+    if len(tokens) > 1:
+        counts += np.bincount(pairs(np.array([crc32(t) for t in tokens], np.uint64)), minlength=BUCKETS)
     counts[AGAIN] += repeats * 8  # a pair weighs about as much as a token with its n-grams
     ids = counts.nonzero()[0]
     return ids.astype(np.int32), (counts[ids] / counts.sum()).astype(np.float32)
@@ -84,23 +93,27 @@ class Model:
     bias: float
 
     def scorer(self):
-        pull, bias, cache = self.pull.tolist(), self.bias, {}
+        table, pull, bias, cache = self.pull, self.pull.tolist(), self.bias, {}
         end, again = pull[END], pull[AGAIN]
 
         def score(text: str | None) -> float:
             tokens = text.encode().split() if text else []
-            total, n = end, 1
+            total, n, hashes = end, 1, []
             for token in tokens:
                 found = cache.get(token)
                 if found is None:
                     places = buckets(token)
-                    found = (sum([pull[i] for i in places]), len(places))
+                    found = (sum([pull[i] for i in places]), len(places), crc32(token))
                     if len(token) <= CACHED_LENGTH:
                         if len(cache) >= CACHE:
                             cache.clear()
                         cache[token] = found
                 total += found[0]
                 n += found[1]
+                hashes.append(found[2])
+            if len(hashes) > 1:
+                total += float(table[pairs(np.array(hashes, np.uint64))].sum(dtype=np.float64))
+                n += len(hashes) - 1
             repeats = 8 * sum(a == b for a, b in zip(tokens, tokens[1:], strict=False))
             x = bias + (total + again * repeats) / (n + repeats)
             return 1 / (1 + math.exp(-x)) if x > -700 else 0.0
