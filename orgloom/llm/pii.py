@@ -118,20 +118,41 @@ _LOOSE = {
 _NEEDED = {"email": re.compile(r"\bat\b[\])]? ?[A-Za-z0-9-]+(?:\.| ?[\[(]? ?dot)", re.IGNORECASE)}
 
 # The gazetteers and the cue words.
-TOP_DOMAINS = frozenset("com org net edu gov info de fr es uk eu io".split())
-CARD_PREFIXES = ("4", "51", "52", "53", "54", "55", "34", "37", "6011", "65")
+TOP_DOMAINS = frozenset(
+    "com org net edu gov mil int info biz name pro io co me tv app dev ai xyz online site shop eu us uk ca au nz ie de at ch fr be nl "
+    "lu es pt it gr se no dk fi is pl cz sk hu ro bg hr si ee lv lt ua ru tr il za in cn jp kr tw hk sg br mx ar cl".split()
+)
+#: First and last prefix of the numbers that card networks issue, and the lengths of these numbers.
+CARD_ISSUERS = (
+    (300, 305, (14,)), (3528, 3589, (16,)), (34, 34, (15,)), (36, 36, (14,)), (37, 38, (14, 15)), (4, 4, (13, 16, 19)), (50, 50, (16, 19)),
+    (51, 55, (16,)), (56, 58, (16, 19)), (60, 60, (16,)), (62, 62, (16, 17, 18, 19)), (644, 659, (16,)), (2221, 2720, (16,)),
+)
 CUES = {
-    "email": frozenset("email e-mail mail contact write reach address courriel correo".split()),
-    "phone": frozenset("phone tel telephone call mobile fax cell whatsapp telefon téléphone teléfono".split()),
-    "ip": frozenset("ip address host server adresse dirección".split()),
-    "card": frozenset("card credit visa mastercard amex payment carte karte tarjeta".split()),
+    "email": frozenset(
+        "email e-mail emails mail mailto contact contacts write reach address inbox courriel correo kontakt contacto adresse schreiben écrire".split()
+    ),
+    "phone": frozenset(
+        "phone phones tel telephone call calls dial ring mobile fax cell text sms whatsapp hotline number telefon handy anrufen rufen "
+        "téléphone portable appelez appeler teléfono móvil llamar llame".split()
+    ),
+    "ip": frozenset("ip ipv4 address addresses host server gateway router dns ping adresse dirección".split()),
+    "card": frozenset(
+        "card cards credit debit visa mastercard amex discover payment pay billing charge carte karte kreditkarte tarjeta crédito".split()
+    ),
 }
-DENIALS = frozenset("order invoice isbn serial version id no number ref page item sku part".split())
+DENIALS = frozenset(
+    "order orders invoice isbn issn serial version build id ids no nr ref reference page pages item items sku part parts tracking ticket case "
+    "account chapter figure table bestellung rechnung commande facture pedido factura".split()
+)
 _BEFORE = re.compile(r"[^\W\d_][\w-]*")
 
 
 def votes(kind: str, text: str, start: int, end: int) -> tuple[int, ...]:
-    """What the labelers say: 1 yes, -1 no, 0 nothing. Shape, gazetteer, cue, denial, surroundings."""
+    """What the labelers say: 1 yes, -1 no, 0 nothing.
+
+    Shape, gazetteer, cue before, denial before, surroundings, cue behind, variety of the
+    digits, and whether an address or a number with a country code stands near.
+    """
     span = text[start:end]
     digits = digits_of(span)
     words = [w.lower() for w in _BEFORE.findall(text[max(0, start - 40) : start])][-3:]
@@ -143,19 +164,33 @@ def votes(kind: str, text: str, start: int, end: int) -> tuple[int, ...]:
             shape = 1
     elif kind == "phone":
         shape = 1 if span[0] in "(+" or span.count("-") == 2 else 0
-        local = digits[-10:]
-        listed = -1 if local[0] in "01" or local[3] in "01" else 1
+        listed = 1 if dialled(digits[-10:]) else -1
     elif kind == "ip":
         shape = 1
         listed = -1 if digits[0] == "0" else 1
     else:
         shape = 1 if luhn(digits) else -1
-        listed = 1 if digits.startswith(CARD_PREFIXES) else -1
+        listed = 1 if issued(digits) else -1
     cue = 1 if any(w in CUES[kind] for w in words) else 0
     denial = -1 if any(w in DENIALS for w in words) else 0
     near = text[max(0, start - 2) : start] + text[end : end + 2]
     surroundings = -1 if any(c.isdigit() or c in "$%#=/" for c in near) else 0
-    return shape, listed, cue, denial, surroundings
+    behind = [w.lower() for w in _BEFORE.findall(text[end : end + 30])][:2]
+    follows = 1 if any(w in CUES[kind] for w in behind) else 0
+    varied = 0 if kind in ("email", "ip") else -1 if len(set(digits)) < 3 else 1 if len(set(digits)) > 4 else 0
+    beside = text[max(0, start - 80) : start] + " " + text[end : end + 80]
+    company = 1 if _DOMAIN.search(beside) or _PHONE.search(beside) else 0
+    return shape, listed, cue, denial, surroundings, follows, varied, company
+
+
+def dialled(local: str) -> bool:
+    """Whether ten digits may be an area code, an exchange and a line of the North American plan."""
+    return len(local) == 10 and local[0] > "1" and local[1] < "9" and local[3] > "1" and "11" not in (local[1:3], local[4:6])
+
+
+def issued(digits: str) -> bool:
+    """Whether some card network issues numbers of this beginning and length."""
+    return any(len(digits) in sizes and low <= int(digits[: len(str(low))]) <= high for low, high, sizes in CARD_ISSUERS)
 
 
 def features(kind: str, text: str, start: int, end: int) -> tuple[int, ...]:

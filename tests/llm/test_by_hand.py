@@ -270,3 +270,10 @@ def test_stage_mix(stages):
     rows = [(r.doc_id, r.text, r.source) for r in given.collect()]
     assert Counter(ids(made)) == copies_by_hand(rows, mixing.SEED)
     assert {r.doc_id: r.text for r in made.collect()}.items() <= dict((d, t) for d, t, _ in rows).items()
+
+
+def test_gazetteers():
+    assert all(pii.issued(x) for x in ("4111111111111111", "371449635398431", "5555555555554444", "2223003122003222", "30569309025904", "6011111111111117"))
+    assert not any(pii.issued(x) for x in ("1111111111111111", "411111111111111", "272099312200322", "9999999999999999"))
+    assert pii.dialled("2125551234") and not any(map(pii.dialled, ("1125551234", "2115551234", "2121551234", "2129111234", "2925551234", "212555")))
+    assert len(pii.votes("phone", "call (212) 555-7788 now", 5, 19)) == 8
