@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orgloom.functions.values import optional_column
 from orgloom.operators.order import dense_numbers, file_place
 from orgloom.schemas import NA_TOKENS, NAME_COLUMN, URL_COLUMN
 from orgloom.session import work_dir
+from orgloom.sources.framing import framed, pieces
+
+
+PLACE = ("file", "block", "row")
 
 
 def na_to_null(value: Column) -> Column:
@@ -26,24 +31,54 @@ def has_multiline_cells(spark: SparkSession, path: str) -> bool:
     return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
 
 
+def _wide(encoding: str) -> bool:
+    return encoding.upper().startswith(("UTF-16", "UTF-32"))
+
+
+def _reader(spark: SparkSession, encoding: str) -> DataFrameReader:
+    return spark.read.option("header", True).option("encoding", encoding).option("escape", '"')
+
+
 def read_csv_text(
     spark: SparkSession, path: str, encoding: str = "UTF-8", multiline: bool | None = None
 ) -> DataFrame:
     """A CSV dataset with header, every column as text.
 
-    ``multiline=None`` looks for cells that span lines first, because Spark can
-    split a file among tasks only without them.
+    Spark's reader can split a file among tasks only if no cell spans lines.
+    ``multiline=None`` looks for such cells first, and joins the lines of their records
+    itself, many tasks to a file; ``True`` reads each file in one task, as encodings of
+    several bytes a character have to be.
     """
+    reader = _reader(spark, encoding)
     if multiline is None:
-        wide_characters = encoding.upper().startswith(("UTF-16", "UTF-32"))
-        multiline = wide_characters or has_multiline_cells(spark, path)
-    return (
-        spark.read.option("header", True)
-        .option("encoding", encoding)
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .csv(path)
-    )
+        if _wide(encoding):
+            multiline = True
+        elif has_multiline_cells(spark, path):
+            return _joined_lines(spark, path, encoding, reader.option("multiLine", True).csv(path).schema)
+    return reader.option("multiLine", bool(multiline)).csv(path)
+
+
+def _joined_lines(spark: SparkSession, path: str, encoding: str, schema: T.StructType, with_place: bool = False) -> DataFrame:
+    """The rows of files whose cells may span lines; the first record of each is its header.
+
+    ``with_place`` gives the cells as one column, and file, block and row beside it.
+    """
+    records = framed(pieces(spark, path, "csv"), "csv")
+    line = F.regexp_replace(F.decode("record", encoding), r"\r?\n\z", "")
+    filled = records.select("file", "block", "row", line.alias("line")).filter(F.length("line") > 0)
+    place = F.struct("block", "row")
+    headers = filled.groupBy("file").agg(F.min(place).alias("header"))  # one row for each file
+    rows = filled.join(F.broadcast(headers), "file").filter(place != F.col("header"))
+    cells = F.from_csv("line", _ddl(schema), {"escape": '"'}).alias("cells")
+    return rows.select(cells, *PLACE) if with_place else rows.select(cells).select("cells.*")
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"{_quoted(name)} string" for name in schema.names)
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def read_org_list(
@@ -75,9 +110,18 @@ def stored_org_list(
     The CSV is read once, into a table in the shared work folder; whoever needs the list
     several times reads that. Files of a folder count in the order of their names.
     """
-    cells = read_csv_text(spark, path, encoding, multiline)
     copy = work_dir(spark, "organisations")
-    cells.select(*_cells(cells, name_column, url_column), *file_place()).write.parquet(copy)
+    if multiline is None and not _wide(encoding) and has_multiline_cells(spark, path):
+        schema = _reader(spark, encoding).option("multiLine", True).csv(path).schema
+        rows = _joined_lines(spark, path, encoding, schema, with_place=True)
+        cells = rows.select("cells.*", *(F.col(c).alias(f"{c} of the record") for c in PLACE))
+        wanted = cells.select(*_cells(cells, name_column, url_column), *(F.col(f"`{c} of the record`").alias(c) for c in PLACE))
+        # numbers of records leave out those of the lines inside: rank them in their block
+        rank = F.row_number().over(Window.partitionBy("file", "block").orderBy("row"))
+        wanted.withColumn("row", rank.cast("bigint")).write.parquet(copy)
+    else:
+        cells = read_csv_text(spark, path, encoding, bool(multiline) or _wide(encoding))
+        cells.select(*_cells(cells, name_column, url_column), *file_place()).write.parquet(copy)
     return dense_numbers(spark.read.parquet(copy), ["file", "block"])
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from orgloom.schemas import Dataset
 from orgloom.sinks.publish import STAMP, published
+from orgloom.sources.framing import framed, pieces
 
 # End of one top-level record in an array written with an indent of four, whatever the
 # line ends are. Line ends inside JSON texts are escaped and deeper levels are indented
@@ -34,8 +35,8 @@ def read_records(
     """Records of one dataset under their JSON keys, the list field as variant.
 
     ``layout`` is ``lines`` (one record per line), ``indented`` (one array, indent
-    four; split at record ends, so a large file is shared among tasks) or ``array``
-    (one array in any other shape; a file is one task, so convert large ones first).
+    four; split at record ends) or ``array`` (one array in any shape; split at braces,
+    whose meaning is worked out first). In all of them many tasks share a large file.
     ``with_order`` adds ``record_order``, which sorts like the records in the files, and
     those of an earlier append before those of a later one.
     Broken JSON stops the job, as it would any JSON reader; ``mode="PERMISSIVE"``
@@ -49,7 +50,7 @@ def read_records(
     if layout == "lines":
         rows = reader.schema(schema).json(paths)
     elif layout == "array":
-        rows = reader.schema(schema).option("multiLine", True).json(paths)
+        return _without_nan(_parse_array(framed(pieces(spark, paths, "json"), "json"), schema, mode, with_order))
     elif layout == "indented":
         rows = spark.read.option("recursiveFileLookup", True).option("lineSep", INDENTED_RECORD_END).text(paths)
     else:
@@ -68,6 +69,10 @@ def read_records(
     rows = rows.select("*", *order)
     if layout == "indented":
         rows = _parse_indented(rows, schema, mode)
+    return _without_nan(rows)
+
+
+def _without_nan(rows: DataFrame) -> DataFrame:
     return rows.select(
         *(
             F.when(~F.col(f"`{c}`").isin(*NAN_TEXTS), F.col(f"`{c}`")).alias(c)
@@ -78,6 +83,20 @@ def read_records(
     )
 
 
+def _parse_array(found: DataFrame, schema: T.StructType, mode: str, with_order: bool) -> DataFrame:
+    """Records of arrays in any shape, from what stands up to the end of each."""
+    text = F.decode("record", "UTF-8")
+    body = F.regexp_replace(text, r"\A\x{FEFF}?[\s,\[]*", "")  # what stands before a record
+    order = F.struct(
+        F.regexp_extract("file", STAMP, 1).alias("append"),
+        F.regexp_extract("file", r"/part-(\d+)[^/]*$", 1).try_cast("bigint").alias("part"),
+        "file", "block", "row", F.lit(0).alias("pos"),
+    )
+    kept = found.select(body.alias("body"), order.alias("record_order")).filter(~F.col("body").rlike(r"\A[\s\]]*\}?\z"))
+    parsed = kept.select(F.inline(F.array(F.from_json("body", schema, {"mode": mode}))), "record_order")
+    return parsed if with_order else parsed.drop("record_order")
+
+
 def _parse_indented(chunks: DataFrame, schema: T.StructType, mode: str) -> DataFrame:
     """Records of the chunks between record ends.
 
