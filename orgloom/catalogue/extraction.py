@@ -14,8 +14,10 @@ from orgloom.operators import extract
 from orgloom.operators.nodes import node_table, with_nodes
 from orgloom.operators.order import dense_numbers
 from orgloom.plans.extraction import extract_about, extract_datasets, extract_facet, page_facts, parsed_pages, write_datasets
-from orgloom.schemas import DATASETS
+from orgloom.plans.jobs import run_extraction
+from orgloom.schemas import DATASETS, NAME_COLUMN, URL_COLUMN
 from orgloom.session import work_dir
+from orgloom.sinks.tables import write_csv
 from orgloom.sources.pages import as_pages, spread
 from orgloom.sources.records import read_records
 from orgloom.streaming.facts import collect_facts, stored_facts
@@ -150,6 +152,38 @@ def about_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_about(orgs, pages, fx.RUN_TS).drop("items", "items_missing")
 
 
+def _shown(key: str):
+    return lambda entry: F.concat(entry[key], F.lit("="), entry["Count"])
+
+
+def extraction_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole extraction job from a CSV list, and its five JSON datasets as they are read back."""
+    listed, captured, out = (work_dir(spark, f"extraction-{x}") for x in ("list", "pages", "out"))
+    orgs = fx.organisations(spark, sf_dir).select(F.col("name").alias(NAME_COLUMN), F.col("profile_url").alias(URL_COLUMN))
+    write_csv(orgs, listed)
+    fx.captured_pages(spark, sf_dir).write.parquet(captured)
+    places = run_extraction(spark, listed, captured, out, fx.RUN_TS)
+    parts = []
+    for name, d in DATASETS.items():
+        rows = read_records(spark, places[name], d)
+        no_list = F.lit(False), F.lit(None).cast("string")
+        if d.facet:
+            entries = F.try_variant_get(F.col(d.list_key), "$", f"array<struct<Count:string,{d.label_key}:string>>")
+            shown = F.transform(entries, _shown(d.label_key))
+            is_text = F.coalesce(F.schema_of_variant(F.col(d.list_key)) == "STRING", F.lit(False))
+            no_list = is_text, F.array_join(shown, "|")
+        members = F.col(f"`{d.members_key or 'No. of associated members'}`")
+        parts.append(
+            rows.select(
+                F.lit(name).alias("dataset"), "input_company_name", F.col("Company Name").alias("company_name"),
+                F.col("LinkedIn URL").alias("profile_url"), F.col("Time Stamp").alias("time_stamp"),
+                F.col("Redirected to URL").alias("redirected_url"), members.alias("members"),
+                no_list[0].alias("list_is_text"), no_list[1].alias("listed"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def source_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of pages that were captured without a source, or with one that can't be parsed."""
     orgs = fx.organisations(spark, sf_dir).filter("k div 10 % 10 = 0")
@@ -389,6 +423,18 @@ UNION ALL SELECT target_url, false, false, false, 0, 0 {EARLIER}""",
     ),
     "about_extract": Query(about_extract, with_ctes(ORGS, BARS, PAGES, select=ABOUT_SQL)),
     **{f"{f}_{'kw' if k else 'all'}": _facet(f, k) for f, k in _PEOPLE},
+    "extraction_written": Query(
+        extraction_written,
+        with_ctes(
+            ORGS,
+            BARS,
+            PAGES,
+            select=f"""
+SELECT dataset, input_company_name, company_name, profile_url, time_stamp, redirected_url, members,
+       coalesce(items_missing, false) AS list_is_text, listed
+FROM ({_ALL_RECORDS})""",
+        ),
+    ),
     "source_errors": Query(
         source_errors,
         with_ctes(
