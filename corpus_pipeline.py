@@ -1,8 +1,9 @@
 """From raw documents to a training mix, in five stages over the operators of ``orgloom.llm``.
 
 Each stage takes what its predecessor kept and returns it as a table of documents; its
-result is written as Parquet and read again before the next. All columns of documents
-pass through every stage.
+result is written as Parquet and read again before the next. All columns of documents,
+whatever their names, pass through every stage; ``mix`` adds its own and replaces such
+of the same names. Empty tables give empty ones.
 
 * ``quality`` drops documents that the classifier, learned outside the held-out fold,
   predicts to be bad.

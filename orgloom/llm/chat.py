@@ -18,7 +18,8 @@ one more if they have some already; reading back takes one away. All other text
 
 Defined results: null text and null role read as empty; turns with equal numbers go by
 role and text, null turns first; repeated rows are turns of their own; a null conv_id is
-one conversation; roles of any other name keep it; an empty table gives no rows.
+one conversation; roles of any other name keep it; an empty table gives no rows; other
+columns are not looked at.
 """
 
 from __future__ import annotations

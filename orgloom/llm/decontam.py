@@ -19,7 +19,8 @@ Defined results: words are runs of letters, digits and non-ASCII characters with
 lower-cased; a null or wordless text has no words, hits or items; an item without words
 is never found; a null item_id counts for hits and not as an item; rows with one doc_id
 and different texts are looked up apart, equal rows give equal results; extra columns
-are ignored.
+are ignored, and pass through ``clean`` whatever their names; empty tables give no rows,
+or no hits.
 """
 
 from __future__ import annotations

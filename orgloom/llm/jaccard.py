@@ -30,8 +30,9 @@ that many others meet are split by salt. The broadcast of candidates is bounded
 Defined results: words are divided by white space and A-Z lower-cased; a document of
 fewer words than a shingle has its whole sequence as the only shingle; one without words,
 or null, has none and is linked with nothing; repeated rows are members of one class; a
-missing doc_id is never a component's id unless no member has one. Sets are told apart by
-64-bit hashes of shingles and of whole sets.
+missing doc_id is never a component's id unless no member has one; an empty table gives
+no rows; ``near_duplicates`` looks at id and text only, ``one_of_each`` passes columns of
+any names on. Sets are told apart by 64-bit hashes of shingles and of whole sets.
 """
 
 from __future__ import annotations

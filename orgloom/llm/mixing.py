@@ -6,8 +6,8 @@ fraction. The draw comes from a hash of the seed and the document, so reruns agr
 
 Defined results: a null text has size 0; a null source is a source of its own, placed
 last; a source without words has target 0 and rate 0; rows with the same id draw alike
-(missing ids too); columns of ``docs`` named like those added here are replaced; an
-empty table gives an empty mix.
+(missing ids too); columns of ``docs`` named like those added here are replaced, all
+others pass through; an empty table gives an empty mix.
 """
 
 from __future__ import annotations

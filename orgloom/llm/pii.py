@@ -16,7 +16,8 @@ and cue words in the context. Each labeler says yes, no or nothing.
 
 Positions are code points, ends exclusive. Defined results: a null or empty text has no
 spans; equal texts have equal spans; without candidates nothing is learned and base
-spans alone are returned; all columns but ``text`` pass through unchanged.
+spans alone are returned; ``find`` returns the id and the spans; ``redacted`` passes all
+columns on, ``text`` and ``n_chars`` changed where a span was; an empty table gives no rows.
 
 The scanners walk each text once: every alternative is anchored where its run of
 characters begins, so that a very long run costs time in proportion to its length.

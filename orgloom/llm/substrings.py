@@ -20,7 +20,8 @@ own aggregation, which spills, finds their smallest documents; nothing is left o
 Words and strings are compared as they are, windows by 128 bits of two rolling hashes.
 Defined results: a null or empty text has no words and loses none; texts shorter than a
 window keep all; windows repeated only within one document stay; rows with one doc_id
-never remove each other's words; a missing doc_id counts as larger than all others.
+never remove each other's words; a missing doc_id counts as larger than all others; an
+empty table gives no rows; columns besides id and text are not looked at.
 """
 
 from __future__ import annotations

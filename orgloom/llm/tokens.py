@@ -13,7 +13,8 @@ without them, a word that can't be cut into pieces counts as one unknown token.
 
 The automaton's size depends on the vocabulary alone, so it is broadcast. Defined
 results: null and empty texts have no words and no tokens; words are divided by white
-space; equal texts have equal counts; all columns but ``text`` pass through.
+space; equal texts have equal counts; all columns but ``text`` pass through, those named
+like the counts are replaced by them; an empty table gives no rows.
 """
 
 from __future__ import annotations
