@@ -20,7 +20,8 @@ own aggregation, which spills, finds their smallest documents; nothing is left o
 Words and strings are compared as they are, windows by 128 bits of two rolling hashes.
 Defined results: a null or empty text has no words and loses none; texts shorter than a
 window keep all; windows repeated only within one document stay; rows with one doc_id
-never remove each other's words; a missing doc_id counts as larger than all others; an
+never remove each other's words; a missing doc_id counts as larger than all others;
+windows, and strings of hot minimisers, are told apart by hashes of 128 and 64 bits; an
 empty table gives no rows; columns besides id and text are not looked at.
 """
 
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from orgloom.llm.common import arrow_schema, as_batches, map_batches, n_partitions, split_words, staged, table
+from orgloom.llm.common import arrow_schema, as_batches, map_batches, n_partitions, small, split_words, staged, table
 from orgloom.llm.hashing import WordHashes, rolling_hashes, sequence_hashes, signed
 
 SPAN = 50
@@ -45,6 +46,8 @@ HELD = 50_000
 #: Bits of the table of repeated minimisers (16 MB), and rows of output that a task gathers.
 TABLE_BITS = 1 << 27
 ROWS = 20_000
+#: Documents of a minimiser up to which it may be one task's work, however many tasks there are.
+HOT = 1_000
 LAST = (1 << 63) - 1
 
 
@@ -104,12 +107,23 @@ def minimisers(docs: DataFrame, span: int = SPAN) -> DataFrame:
     return map_batches(docs.select("doc", "text"), make, "mini long, doc long")
 
 
-def repeated_table(minis: DataFrame, bits: int = TABLE_BITS) -> np.ndarray:
-    """Bits, by minimiser modulo ``bits``, of the minimisers that occur in several documents.
+def repeated(minis: DataFrame) -> DataFrame:
+    """mini and n (documents, or more) of the minimisers that occur in several documents."""
+    sums = minis.groupBy("mini").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count("*").alias("n"))
+    return staged(sums.filter("low != high").select("mini", "n"), "minimisers")
+
+
+def hot_minimisers(several: DataFrame, least: int = HOT) -> DataFrame:
+    """Minimisers with more than a quarter of what a task has on average: four for each task at most."""
+    total = several.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return several.filter(F.col("n") > max(least, total // (4 * n_partitions(several)))).select("mini")
+
+
+def repeated_table(several: DataFrame, bits: int = TABLE_BITS) -> np.ndarray:
+    """Bits, by minimiser modulo ``bits``, of these minimisers.
 
     Spark gathers the bits into words; at most ``bits / 64`` words reach the driver.
     """
-    several = minis.groupBy("mini").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low != high")
     place = F.pmod("mini", F.lit(bits))
     words = several.select(
         F.shiftright(place, 6).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(mini, {bits}L) % 64 as int))").alias("bit")
@@ -124,7 +138,7 @@ def packed(docs: DataFrame, repeated: np.ndarray, span: int = SPAN) -> DataFrame
     """mini, ph (a hash of the string), doc, th, start and the packed string of each super-k-mer that may repeat."""
     bits = repeated.size * 64
     shared = docs.sparkSession.sparkContext.broadcast(repeated)
-    schema = StructType.fromDDL("mini long, ph long, doc long, th long, start int, packed binary")
+    schema = StructType.fromDDL("mini long, ph long, doc long, th long, start int, words int, packed binary")
     arrow = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,7 +157,7 @@ def packed(docs: DataFrame, repeated: np.ndarray, span: int = SPAN) -> DataFrame
                     start = int(starts[i])
                     string = b" ".join(words[start : start + int(counts[i]) + span - 1])
                     ph = xxhash.xxh3_64_intdigest(string) - (1 << 63)
-                    out.append((int(minis[i]), ph, doc, th, start, string))
+                    out.append((int(minis[i]), ph, doc, th, start, int(counts[i]) + span - 1, string))
                 if len(out) >= ROWS:
                     yield from as_batches(dict(zip(arrow.names, zip(*out, strict=True), strict=True)), arrow)
                     out = []
@@ -252,9 +266,50 @@ def bucket_rows(strings: DataFrame, span: int = SPAN, held: int = HELD) -> DataF
     return dealt.mapInArrow(run, schema)
 
 
-def repeated_stretches(docs: DataFrame, span: int = SPAN, held: int = HELD) -> DataFrame:
+def hot_rows(strings: DataFrame, span: int = SPAN) -> DataFrame:
+    """Like ``bucket_rows`` for strings of hot minimisers, which are never gathered in one task.
+
+    Of equal strings, those of the smallest document stand for all: the others repeat them
+    whole. The windows of what stands are compared like those of a bucket that is too large.
+    """
+    least = staged(strings.groupBy("mini", "ph").agg(F.min("doc").alias("least")), "least")
+    known = small(least.select(F.col("mini").alias("m"), F.col("ph").alias("p"), "least"))
+    placed = strings.join(known, (F.col("mini") == F.col("m")) & (F.col("ph") == F.col("p")))
+    last = (F.col("start") + F.col("words") - 1).cast("int").alias("last")
+    none = [F.lit(None).cast("long").alias(c) for c in ("fp1", "fp2")]
+    again = placed.filter("doc != least").select(*none, "doc", "th", F.col("start").alias("first"), last)
+    schema = StructType.fromDDL("fp1 long, fp2 long, doc long, th long, first int, last int")
+    arrow = arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, out = WordHashes(), []
+        for batch in batches:
+            columns = [batch[c].to_pylist() for c in ("doc", "th", "start", "packed")]
+            for doc, th, start, string in zip(*columns, strict=True):
+                bucket = Bucket(span, hashes)
+                bucket.strings, bucket.docs, bucket.places = [string], [doc], [{(th, start): None}]
+                out += bucket.rows()
+                if len(out) >= ROWS:
+                    yield from as_batches(dict(zip(arrow.names, zip(*out, strict=True), strict=True)), arrow)
+                    out = []
+        if out:
+            yield from as_batches(dict(zip(arrow.names, zip(*out, strict=True), strict=True)), arrow)
+
+    standing = placed.filter("doc = least").select("doc", "th", "start", "packed").mapInArrow(run, schema)
+    return again.unionByName(standing)
+
+
+def repeated_stretches(docs: DataFrame, span: int = SPAN, held: int = HELD, hot: int = HOT) -> DataFrame:
     """doc, th and stretches (first and last word) to be removed, from ``keyed`` documents."""
-    found = staged(bucket_rows(packed(docs, repeated_table(minimisers(docs, span)), span), span, held), "stretches")
+    several = repeated(minimisers(docs, span))
+    strings, often = packed(docs, repeated_table(several), span), hot_minimisers(several, hot)
+    if often.isEmpty():
+        found = bucket_rows(strings.drop("words"), span, held)
+    else:
+        strings, often = staged(strings, "strings"), F.broadcast(often)  # see ``hot_minimisers`` for how many
+        found = bucket_rows(strings.join(often, "mini", "left_anti").drop("words"), span, held)
+        found = found.unionByName(hot_rows(strings.join(often, "mini", "left_semi"), span))
+    found = staged(found, "stretches")
     known = found.filter("fp1 is null").select("doc", "th", "first", "last")
     left = found.filter("fp1 is not null")
     least = left.groupBy("fp1", "fp2").agg(F.min("doc").alias("least"))
@@ -262,10 +317,10 @@ def repeated_stretches(docs: DataFrame, span: int = SPAN, held: int = HELD) -> D
     return known.unionByName(more).groupBy("doc", "th").agg(F.collect_set(F.struct("first", "last")).alias("stretches"))
 
 
-def deduplicated(docs: DataFrame, span: int = SPAN, held: int = HELD) -> DataFrame:
+def deduplicated(docs: DataFrame, span: int = SPAN, held: int = HELD, hot: int = HOT) -> DataFrame:
     """doc_id, n_words, n_removed and kept, the words that stay joined by one space."""
     rows = keyed(docs)
-    cut = repeated_stretches(rows, span, held)
+    cut = repeated_stretches(rows, span, held, hot)
     joined = rows.join(cut, ["doc", "th"], "left").select("doc", "text", "stretches")
 
     def make():

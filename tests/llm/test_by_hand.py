@@ -12,7 +12,7 @@ import pytest
 from test_operators import joined_by_hand
 
 import corpus_pipeline
-from orgloom.llm import decontam, mixing, pii, quality
+from orgloom.llm import decontam, mixing, pii, quality, substrings
 from orgloom.llm.common import table
 
 KINDS = ("email", "ip", "card", "phone")
@@ -277,3 +277,24 @@ def test_gazetteers():
     assert not any(pii.issued(x) for x in ("1111111111111111", "411111111111111", "272099312200322", "9999999999999999"))
     assert pii.dialled("2125551234") and not any(map(pii.dialled, ("1125551234", "2115551234", "2121551234", "2129111234", "2925551234", "212555")))
     assert len(pii.votes("phone", "call (212) 555-7788 now", 5, 19)) == 8
+
+
+@pytest.mark.parametrize("hot", [0, 3, 40])
+def test_substrings_with_hot_minimisers(spark, hot):
+    """A third of all rows are copies, many more hold one passage: the same words go as by a single dictionary."""
+    rng = random.Random(9)
+    passage = [f"p{i}" for i in range(30)]
+    base = [f"c{rng.randrange(50)}" for _ in range(60)]
+    rows = [(rng.choice([None, k]), " ".join(base)) for k in range(60)]
+    for k in range(100, 200):
+        own = [f"w{rng.randrange(200)}" for _ in range(rng.randrange(40))]
+        at = rng.randrange(len(own) + 1)
+        cut = rng.randrange(8)
+        rows.append((k, " ".join(own[:at] + passage[cut:] + base[: rng.randrange(30)] + own[at:])))
+    rows += [(7, " ".join(passage)), (7, " ".join(base + passage)), (500, None), (501, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    made = substrings.deduplicated(docs, 10, hot=hot).collect()
+    got = [(r.doc_id, r.n_words, r.n_removed, hashlib.sha256(r.kept.encode()).hexdigest()) for r in made]
+    assert sorted(got, key=str) == sorted(substrings.brute_force(rows, 10), key=str)
+    several = substrings.repeated(substrings.minimisers(substrings.keyed(docs), 10))
+    assert substrings.hot_minimisers(several, hot).count() > 0
