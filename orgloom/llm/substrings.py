@@ -312,8 +312,10 @@ def repeated_stretches(docs: DataFrame, span: int = SPAN, held: int = HELD, hot:
     found = staged(found, "stretches")
     known = found.filter("fp1 is null").select("doc", "th", "first", "last")
     left = found.filter("fp1 is not null")
-    least = left.groupBy("fp1", "fp2").agg(F.min("doc").alias("least"))
-    more = left.join(least, ["fp1", "fp2"]).filter("least < doc").select("doc", "th", "first", "last")
+    # Windows of several documents, combined before the shuffle; a window that very many hold is one row of these.
+    sums = left.groupBy("fp1", "fp2").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
+    least = staged(sums.filter("least < most").select("fp1", "fp2", "least"), "windows")
+    more = left.join(small(least), ["fp1", "fp2"]).filter("least < doc").select("doc", "th", "first", "last")
     return known.unionByName(more).groupBy("doc", "th").agg(F.collect_set(F.struct("first", "last")).alias("stretches"))
 
 
