@@ -107,3 +107,19 @@ def published(spark: SparkSession, path: str) -> Published:
     replaced = max((i for i, m in enumerate(marked) if m[1] == "replace"), default=None)
     others = [] if replaced is not None else [posixpath.join(path, n) for n, _ in names if not _OWN.fullmatch(n)]
     return Published(tuple(others), tuple(posixpath.join(path, m[0]) for m in marked[replaced or 0 :]))
+
+
+def vacuum(spark: SparkSession, path: str, older_than_s: float = 86_400) -> list[str]:
+    """Delete what stopped writes have left, and return it.
+
+    A folder without its mark may belong to a write that is still running: only those that
+    began more than ``older_than_s`` seconds ago go.
+    """
+    before = time.time_ns() - int(older_than_s * 1e9)
+    left = []
+    for name, is_folder in _children(spark, path):
+        own = _OWN.fullmatch(name)
+        if is_folder and own and int(own[2]) < before and not exists(spark, posixpath.join(path, name, MARK)):
+            delete(spark, posixpath.join(path, name))
+            left.append(name)
+    return left

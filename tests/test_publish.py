@@ -14,7 +14,7 @@ from orgloom.operators.outcomes import OUTCOMES
 from orgloom.plans.extraction import extract_datasets
 from orgloom.plans.jobs import run_conversion, run_extraction
 from orgloom.schemas import DATASETS
-from orgloom.sinks.publish import MARK, publication, published
+from orgloom.sinks.publish import MARK, publication, published, vacuum
 from orgloom.sinks.tables import newest_version, write_csv, write_records
 from orgloom.sources.org_list import stored_org_list
 from orgloom.sources.records import read_records
@@ -164,3 +164,15 @@ def test_jobs_return_what_they_counted(spark, sf_dir, tmp_path):
     assert places.figures["rejects"] == orgs.filter("LinkedIn is null").count() and places.figures["without_source"] == 0
     tables = run_conversion(spark, out, str(tmp_path / "tables"), fx.RUN_TS)
     assert tables.figures == {"renamed_roles": 0, **{d.table_name: sum(r.dataset == n for r in rows) for n, d in DATASETS.items()}}
+
+
+def test_what_stopped_writes_have_left_can_go(spark, tmp_path):
+    path = str(tmp_path / "r.json")
+    write_records(roles(spark, "a", "b"), path)
+    roles(spark, "y", name="folder").write.json(path + "/2024")
+    with pytest.raises(Stopped), publication(spark, path) as folder:
+        roles(spark, "c").write.json(folder)
+        raise Stopped
+    assert vacuum(spark, path) == []  # it may still be running
+    assert vacuum(spark, path, 0) == [os.path.basename(folder)] and not os.path.exists(folder)
+    assert names(spark, path) == ["folder0", "o0", "o1"] and vacuum(spark, path, 0) == [] and vacuum(spark, path + "x") == []
