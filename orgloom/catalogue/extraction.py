@@ -32,7 +32,7 @@ def _real(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All elements with all their text; its characters, sorted, tell texts of equal length apart."""
     nodes = node_table(with_nodes(_real(spark, sf_dir), SPEC, all_tags=True, all_texts=True))
-    raw = F.array_sort(F.split(F.array_join(F.collect_list("text_raw"), ""), ""))
+    raw = F.sort_array(F.split(F.array_join(F.collect_list("text_raw"), ""), ""))
     return nodes.groupBy(F.col("requested_url").alias("url"), "tag").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.length("text_raw")).alias("raw_chars"),
