@@ -81,18 +81,19 @@ def placed(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id") -> DataFr
 
 
 def write_shards(
-    docs: DataFrame, path: str, shards: int = SHARDS, key: str = "doc_id", order: Sequence[str] = ()
+    docs: DataFrame, path: str, shards: int = SHARDS, key: str = "doc_id", order: Sequence[str | Column] = ()
 ) -> DataFrame:
     """Write ``docs`` below ``path``, a folder for each shard, and return it with shard, grown_shard and slot.
 
-    Rows are ordered by key and then by ``order``; rows alike in these stand in any order
-    and may be in several files. ``docs`` is read more than once: store what is dear.
+    Rows are ordered by key and then by ``order``, names of columns or expressions of them;
+    rows alike in these stand in any order and may be in several files. ``docs`` is read
+    more than once: store what is dear.
     """
     rows = placed(docs, shards, key)
     place = "_place"
     while place in rows.columns:
         place = "_" + place
-    by = [F.col("shard"), F.col(quoted(key)), *(F.col(quoted(c)) for c in order), F.col(place)]
+    by = [F.col("shard"), F.col(quoted(key)), *(F.col(quoted(c)) if isinstance(c, str) else c for c in order), F.col(place)]
     dealt = rows.withColumn(place, F.monotonically_increasing_id()).repartitionByRange(n_partitions(docs), *by)
     sorted_rows = dealt.sortWithinPartitions(*by).drop(place)
     sorted_rows.write.partitionBy("shard").parquet(path)
@@ -118,18 +119,21 @@ def read_shards(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     return joined.select(*(F.col("row").getField(c).alias(c) for c in rest), "shard", "grown_shard", slot.alias("slot"))
 
 
-def sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, size (bytes of the text and one) and text_crc32, all that sharding needs of a document."""
+def _measures() -> tuple[Column, Column]:
     text = F.coalesce("text", F.lit(""))
-    return docs.select(
-        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")
-    )
+    return (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")
+
+
+def sizes(docs: DataFrame) -> DataFrame:
+    """doc_id, size (bytes of the text and one) and text_crc32 of each document."""
+    return docs.select("doc_id", *_measures())
 
 
 def op12_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = staged(sizes(table(spark, sf_dir, "documents")), "sizes")
-    made = write_shards(rows, work_dir(spark, "shards"), order=["text_crc32", "size"])
-    return made.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+    """Whole documents are written into shards; size and checksum are those of the texts read back."""
+    size, checksum = _measures()
+    made = write_shards(table(spark, sf_dir, "documents"), work_dir(spark, "shards"), order=[checksum, size])
+    return made.select("doc_id", *_measures(), F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
 #: DuckDB has no crc32: the polynomial's table is built, and each text folded over it.

@@ -72,3 +72,29 @@ def test_main_path_has_no_python_worker(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     plan = shards.placed(shards.sizes(docs))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "Exchange"))
+
+
+def test_the_shards_hold_the_whole_documents(spark, sf_dir):
+    made = shards.op12_shards(spark, sf_dir)
+    places = {file.split("/shard=")[0] for file in made.inputFiles() if "/shard=" in file}
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    stored = spark.read.parquet(*places)
+    assert set(docs.columns) <= set(stored.columns)
+    kept = stored.select(*docs.columns)
+    assert kept.exceptAll(docs).isEmpty() and docs.exceptAll(kept).isEmpty()
+    assert Counter(r.shard for r in stored.collect()) == Counter(r.shard for r in made.collect())
+
+
+def test_rows_of_one_key_are_ordered_by_checksum_and_size(spark, tmp_path):
+    texts = ["b", "a", None, "", "cc", "b", "x" * 5000] * 3
+    rows = [(k % 4 or None, text, k) for k, text in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, size int")  # a column named like an added one stays in the files
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = shards.op12_shards(spark, str(tmp_path)).collect()
+    data = [(text or "").encode() for _, text, _ in rows]
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == Counter((k, len(d) + 1, zlib.crc32(d)) for (k, _, _), d in zip(rows, data))
+    for shard in {r.shard for r in got}:
+        mine = sorted((r for r in got if r.shard == shard), key=lambda r: r.slot)
+        assert [r.slot for r in mine] == list(range(len(mine)))
+        keys = [(r.doc_id is not None, r.doc_id or 0, r.text_crc32, r.size) for r in mine]
+        assert keys == sorted(keys)
