@@ -342,7 +342,8 @@ def records_dir(spark: SparkSession, sf_dir: str) -> str:
     """Folder with the five record datasets as JSON Lines, all list shapes among them."""
 
     def write(path: str) -> None:
-        people = in_order(profiles(spark, sf_dir), "k")
+        stage = written(spark, sf_dir, "people", lambda place: profiles(spark, sf_dir).write.parquet(place))
+        people = in_order(spark.read.parquet(stage), "k")
         for dataset in DATASETS.values():
             records = _about_records(people) if dataset.facet is None else _people_records(people, dataset)
             write_records(records, os.path.join(path, dataset.file_name), append=False)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Blocks up to which their offsets are broadcast; more are joined like any table.
 MAX_BROADCAST = 100_000
+#: Rows beyond which a range of sorted rows is split, and rows that are worth a range of their own.
+MAX_RANGE_ROWS, MIN_RANGE_ROWS = 50_000, 1_000
 
 
 def file_place(row: str = "row") -> list:
@@ -44,6 +47,17 @@ def dense_numbers(rows: DataFrame, block: Sequence[str], row: str = "row", name:
     return numbered.select(*(F.col(f"`{c}`") for c in rows.columns if c not in (*block, row)), number.alias(name))
 
 
+def n_ranges(n_rows: int, cores: int) -> int:
+    """Ranges for so many rows: one for each core if they are enough for that, and none of very many rows."""
+    return max(1, math.ceil(n_rows / MAX_RANGE_ROWS), min(cores, math.ceil(n_rows / MIN_RANGE_ROWS)))
+
+
 def in_order(rows: DataFrame, by: str) -> DataFrame:
-    """``rows`` so dealt out and sorted that files written of them, by number, are in this order."""
-    return rows.repartitionByRange(by).sortWithinPartitions(by)
+    """``rows`` so dealt out and sorted that files written of them, by number, are in this order.
+
+    Spark draws some hundred keys for each range and sends them to the driver, so the ranges
+    follow from the number of rows: with as many as there are shuffle partitions, that would
+    be all keys of a table of 60,000 rows. ``rows`` are read more than once.
+    """
+    n = n_ranges(rows.count(), rows.sparkSession.sparkContext.defaultParallelism)
+    return rows.repartitionByRange(n, by).sortWithinPartitions(by)

@@ -10,6 +10,7 @@ from orgloom.catalogue import inputs as fx
 from orgloom.plans import tables
 from orgloom.functions.urls import page_targets
 from orgloom.operators.lookup import key_filter, probably_known
+from orgloom.operators.order import in_order, n_ranges
 from orgloom.plans.extraction import classify, extract_about, extract_datasets, page_facts, targeted_captures
 from orgloom.schemas import DATASETS, PAGE_SCHEMA, ExtractionSpec
 from orgloom.sources.pages import spread
@@ -195,3 +196,22 @@ def test_a_conversion_makes_every_cell(spark, sf_dir, monkeypatch, name, maker,
     monkeypatch.setattr(tables, maker, broken)
     with pytest.raises(Exception, match="a cell was made"):
         entry.queries()[name](spark, sf_dir).collect()
+
+
+def test_keys_sent_to_the_driver_follow_the_rows_not_the_shuffle_partitions(spark):
+    """A range takes some 300 sampled keys: 200 ranges would send every key of this table to the driver."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        rows = spark.range(0, 30_000, 1, 4).select((F.col("id") * 7919 % 30_011).alias("v"), "id")
+        ordered = in_order(rows, "v")
+        ranges = int(re.search(r"rangepartitioning\(.*?, (\d+)\)", plan_of(ordered))[1])
+        assert ranges == spark.sparkContext.defaultParallelism < 20
+        parts = ordered.select(F.spark_partition_id().alias("p"), "v").collect()
+        assert [r.v for r in sorted(parts, key=lambda r: r.p)] == sorted(r.v for r in parts) and len(parts) == 30_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_ranges_of_few_and_of_many_rows():
+    assert [n_ranges(n, 8) for n in (0, 1, 1000, 1001, 7000, 400_000, 400_001, 10**9)] == [1, 1, 1, 2, 7, 8, 9, 20_000]
