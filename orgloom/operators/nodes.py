@@ -29,8 +29,9 @@ NODE_SCHEMA = T.StructType(
     ]
 )
 
-# Output batches are cut at about this much page text.
-BATCH_CHARS = 16 * 1024 * 1024
+# Output batches are cut at about this much page text. A worker holds its elements as Python
+# objects, which take some 25 times the room of the text.
+BATCH_CHARS = 512 * 1024
 
 
 def with_nodes(

@@ -122,6 +122,26 @@ def test_batches_are_cut_without_losing_rows(spark):
     assert [i for b in out for i in b.column("id").to_pylist()] == list(range(7))
 
 
+def test_a_worker_holds_the_elements_of_little_text_at_once():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from orgloom.operators import nodes, tokenizer
+
+    html = '<div class="a b"><p id="x">some words</p><br></div>' * 200
+    batch = pa.record_batch({"id": list(range(400)), "html": [html] * 400})  # 4 MB
+    run = tokenizer.batch_tokenizer(None, frozenset(), frozenset(), None, max_chars=nodes.BATCH_CHARS)
+    tracemalloc.start()
+    try:
+        ids = [i for made in run([batch]) for i in made.column("id").to_pylist()]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert ids == list(range(400))
+    assert peak < 60 * 1024 * 1024, peak
+
+
 def test_only_kept_elements_leave_the_parser(spark):
     html = f'<div><p>x</p><div class="{HEADER}"><h2>1</h2></div><li {SPEC.item_attr}="0"><a>y</a></li></div>'
     tags = [n["tag"] for n in parsed(spark, html).collect()[0].page.nodes]
