@@ -20,11 +20,16 @@ joins two components is lost, and a group of near copies that are linked costs a
 comparisons as it has members, not their square. Before a comparison, parity sketches of
 both sets give a lower bound of their difference that rules out most unlinked pairs
 safely; what remains is verified on the whole texts: one star link of each class first,
-then those of the others whose ends are still apart.
+then those of the others whose ends are still apart. The second turn does likewise with
+the likeliest pair of every two components, so a class on the fringe of a large group is
+held against one member and not against all that it might be linked to.
 
 Hot keys: a task sends a class's keys once, however many copies it reads; rows under one
 key are streamed in sorted order and never held together; comparisons against a class
-that many others meet are split by salt. The broadcast of candidates is bounded by
+that many others meet are split by salt. In the second turn a large key's members are
+dealt to blocks whose pairs are many tasks' work. It compares the sketches of a key's
+members across components in numpy; that is the one step that grows with the square of a
+group's fringe, by a few operations for each pair. The broadcast of candidates is bounded by
 ``BROADCAST_PAIRS``; beyond, the same join is shuffled.
 
 Defined results: words are divided by white space and A-Z lower-cased; a document of
@@ -65,6 +70,10 @@ SKETCH = 16
 HELD = 200_000
 #: Rows of one key that a task holds; a key with more is sent in pieces under one name.
 PIECE = 5 * HELD
+#: Rows of a block, and about the bytes in one; rows of a cell from which shared keys are looked for.
+BLOCK, BLOCK_BYTES, SHARED_ROWS = 8_000, 16_000_000, 200
+#: Pairs, and words of their wide sketches, that are compared at once.
+PAIRS_AT_ONCE, WORDS_AT_ONCE = 65_536, 1_000_000
 #: No key without its last bit is this number.
 NO_KEY = np.int64(-(1 << 63))
 
@@ -376,6 +385,148 @@ def candidates(index: DataFrame, percent: int = PERCENT, piece: int = PIECE) ->
     return dealt.sortWithinPartitions("key").mapInArrow(run, schema)
 
 
+class Outlines:
+    """What tells of some sets whether they may be linked: sizes, sketches and wide sketches by length."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        self.n = batch["n"].to_numpy().astype(np.int64)
+        self.sketch = batch["sketch"].flatten().to_numpy().reshape(-1, SKETCH).view(np.uint64)
+        self.length = batch["wide"].value_lengths().fill_null(0).to_numpy().astype(np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.wide = batch["wide"].flatten().to_numpy().view(np.uint64)
+
+    def near(self, i: np.ndarray, j: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the pairs ``may_link``, and for these the places in which their sketches differ."""
+        least, most = np.minimum(self.n[i], self.n[j]), np.maximum(self.n[i], self.n[j])
+        kept = np.flatnonzero(100 * least >= percent * most)
+        differ = np.bitwise_count(self.sketch[i[kept]] ^ self.sketch[j[kept]]).sum(axis=1, dtype=np.int64)
+        bound = (100 - percent) * (least + most)[kept]
+        fits = (100 + percent) * differ <= bound
+        kept, differ, bound = kept[fits], differ[fits], bound[fits]
+        x, y = self.length[i[kept]], self.length[j[kept]]
+        fits = np.ones(len(kept), bool)
+        for a, b in {*zip(x.tolist(), y.tolist(), strict=True)}:
+            if min(a, b) and max(a, b) <= 2 * min(a, b):
+                of = np.flatnonzero((x == a) & (y == b))
+                for part in np.array_split(of, math.ceil(len(of) * max(a, b) / WORDS_AT_ONCE)):
+                    places = self._wide_differ(i[kept[part]], a, j[kept[part]], b)
+                    fits[part] = (100 + percent) * places <= bound[part]
+        return kept[fits], differ[fits]
+
+    def _wide_differ(self, i: np.ndarray, a: int, j: np.ndarray, b: int) -> np.ndarray:
+        length = min(a, b)
+
+        def halved(rows: np.ndarray, of: int) -> np.ndarray:
+            words = self.wide[self.start[rows][:, None] + np.arange(of)]
+            return words if of == length else words[:, :length] ^ words[:, length:]
+
+        return np.bitwise_count(halved(i, a) ^ halved(j, b)).sum(axis=1, dtype=np.int64)
+
+
+def block_counts(block: int = BLOCK) -> list[Column]:
+    """Into how many blocks the asking rows of a bucket and all its rows are dealt."""
+
+    def blocks(weight: Column) -> Column:
+        rows, size = F.sum(weight), F.sum(weight * (F.col("n") + 512))
+        return F.greatest(F.ceil(rows / block), F.ceil(size / BLOCK_BYTES), F.lit(1)).cast("int")
+
+    return [blocks((~F.col("weak")).cast("long")).alias("p_of"), blocks(F.lit(1).cast("long")).alias("q_of")]
+
+
+def across(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """a, b, ra, rb, d: pairs in one bucket but two components of which one asks and that ``may_link``.
+
+    a < b, with their components and the places in which the sketches differ. A pair that
+    meets in several buckets may come several times. Of a bucket's blocks each of asking
+    rows meets each of all rows in a cell of its own, so a large bucket is many tasks'
+    work; a cell's pairs are compared in numpy, some at a time. Keys that a pair also
+    shares and that count before are known for the commonest 64 in a cell.
+    """
+    schema = StructType.fromDDL("a long, b long, ra long, rb long, d int")
+    arrow = arrow_schema(schema)
+    own = {c: F.pmod(F.xxhash64("sid", F.lit(c)), F.col(f"{c}_of")).cast("int") for c in "pq"}
+    asks, yes, no = ~F.col("weak"), F.lit(True), F.lit(False)
+
+    def cell(p: Column, q: Column, asker: Column, member: Column) -> Column:
+        return F.struct(p.alias("p"), q.alias("q"), asker.alias("asker"), member.alias("member"))
+
+    as_asker = F.transform(F.sequence(F.lit(0), F.col("q_of") - 1), lambda q: cell(own["p"], q, yes, q == own["q"]))
+    as_member = F.transform(F.sequence(F.lit(0), F.col("p_of") - 1), lambda p: cell(p, own["q"], no, yes))
+    elsewhere = F.filter(as_member, lambda c: c["p"] != own["p"])
+    cells = F.when(asks, F.concat(as_asker, elsewhere)).otherwise(as_member)
+    spread = rows.withColumn("cell", F.explode(cells)).select("bucket", "cell.*", "weak", "sid", "root", "n", "sketch", "wide", "first")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None  # rows of the cell at which the last batch ended
+        for batch in batches:
+            held = batch if rest is None else pa.concat_batches([rest, batch])
+            if not held.num_rows:
+                continue
+            names = np.stack([held[c].to_numpy() for c in ("bucket", "p", "q")])
+            starts = np.flatnonzero(np.append(True, (names[:, 1:] != names[:, :-1]).any(axis=0)))
+            yield from compared(held.slice(0, starts[-1]), starts)
+            rest = held.slice(starts[-1])
+        if rest is not None:
+            yield from compared(rest, np.array([0, rest.num_rows]))
+
+    def compared(held: pa.RecordBatch, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The pairs of whole cells, which begin at ``starts``; the last of these is the end."""
+        if not held.num_rows:
+            return
+        outlines, found = Outlines(held), []
+        sid, root, bucket = (held[c].to_numpy() for c in ("sid", "root", "bucket"))
+        asker, member = (held[c].to_numpy(zero_copy_only=False) for c in ("asker", "member"))
+        for start, end in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+            before = np.zeros(0, np.uint64)
+            if end - start >= SHARED_ROWS:
+                before = smaller_keys(held["first"].slice(start, end - start), bucket[start])
+            # Rows are in order of weakness and sid: what comes after an asking row has not asked it.
+            i, j = start + np.flatnonzero(asker[start:end]), start + np.flatnonzero(member[start:end])
+            first = np.searchsorted(j, i, "right")
+            counts = len(j) - first
+            total = np.cumsum(counts)
+            at = 0
+            while at < len(i):
+                done = total[at - 1] if at else 0
+                to = max(at + 1, int(np.searchsorted(total, done + PAIRS_AT_ONCE, "right")))
+                n = counts[at:to]
+                x = np.repeat(i[at:to], n)
+                y = j[np.arange(len(x)) + np.repeat(first[at:to] - (total[at:to] - n - done), n)]
+                apart = root[x] != root[y]
+                if len(before):
+                    apart &= (before[x - start] & before[y - start]) == 0
+                x, y = x[apart], y[apart]
+                kept, differ = outlines.near(x, y, percent)
+                if len(kept):
+                    found.append(np.stack([x[kept], y[kept], differ]))
+                at = to
+        if found:
+            x, y, differ = np.concatenate(found, axis=1)
+            swap = sid[x] > sid[y]
+            x, y = np.where(swap, y, x), np.where(swap, x, y)
+            columns = {"a": sid[x], "b": sid[y], "ra": root[x], "rb": root[y], "d": differ.astype(np.int32)}
+            yield from as_batches({c: pa.array(v) for c, v in columns.items()}, arrow)
+
+    key = ["bucket", "p", "q"]
+    dealt = spread.repartition(n_partitions(rows), *key).sortWithinPartitions(*key, "weak", "sid")
+    return dealt.mapInArrow(run, schema)
+
+
+def smaller_keys(first: pa.ListArray, bucket: int) -> np.ndarray:
+    """For each row a bit for each of the commonest 64 keys below ``bucket`` that it asks."""
+    row = np.repeat(np.arange(len(first)), first.value_lengths().to_numpy())
+    keys = first.flatten().to_numpy()
+    row, keys = row[keys < bucket], keys[keys < bucket]
+    _, which, counts = np.unique(keys, return_inverse=True, return_counts=True)
+    place = np.full(len(counts), 64)
+    common = np.argsort(-counts, kind="stable")[:64]
+    place[common] = np.arange(len(common))
+    told = place[which] < 64
+    bits = np.zeros(len(first), np.uint64)
+    np.bitwise_or.at(bits, row[told], _U(1) << place[which[told]].astype(np.uint64))
+    return bits
+
+
 def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) of classes that are linked; each class's smallest document stands for it.
 
@@ -466,37 +617,30 @@ def classes_and_components(docs: DataFrame, words: int = WORDS, percent: int = P
         links = links.unionByName(verified(docs, rest, classes, words, percent))
         roots = components(links)
     # Keys whose members are not all in one component: the pairs across components remain.
-    rows = found.filter(F.col("kind") == BUCKET).select(F.col("a").alias("bucket"), F.col("b").alias("sid"), "weak")
+    rows = found.filter(F.col("kind") == BUCKET).select(F.col("a").alias("bucket"), F.col("b").alias("sid"), "n", "weak")
     rows = rows.dropDuplicates(["bucket", "sid"])
     placed = rows.join(small(roots.withColumnRenamed("node", "sid")), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high")
-    still = staged(placed.join(mixed.select("bucket"), "bucket"), "mixed")
+    ends = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), *block_counts()).filter("low != high")
+    still = staged(placed.drop("n").join(ends.drop("low", "high"), "bucket"), "mixed")
     # A pair counts under the smallest of its common keys, as far as the first few of each tell.
     asking = still.filter("not weak").groupBy("sid").agg(F.slice(F.array_sort(F.collect_list("bucket")), 1, FIRST).alias("first"))
     none = F.array().cast("array<long>")
-    open_rows = staged(
-        still.join(outlines, "sid").join(asking, "sid", "left").withColumn("first", F.coalesce("first", none)), "open"
-    )
-    x, y = open_rows.alias("x"), open_rows.alias("y")
-    across = (
-        x.join(
-            y,
-            (F.col("x.bucket") == F.col("y.bucket"))
-            & (F.col("x.root") < F.col("y.root"))
-            & (~F.col("x.weak") | ~F.col("y.weak"))
-            & may_link("x", "y", percent)
-            & (F.coalesce(F.array_min(F.array_intersect("x.first", "y.first")), F.col("x.bucket")) >= F.col("x.bucket")),
-        )
-        .select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b"))
-        .distinct()
-    )
+    open_rows = still.join(outlines, "sid").join(asking, "sid", "left").withColumn("first", F.coalesce("first", none))
+    met = across(open_rows, percent).distinct()
     # Star pairs that are still apart have been tried.
     tried = likely.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    remaining = staged(across.join(tried, ["a", "b"], "left_anti"), "across")
+    remaining = staged(met.join(tried, ["a", "b"], "left_anti"), "across")
     if not remaining.isEmpty():
-        more = verified(docs, remaining, classes, words, percent)
-        if not more.isEmpty():
-            roots = components(links.unionByName(more))
+        # The likeliest pair of any two components first: most of the others are in one component after that.
+        two = remaining.groupBy(F.least("ra", "rb").alias("x"), F.greatest("ra", "rb").alias("y"))
+        nearest = staged(two.agg(F.min(F.struct("d", "a", "b")).alias("m")).select("m.a", "m.b"), "nearest")
+        links = links.unionByName(verified(docs, nearest, classes, words, percent))
+        roots = components(links)
+        rest = _apart(remaining.select("a", "b").join(nearest, ["a", "b"], "left_anti"), roots)
+        if not rest.isEmpty():
+            more = verified(docs, rest, classes, words, percent)
+            if not more.isEmpty():
+                roots = components(links.unionByName(more))
     return members, _groups(classes, roots)
 
 
